@@ -58,7 +58,7 @@ def _tail_as_groups(ip: Column) -> Column:
     """Rewrite a dotted IPv4 tail of an IPv6 address as two hex groups."""
     tail = F.substring_index(ip, ":", -1)
     head = F.substring(ip, F.lit(1), F.length(ip) - F.length(tail))
-    octet = lambda i: F.lpad(F.hex(F.split_part(tail, F.lit("."), F.lit(i)).cast("bigint")), 2, "0")
+    octet = lambda i: F.lpad(F.hex(F.split_part(tail, F.lit("."), F.lit(i)).try_cast("bigint")), 2, "0")
     groups = F.concat(octet(1), octet(2), F.lit(":"), octet(3), octet(4))
     return F.when(is_ipv4(tail), F.concat(head, groups)).otherwise(ip)
 
@@ -88,7 +88,7 @@ def is_valid_ip(ip: Column) -> Column:
 
 def ipv4_number(ip: Column) -> Column:
     """IPv4 address as a number; null for anything else."""
-    octet = lambda i: F.split_part(ip, F.lit("."), F.lit(i)).cast("bigint")
+    octet = lambda i: F.split_part(ip, F.lit("."), F.lit(i)).try_cast("bigint")
     return F.when(is_ipv4(ip), octet(1) * 16777216 + octet(2) * 65536 + octet(3) * 256 + octet(4))
 
 

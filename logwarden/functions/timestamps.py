@@ -95,7 +95,7 @@ def month_number(name: Column, any_case: bool) -> Column:
 
 
 def _number(text: Column) -> Column:
-    return F.when(text.rlike(r"^\d{1,2}$"), text.cast("int"))
+    return F.when(text.rlike(r"^\d{1,2}$"), text.try_cast("int"))
 
 
 def _wall_clock(year, month, day, hour, minute, second) -> Column:
@@ -128,12 +128,12 @@ _ISO = r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2})(?:\.(\d+))?(?:([+-])(\
 
 def iso_clock(token: Column) -> Column:
     """ISO date-time token -> wall clock; fraction digits after the sixth are cut off."""
-    part = lambda i: F.regexp_extract(token, _ISO, i).cast("int")
+    part = lambda i: F.regexp_extract(token, _ISO, i).try_cast("int")
     second = F.concat_ws(
         ".",
         F.regexp_extract(token, _ISO, 6),
         F.substring(F.concat(F.regexp_extract(token, _ISO, 7), F.lit("000000")), 1, 6),
-    ).cast("decimal(16,6)")
+    ).try_cast("decimal(16,6)")
     valid = (part(1) >= 1) & (part(6) <= 59) & (F.coalesce(iso_offset_minutes(token), F.lit(0)).between(-1439, 1439))
     return F.when(
         token.rlike(_ISO) & valid,
@@ -144,5 +144,5 @@ def iso_clock(token: Column) -> Column:
 def iso_offset_minutes(token: Column) -> Column:
     """UTC offset of an ISO token in minutes, null when it has none."""
     sign = F.regexp_extract(token, _ISO, 8)
-    size = F.regexp_extract(token, _ISO, 9).cast("int") * 60 + F.regexp_extract(token, _ISO, 10).cast("int")
+    size = F.regexp_extract(token, _ISO, 9).try_cast("int") * 60 + F.regexp_extract(token, _ISO, 10).try_cast("int")
     return F.when(sign == "-", -size).when(sign == "+", size)

@@ -67,7 +67,7 @@ def scan_lines(
     formats: tuple[LogFormat, ...] = FORMATS,
     rules: tuple[Rule, ...] = RULES,
 ) -> DataFrame:
-    """Every line with what could be read from it; ``event`` is null without a valid attempt.
+    """Every line with what could be read from it; ``ip`` is null without a valid attempt.
 
     By default each file keeps the layout of its first readable line. ``format`` forces one
     layout; ``sticky=False`` lets each line choose (streams have no first line).
@@ -91,7 +91,7 @@ def scan_lines(
         F.col("attempt.username").alias("username"),
         ts.alias("ts"),
         offset.alias("tz_offset_min"),
-        (t.micros_of(ts) - F.coalesce(offset, F.lit(0)) * t.MINUTE_US).alias("ts_us"),
+        (t.micros_of(ts) - F.coalesce(offset, F.lit(0)).cast("bigint") * t.MINUTE_US).alias("ts_us"),
         F.col("attempt.success").alias("success"),
         F.col("attempt.event").alias("event"),
     )

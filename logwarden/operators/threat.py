@@ -195,7 +195,7 @@ def top_accepted(attempts: DataFrame, params: Params = DEFAULTS) -> DataFrame:
 
 
 def _instant_text(us: Column, offset: Column) -> Column:
-    wall = t.from_micros(us + F.coalesce(offset, F.lit(0)) * t.MINUTE_US)
+    wall = t.from_micros(us + F.coalesce(offset, F.lit(0)).cast("bigint") * t.MINUTE_US)
     return F.concat(t.iso_text(wall), t.offset_text(offset))
 
 
