@@ -85,7 +85,7 @@ from {auth} a0"""
 def syslog_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Times without a year, read with a fixed year and with the rollover rule."""
     rows = spark.sql(_STAMPS.format(auth="{auth}"), auth=v.auth(spark, sf_dir))
-    stamp = F.col("stamp")
+    stamp = t.syslog_fields(F.col("stamp"))
     return rows.select(
         "pos",
         t.iso_text(t.syslog_clock(stamp, 2023, any_case=True)).alias("fixed"),

@@ -1,7 +1,8 @@
 """IP address predicates as plain column expressions (no Python per row).
 
-IPv4 addresses compare as numbers. IPv6 addresses are spelled out to 32 lower-case hex
-digits, so that ranges of addresses are ranges of strings.
+An IPv4 address has one spelling only, so its ranges are patterns of its text. IPv6
+addresses are spelled out to 32 hex digits, so that their ranges are ranges of strings;
+that work is bound to one lambda variable and done only for texts with a colon.
 """
 
 from __future__ import annotations
@@ -16,27 +17,18 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _IPV4 = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
 
 # Ranges that are never put on a blocklist.
-GUARDED_V4 = ("127.0.0.0/8", "10.0.0.0/8", "172.16.0.0/12", "192.168.0.0/16")
+# 127.0.0.0/8, 10.0.0.0/8, 172.16.0.0/12, 192.168.0.0/16
+GUARDED_V4 = r"^(?:127|10)\.|^172\.(?:1[6-9]|2[0-9]|3[01])\.|^192\.168\."
 LOOPBACK_V6 = "0" * 31 + "1"
 
-# Special-purpose ranges of the IANA registries, and the addresses in them
-# that are globally reachable all the same.
+# Special-purpose ranges of the IANA registries. IPv4:
+# 0.0.0.0/8, 10.0.0.0/8, 127.0.0.0/8, 169.254.0.0/16, 172.16.0.0/12, 192.0.0.0/24 (without
+# .9 and .10), 192.0.2.0/24, 192.168.0.0/16, 198.18.0.0/15, 198.51.100.0/24, 203.0.113.0/24,
+# 224.0.0.0/4, 240.0.0.0/4
 SPECIAL_V4 = (
-    "0.0.0.0/8",
-    "10.0.0.0/8",
-    "127.0.0.0/8",
-    "169.254.0.0/16",
-    "172.16.0.0/12",
-    "192.0.0.0/24",
-    "192.0.2.0/24",
-    "192.168.0.0/16",
-    "198.18.0.0/15",
-    "198.51.100.0/24",
-    "203.0.113.0/24",
-    "224.0.0.0/4",
-    "240.0.0.0/4",
+    r"^(?:0|10|127)\.|^169\.254\.|^172\.(?:1[6-9]|2[0-9]|3[01])\.|^192\.0\.0\.(?!(?:9|10)$)|^192\.0\.2\."
+    r"|^192\.168\.|^198\.1[89]\.|^198\.51\.100\.|^203\.0\.113\.|^(?:22[4-9]|2[3-5][0-9])\."
 )
-REACHABLE_V4 = ("192.0.0.9/32", "192.0.0.10/32")
 # Outside these the IPv6 space is reserved, private, link-local or multicast.
 ROUTED_V6 = ("2000::/3", "fec0::/10")
 SPECIAL_V6 = ("2001::/23", "2001:db8::/32", "2002::/16")
@@ -54,6 +46,11 @@ def is_ipv4(ip: Column) -> Column:
     return ip.rlike(_IPV4)
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated, and written into the plan, only once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _tail_as_groups(ip: Column) -> Column:
     """Rewrite a dotted IPv4 tail of an IPv6 address as two hex groups."""
     tail = F.substring_index(ip, ":", -1)
@@ -67,17 +64,16 @@ def _groups(text: Column) -> Column:
     return F.filter(F.split(text, ":"), lambda g: g != "")
 
 
+def _is_groups(text: Column) -> Column:
+    shape = text.rlike("^[0-9a-fA-F:]+$") & ~text.rlike("[0-9a-fA-F]{5}|:::|::.*::|^:[^:]|[^:]:$")
+    n = F.size(_groups(text))
+    return shape & F.when(text.contains("::"), n <= 7).otherwise(n == 8)
+
+
 def is_ipv6(ip: Column) -> Column:
     """Textual IPv6: hex groups, at most one ``::`` standing for one group or more."""
-    text = _tail_as_groups(F.regexp_replace(ip, r"^([0-9a-fA-F:.]*)%[^%]+$", "$1"))
-    shape = (
-        text.rlike("^[0-9a-fA-F:]+$")
-        & ~text.rlike("[0-9a-fA-F]{5}")
-        & ~text.rlike(":::|::.*::|^:[^:]|[^:]:$")
-    )
-    n = F.size(_groups(text))
-    enough = F.when(text.contains("::"), n <= 7).otherwise(n == 8)
-    return F.when(ip.contains(":"), shape & enough).otherwise(False)
+    text = _bound(F.regexp_replace(ip, r"^([0-9a-fA-F:.]*)%[^%]+$", "$1"), _tail_as_groups)
+    return F.when(ip.contains(":"), _bound(text, _is_groups)).otherwise(False)
 
 
 def is_valid_ip(ip: Column) -> Column:
@@ -86,49 +82,43 @@ def is_valid_ip(ip: Column) -> Column:
     return F.coalesce(is_ipv4(text) | is_ipv6(text), F.lit(False))
 
 
-def ipv4_number(ip: Column) -> Column:
-    """IPv4 address as a number; null for anything else."""
-    octet = lambda i: F.split_part(ip, F.lit("."), F.lit(i)).try_cast("bigint")
-    return F.when(is_ipv4(ip), octet(1) * 16777216 + octet(2) * 65536 + octet(3) * 256 + octet(4))
-
-
 def ipv6_digits(ip: Column) -> Column:
     """IPv6 address as 32 lower-case hex digits; null for anything else."""
-    text = F.lower(_tail_as_groups(F.split_part(ip, F.lit("%"), F.lit(1))))
-    left = _groups(F.substring_index(text, "::", 1))
-    right = F.when(text.contains("::"), _groups(F.substring_index(text, "::", -1))).otherwise(
-        F.array().cast("array<string>")
-    )
-    zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - F.size(left) - F.size(right), F.lit(0)))
-    padded = F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0"))
-    return F.when(is_ipv6(ip), F.array_join(padded, ""))
-
 
-def _any(tests: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, tests)
+    def spelled(text: Column) -> Column:
+        left = _groups(F.substring_index(text, "::", 1))
+        right = F.when(text.contains("::"), _groups(F.substring_index(text, "::", -1))).otherwise(
+            F.array().cast("array<string>")
+        )
+        zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - F.size(left) - F.size(right), F.lit(0)))
+        return F.array_join(F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0")), "")
 
+    def digits(text: Column) -> Column:
+        bare = F.lower(F.split_part(text, F.lit("%"), F.lit(1)))
+        return F.when(is_ipv6(text), _bound(_bound(bare, _tail_as_groups), spelled))
 
-def _in_v4(number: Column, networks: tuple[str, ...]) -> Column:
-    nets = [ipaddress.ip_network(n) for n in networks]
-    return _any([number.between(int(n.network_address), int(n.broadcast_address)) for n in nets])
+    return F.when(ip.contains(":"), _bound(ip, digits))
 
 
 def _in_v6(digits: Column, networks: tuple[str, ...]) -> Column:
     nets = [ipaddress.ip_network(n) for n in networks]
     text = lambda a: a.exploded.replace(":", "")
-    return _any([digits.between(text(n.network_address), text(n.broadcast_address)) for n in nets])
+    tests = [digits.between(text(n.network_address), text(n.broadcast_address)) for n in nets]
+    return reduce(lambda a, b: a | b, tests)
+
+
+def _routed_v6(digits: Column) -> Column:
+    return _in_v6(digits, ROUTED_V6) & (~_in_v6(digits, SPECIAL_V6) | _in_v6(digits, REACHABLE_V6))
 
 
 def is_local_or_private(ip: Column) -> Column:
     """Loopback and RFC 1918 addresses: never blocked. False for invalid text."""
-    return F.coalesce(_in_v4(ipv4_number(ip), GUARDED_V4), ipv6_digits(ip) == LOOPBACK_V6, F.lit(False))
+    v4 = is_ipv4(ip) & ip.rlike(GUARDED_V4)
+    return F.coalesce(v4 | F.coalesce(ipv6_digits(ip) == LOOPBACK_V6, F.lit(False)), F.lit(False))
 
 
 def is_public(ip: Column) -> Column:
     """Globally routable addresses: the only ones that carry a reputation."""
-    v4, v6 = ipv4_number(ip), ipv6_digits(ip)
-    return F.coalesce(
-        ~_in_v4(v4, SPECIAL_V4) | _in_v4(v4, REACHABLE_V4),
-        _in_v6(v6, ROUTED_V6) & (~_in_v6(v6, SPECIAL_V6) | _in_v6(v6, REACHABLE_V6)),
-        F.lit(False),
-    )
+    v4 = is_ipv4(ip) & ~ip.rlike(SPECIAL_V4)
+    v6 = F.when(ip.contains(":"), F.coalesce(_bound(ipv6_digits(ip), _routed_v6), F.lit(False)))
+    return F.coalesce(v6, v4, F.lit(False))

@@ -18,21 +18,25 @@ def two_decimals(value: Column) -> Column:
     ``bround`` and ``format_string`` start from the shortest decimal text instead. The
     fraction times 2**60 is a whole number for every value that rounds to 0.01 or more.
     """
-    whole = F.floor(value)
     scale = 2**60
-    scaled = ((value - whole) * float(scale)).cast("bigint").cast("decimal(20,0)") * F.lit(100)
-    cents = F.call_function("div", scaled, F.lit(scale).cast("decimal(20,0)"))
-    rest = scaled - cents.cast("decimal(20,0)") * F.lit(scale).cast("decimal(20,0)")
-    half = F.lit(scale // 2).cast("decimal(20,0)")
-    total = whole * 100 + cents
-    odd = F.pmod(total, F.lit(2)) == 1
-    up = F.when((rest > half) | ((rest == half) & odd), 1).otherwise(0)
-    total = total + up
-    return F.concat(
-        F.call_function("div", total, F.lit(100)).cast("string"),
-        F.lit("."),
-        F.lpad(F.pmod(total, F.lit(100)).cast("string"), 2, "0"),
-    )
+    unit = F.lit(scale).cast("decimal(20,0)")
+
+    def cents(v: Column) -> Column:
+        scaled = ((v - F.floor(v)) * float(scale)).cast("bigint").cast("decimal(20,0)") * F.lit(100)
+        down = F.call_function("div", scaled, unit)
+        rest = scaled - down.cast("decimal(20,0)") * unit
+        total = F.floor(v) * 100 + down
+        half = F.lit(scale // 2).cast("decimal(20,0)")
+        up = (rest > half) | ((rest == half) & (F.pmod(total, F.lit(2)) == 1))
+        return total + F.when(up, 1).otherwise(0)
+
+    def text(n: Column) -> Column:
+        parts = [F.call_function("div", n, F.lit(100)), F.lpad(F.pmod(n, F.lit(100)).cast("string"), 2, "0")]
+        return F.concat_ws(".", parts[0].cast("string"), parts[1])
+
+    # each step refers to its input several times: bind it once
+    totals = F.transform(F.array(value), cents)
+    return F.get(F.transform(totals, text), F.lit(0))
 
 
 def zero_padded(number: Column, width: int) -> Column:

@@ -95,54 +95,52 @@ def month_number(name: Column, any_case: bool) -> Column:
 
 
 def _number(text: Column) -> Column:
-    return F.when(text.rlike(r"^\d{1,2}$"), text.try_cast("int"))
+    return F.when(F.length(text) <= 2, text.try_cast("int"))
 
 
 def _wall_clock(year, month, day, hour, minute, second) -> Column:
     # the constructor would roll second 60 over into the next minute
     return F.when(
-        second <= 59,
+        second < 60,
         F.call_function("try_make_timestamp_ntz", year, month, day, hour, minute, second.cast("decimal(16,6)")),
     )
 
 
+def syslog_fields(stamp: Column) -> Column:
+    """``May 26 02:13:01`` -> array of month, day, hour, minute and second texts."""
+    return F.split(stamp, r"(?U)[\s:]+")
+
+
 def syslog_clock(
-    stamp: Column, as_of_year: int, as_of_month: int | None = None, any_case: bool = False
+    fields: Column, as_of_year: int, as_of_month: int | None = None, any_case: bool = False
 ) -> Column:
-    """``May 26 02:13:01`` -> ``timestamp_ntz``, null when it is no valid time.
+    """Syslog fields -> ``timestamp_ntz``, null when they are no valid time.
 
     Syslog carries no year. Without ``as_of_month`` the year is ``as_of_year``; with it,
     months after ``as_of_month`` belong to the year before.
     """
-    fields = r"(?Ud)^(\w+)\s+(\d+)\s+(\d+):(\d+):(\d+)$"
-    part = lambda i: F.regexp_extract(stamp, fields, i)
-    month = month_number(part(1), any_case)
+    month = month_number(F.get(fields, 0), any_case)
     year = F.lit(as_of_year)
     if as_of_month is not None:
         year = F.when(month > as_of_month, as_of_year - 1).otherwise(as_of_year)
-    return _wall_clock(year, month, *[_number(part(i)) for i in (2, 3, 4, 5)])
+    return _wall_clock(year, month, *[_number(F.get(fields, i)) for i in (1, 2, 3, 4)])
 
 
-_ISO = r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2})(?:\.(\d+))?(?:([+-])(\d{2}):(\d{2}))?$"
+_ISO = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:[+-]\d{2}:\d{2})?$"
 
 
 def iso_clock(token: Column) -> Column:
     """ISO date-time token -> wall clock; fraction digits after the sixth are cut off."""
-    part = lambda i: F.regexp_extract(token, _ISO, i).try_cast("int")
-    second = F.concat_ws(
-        ".",
-        F.regexp_extract(token, _ISO, 6),
-        F.substring(F.concat(F.regexp_extract(token, _ISO, 7), F.lit("000000")), 1, 6),
-    ).try_cast("decimal(16,6)")
-    valid = (part(1) >= 1) & (part(6) <= 59) & (F.coalesce(iso_offset_minutes(token), F.lit(0)).between(-1439, 1439))
-    return F.when(
-        token.rlike(_ISO) & valid,
-        F.call_function("try_make_timestamp_ntz", part(1), part(2), part(3), part(4), part(5), second),
-    )
+    part = lambda start, size: F.substring(token, start, size).try_cast("int")
+    fraction = F.regexp_extract(token, r"\.(\d{1,6})", 1)
+    second = F.concat(F.substring(token, 18, 2), F.lit("."), F.rpad(fraction, 6, "0")).try_cast("decimal(16,6)")
+    valid = token.rlike(_ISO) & (part(1, 4) >= 1) & F.coalesce(F.abs(iso_offset_minutes(token)) < 1440, F.lit(True))
+    return F.when(valid, _wall_clock(part(1, 4), part(6, 2), part(9, 2), part(12, 2), part(15, 2), second))
 
 
 def iso_offset_minutes(token: Column) -> Column:
     """UTC offset of an ISO token in minutes, null when it has none."""
-    sign = F.regexp_extract(token, _ISO, 8)
-    size = F.regexp_extract(token, _ISO, 9).try_cast("int") * 60 + F.regexp_extract(token, _ISO, 10).try_cast("int")
-    return F.when(sign == "-", -size).when(sign == "+", size)
+    tail = F.substring(token, -6, 6)
+    size = F.substring(tail, 2, 2).try_cast("int") * 60 + F.substring(tail, 5, 2).try_cast("int")
+    minus = F.startswith(tail, F.lit("-"))
+    return F.when(minus | F.startswith(tail, F.lit("+")), F.when(minus, -size).otherwise(size))

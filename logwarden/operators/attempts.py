@@ -19,16 +19,20 @@ from logwarden.operators.formats import FORMATS, AsOf, LogFormat, first_format,
 UNKNOWN_USER = "<unknown>"
 
 
-def _message(line: Column, fmt: Column, as_of: AsOf, formats: tuple[LogFormat, ...]) -> Column:
-    """Message and time of a line under its layout, null where the layout does not match."""
+def _message(line: Column, fmt: Column, formats: tuple[LogFormat, ...]) -> Column:
+    """Message and time fields of a line under its layout, null where it does not match."""
     choice = F.when(F.lit(False), None)
     for i, known in enumerate(formats):
-        fields = F.struct(
-            known.info(line).alias("info"),
-            known.clock(line, as_of).alias("ts"),
-            known.offset(line).alias("tz_offset_min"),
-        )
-        choice = choice.when((fmt == i) & known.matches(line), fields)
+        parts = F.struct(known.info(line).alias("info"), known.fields(line).alias("time"))
+        choice = choice.when((fmt == i) & known.matches(line), parts)
+    return choice
+
+
+def _clock(time: Column, fmt: Column, as_of: AsOf, formats: tuple[LogFormat, ...]) -> Column:
+    choice = F.when(F.lit(False), None)
+    for i, known in enumerate(formats):
+        read = F.struct(known.clock(time, as_of).alias("ts"), known.offset(time).alias("tz_offset_min"))
+        choice = choice.when(fmt == i, read)
     return choice
 
 
@@ -76,12 +80,13 @@ def scan_lines(
         read = with_format(lines, formats, format)
     else:
         read = with_struct(lines, "format", first_format(F.col("line"), formats))
-    read = with_struct(read, "message", _message(F.col("line"), F.col("format"), as_of, formats))
-    info, ts = F.col("message.info"), F.col("message.ts")
-    found = F.when(ts.isNotNull(), _attempt(info, F.col("format"), formats, rules))
+    fmt = F.col("format")
+    read = with_struct(read, "message", _message(F.col("line"), fmt, formats))
+    read = with_struct(read, "clock", _clock(F.col("message.time"), fmt, as_of, formats))
+    ts, offset = F.col("clock.ts"), F.col("clock.tz_offset_min")
+    found = F.when(ts.isNotNull(), _attempt(F.col("message.info"), fmt, formats, rules))
     read = with_struct(read, "attempt", found)
     valid = is_valid_ip(F.col("attempt.ip"))
-    offset = F.col("message.tz_offset_min")
     keep = [c for c in ("file", "pos") if c in lines.columns]
     return read.select(
         *keep,

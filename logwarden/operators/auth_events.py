@@ -30,7 +30,7 @@ def _found(line: Column, literal: str, pattern: str) -> Column:
     return F.contains(line, F.lit(literal)) & line.rlike(JAVA_FLAGS + pattern)
 
 
-def parsed_event(line: Column, year: int) -> Column:
+def parsed_event(line: Column) -> Column:
     """One struct per line, null where no pattern matches.
 
     A line belongs to the first pattern that matches it, even if its time is invalid.
@@ -45,7 +45,7 @@ def parsed_event(line: Column, year: int) -> Column:
             (F.lit(None).cast("string") if ip is None else ip).alias("ip"),
             user.alias("user"),
             (F.lit(None).cast("string") if command is None else command).alias("command"),
-            t.syslog_clock(group(pattern, 1), year, any_case=True).alias("ts"),
+            t.syslog_fields(group(pattern, 1)).alias("time"),
         )
 
     return (
@@ -70,6 +70,8 @@ def parsed_event(line: Column, year: int) -> Column:
 
 def auth_events(lines: DataFrame, year: int) -> DataFrame:
     """Events of a ``pos, line`` table, in one pass and without a shuffle."""
-    parsed = with_struct(lines.select("pos", "line"), "event", parsed_event(F.col("line"), year))
-    events = parsed.select("pos", "event.*").filter(F.col("ts").isNotNull())
+    parsed = with_struct(lines.select("pos", "line"), "event", parsed_event(F.col("line")))
+    ts = t.syslog_clock(F.col("event.time"), year, any_case=True)
+    events = parsed.select("pos", "event.kind", "event.ip", "event.user", "event.command", ts.alias("ts"))
+    events = events.filter(F.col("ts").isNotNull())
     return events.withColumn("ts_us", t.micros_of(F.col("ts")))

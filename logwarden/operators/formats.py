@@ -41,15 +41,17 @@ class AsOf:
 class LogFormat:
     """A line layout: where the message is, and how to read the time (native expressions).
 
-    ``first_look`` is tried on the message before the general rules; when it matches, the
+    ``fields`` cuts the texts that make up the time out of a line; ``clock`` and ``offset``
+    (in minutes) read that array. ``first_look`` is tried on the message before the general rules; when it matches, the
     result is final. Groups: user, address.
     """
 
     name: str
     pattern: str
     info_group: int
+    fields: Callable[[Column], Column]
     clock: Callable[[Column, AsOf], Column]
-    offset: Callable[[Column], Column] = lambda line: F.lit(None).cast("int")
+    offset: Callable[[Column], Column] = lambda fields: F.lit(None).cast("int")
     first_look: str | None = INVALID_USER
 
     def matches(self, line: Column) -> Column:
@@ -60,36 +62,35 @@ class LogFormat:
 
 
 def _until_blank(line: Column) -> Column:
-    return F.substring_index(line, " ", 1)
+    return F.array(F.substring_index(line, " ", 1))
 
 
 def _first_word(line: Column) -> Column:
-    return F.regexp_extract(line, r"(?Ud)^\s*(\S+)", 1)
+    return F.array(F.regexp_extract(line, r"(?Ud)^\s*(\S+)", 1))
 
 
-def _syslog_stamp(line: Column, as_of: AsOf) -> Column:
-    stamp = F.regexp_extract(line, r"(?Ud)^(\w+\s+\d{1,2}\s+\d{2}:\d{2}:\d{2})", 1)
-    return t.syslog_clock(stamp, as_of.year, as_of.month)
+def _iso_clock(fields: Column, as_of: AsOf) -> Column:
+    return t.iso_clock(F.get(fields, 0))
+
+
+def _iso_offset(fields: Column) -> Column:
+    return t.iso_offset_minutes(F.get(fields, 0))
+
+
+def _syslog_fields(line: Column) -> Column:
+    return t.syslog_fields(F.regexp_extract(line, r"(?Ud)^(\w+\s+\d{1,2}\s+\d{2}:\d{2}:\d{2})", 1))
+
+
+def _syslog_clock(fields: Column, as_of: AsOf) -> Column:
+    return t.syslog_clock(fields, as_of.year, as_of.month)
 
 
 # In order of precedence.
 FORMATS = (
-    LogFormat(
-        ISO_NAME,
-        ISO,
-        3,
-        clock=lambda line, as_of: t.iso_clock(_until_blank(line)),
-        offset=lambda line: t.iso_offset_minutes(_until_blank(line)),
-    ),
-    LogFormat(
-        JOURNALD_NAME,
-        JOURNALD,
-        3,
-        clock=lambda line, as_of: t.iso_clock(_first_word(line)),
-        offset=lambda line: t.iso_offset_minutes(_first_word(line)),
-    ),
-    LogFormat(RHEL_NAME, RHEL, 4, clock=_syslog_stamp),
-    LogFormat(SYSLOG_NAME, SYSLOG, 4, clock=_syslog_stamp),
+    LogFormat(ISO_NAME, ISO, 3, _until_blank, _iso_clock, _iso_offset),
+    LogFormat(JOURNALD_NAME, JOURNALD, 3, _first_word, _iso_clock, _iso_offset),
+    LogFormat(RHEL_NAME, RHEL, 4, _syslog_fields, _syslog_clock),
+    LogFormat(SYSLOG_NAME, SYSLOG, 4, _syslog_fields, _syslog_clock),
 )
 
 
