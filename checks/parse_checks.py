@@ -84,7 +84,7 @@ def _scan_ctes(chosen: str, rules=RULES) -> str:
     return f"""
 looked as ({chosen}),
 timed as (
-  select *, epoch_us(ts) - case when tz is null then 0 else tz * 60000000 end as ts_us
+  select *, epoch_us(ts) - case when tz is null then 0 else tz::bigint * 60000000 end as ts_us
   from (select file, pos, format, coalesce({matched} end, false) as matched, {info} end as info,
       case when format in (0, 1) and regexp_matches({token}, {_q(_ISO_FULL)}) then try_cast(left({token}, 10) || ' ' || regexp_extract({token}, 'T([0-9:.]+)', 1) as timestamp)
            when format in (2, 3) and left(line, 3) in ('Jan', 'Dec')

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logwarden.functions import timestamps as t
+from logwarden.operators.compute_once import with_struct
 
 DUCK_BASE = "select event_id, event_type, user_id, epoch_us(ts) as us from events"
 
@@ -26,9 +27,13 @@ select event_id as pos,
   case event_id % 4 when 0 then '/bin/bash' when 1 then '/usr/bin/apt update'
        when 2 then '/usr/bin/passwd root' else 'su to root' end as command,
   hr * 3600 + cast((sec_of_hr - sec_of_hr % 12) / 12 as bigint) as ts_s
-from (select *, cast((us - us % 3600000000) / 3600000000 as bigint) as hr,
-             cast(((us - us % 1000000) / 1000000) as bigint) % 3600 as sec_of_hr
-      from ({base}) b) c
+from ({hours}) c
+"""
+
+_HOURS = """
+select *, cast((us - us % 3600000000) / 3600000000 as bigint) as hr,
+       cast(((us - us % 1000000) / 1000000) as bigint) % 3600 as sec_of_hr
+from ({base}) b
 """
 
 _CLOCK = """
@@ -103,7 +108,7 @@ where ip not like '10.%'
 
 
 def _duck_auth() -> str:
-    return _AUTH.format(base=DUCK_BASE)
+    return _AUTH.format(hours=_HOURS.format(base=DUCK_BASE))
 
 
 def duck_views(*names: str) -> str:
@@ -124,8 +129,13 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def auth_from(events: DataFrame) -> DataFrame:
     """The ``auth`` view over an ``events`` DataFrame, batch or streaming."""
+    spark = events.sparkSession
     base = events.select("event_id", "event_type", "user_id", t.micros_of(F.col("ts")).alias("us"))
-    return events.sparkSession.sql(_AUTH.format(base="select * from {base}"), base=base)
+    timed = spark.sql(_HOURS.format(base="select * from {base}"), base=base)
+    # the hour is used many times below: do not let filters repeat its derivation
+    bound = with_struct(timed.select("event_id", "event_type", "user_id", "hr", "sec_of_hr"), "h", F.struct("hr", "sec_of_hr"))
+    plain = bound.select("event_id", "event_type", "user_id", "h.hr", "h.sec_of_hr")
+    return spark.sql(_AUTH.format(hours="select * from {plain}"), plain=plain)
 
 
 def auth(spark: SparkSession, sf_dir: str) -> DataFrame:

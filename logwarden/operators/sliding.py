@@ -54,25 +54,28 @@ def window_aggregate(
         )
 
     # a probe whose window starts on a block border lies in one block: no head needed
-    places = F.array_compact(
-        F.array(
-            F.when(is_fact, place(_FACT, time)),
-            F.when(is_probe, place(_TAIL, first)),
-            F.when(is_probe & (floor_div(first, width) != floor_div(last, width)), place(_HEAD, last)),
-        )
+    two_blocks = floor_div(first, width) != floor_div(last, width)
+    places = F.array(
+        F.when(is_fact, place(_FACT, time)),
+        F.when(is_probe, place(_TAIL, first)),
+        F.when(is_probe & two_blocks, place(_HEAD, last)),
     )
-    inputs = [F.when(is_fact, value).alias(name) for name, (value, _) in measures.items()]
-    placed = rows.select(*keys, *inputs, F.explode(places).alias("place")).select(
-        *keys, "place.*", *[F.when(F.col("place.side") == _FACT, F.col(name)).alias(name) for name in measures]
+    side = F.col("side")
+    inputs = [value.alias(name) for name, (value, _) in measures.items()]
+    placed = (
+        rows.select(*keys, *inputs, F.inline(places).alias("block", "position", "side"))
+        .filter(side.isNotNull())
+        .select(*keys, "block", "position", "side", *[F.when(side == _FACT, F.col(m)).alias(m) for m in measures])
     )
     merged = placed.groupBy(*keys, "block", "position", "side").agg(
         *[COMBINE[how](name).alias(name) for name, (_, how) in measures.items()]
     )
 
     block = Window.partitionBy(*keys, "block")
-    upto = block.orderBy("position").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = block.orderBy(F.desc("position")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    tail = F.col("side") == _TAIL
+    # facts sort before the probes of the same time, in both directions
+    upto = block.orderBy("position", "side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    onward = block.orderBy(F.desc("position"), "side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tail = side == _TAIL
     swept = merged.select(
         *keys,
         "position",
@@ -81,7 +84,7 @@ def window_aggregate(
         *[COMBINE[how](name).over(onward).alias(f"{name}_tail") for name, (_, how) in measures.items()],
     )
     probe_time = F.when(tail, F.col("position") - start).otherwise(F.col("position") - (start + width - 1))
-    parts = swept.filter(F.col("side") != _FACT).select(
+    parts = swept.filter(side != _FACT).select(
         *keys,
         probe_time.alias(at),
         *[F.when(tail, F.col(f"{m}_tail")).otherwise(F.col(f"{m}_head")).alias(m) for m in measures],
