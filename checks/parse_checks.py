@@ -124,7 +124,7 @@ def match_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detect_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = fm.detect_formats(v.mixed_lines(spark, sf_dir))
+    found = fm.detect_formats(v.mixed_lines(spark, sf_dir)).drop("lines")
     return a.with_format_name(found)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from logwarden.functions import timestamps as t
 from logwarden.functions.severity import compromise_severity
 from logwarden.functions.text import starts_with_any
+from logwarden.operators.skew import join_facts
 from logwarden.operators.sliding import window_aggregate
 from logwarden.params import DEFAULTS, Params
 
@@ -78,7 +79,7 @@ def off_hours_logins(events: DataFrame, params: Params = DEFAULTS) -> DataFrame:
 
 
 def failure_evidence(events: DataFrame, minutes: float) -> DataFrame:
-    """``ip, ts_us, failures, first_us, last_us`` for each distinct login (address, time).
+    """``ip, ts_us, failures, first_us, last_us, probes`` for each distinct login (address, time).
 
     The failures of the same address in the ``minutes`` before the login, the login's own
     time excluded and the far end included. Logins with fewer than two are left out.
@@ -106,11 +107,10 @@ def failure_evidence(events: DataFrame, minutes: float) -> DataFrame:
 def suspicious_logins(events: DataFrame, minutes: float) -> DataFrame:
     """Accepted logins with their failure evidence, ``pos, ip, user, ts_us, failures, …``.
 
-    The evidence has one row per (ip, ts_us); if very many logins share one, adaptive
-    execution splits that side of the join.
+    The evidence has one row per (ip, ts_us), which very many logins may share.
     """
     logins = events.filter(F.col("kind") == "success").select("pos", "ip", "user", "ts_us")
-    return logins.join(failure_evidence(events, minutes), ["ip", "ts_us"])
+    return join_facts(logins, failure_evidence(events, minutes), ["ip", "ts_us"], "pos", weight="probes")
 
 
 def bruteforce_success(events: DataFrame, params: Params = DEFAULTS) -> DataFrame:
@@ -147,7 +147,8 @@ def unknown_user_logins(
     if known is None:
         logins = logins.filter(~F.col("user").isin(*params.known_users))
     else:
-        logins = logins.join(known.select("user").distinct(), "user", "left_anti")
+        listed = known.select("user").distinct().withColumn("_listed", F.lit(True))
+        logins = join_facts(logins, listed, ["user"], "pos", how="left").filter(F.col("_listed").isNull())
     user, ip, ts_us = F.col("user"), F.col("ip"), F.col("ts_us")
     detail = _text(
         "Successful login by unrecognized user '", user, "' from ", ip, " at ", _clock(ts_us),
@@ -191,7 +192,7 @@ def failed_login_bursts(events: DataFrame, params: Params = DEFAULTS) -> DataFra
 
 
 def first_escalations(logins: DataFrame, events: DataFrame, minutes: float) -> DataFrame:
-    """``user, ts_us, sudo``: the first sudo, in log order, of the user after each login time.
+    """``user, ts_us, sudo, probes``: the first sudo, in log order, of the user after each login time.
 
     Both ends of the ``minutes`` after the login count. ``sudo`` is ``pos, ts_us, command``.
     """
@@ -220,7 +221,8 @@ def account_compromises(events: DataFrame, params: Params = DEFAULTS) -> DataFra
     Each alert carries its three-step timeline.
     """
     logins = suspicious_logins(events, params.compromise_minutes)
-    chains = logins.join(first_escalations(logins, events, params.compromise_minutes), ["user", "ts_us"])
+    escalations = first_escalations(logins, events, params.compromise_minutes)
+    chains = join_facts(logins, escalations, ["user", "ts_us"], "pos", weight="probes")
     n, user, ip, ts_us = F.col("failures"), F.col("user"), F.col("ip"), F.col("ts_us")
     sudo_us, command = F.col("sudo.ts_us"), F.col("sudo.command")
     severity = compromise_severity(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from logwarden.functions.addresses import is_public
 from logwarden.functions.severity import upgrade_severity
 from logwarden.operators.detections import LOCALHOST
+from logwarden.operators.skew import join_facts
 from logwarden.params import DEFAULTS, Params
 
 ABUSE = (
@@ -58,24 +59,18 @@ def enrich(
 ) -> DataFrame:
     """Add ``threat_intel``, raise the severity of alerts from notorious addresses, extend ``detail``.
 
-    Only public addresses have a reputation. The rows of all others (alerts about the
-    host itself are often the largest group) get distinct join keys that match nothing, so
-    they spread over all partitions. Without any source ``threat_intel`` is null; with one,
-    addresses that it does not know get a struct of nulls.
+    Only public addresses have a reputation; alerts of all others (those about the host
+    itself are often the largest group) do not take part in the join. The sources are
+    joined to one row per address first, so the alerts move once at most. Without any source
+    ``threat_intel`` is null; with one, unknown addresses get a struct of nulls.
     """
     intel = f"struct<abuseipdb:{ABUSE},virustotal:{VERDICT}>"
     if abuse is None and verdicts is None:
         return alerts.withColumn("threat_intel", F.lit(None).cast(intel))
 
     public = (F.col("ip") != LOCALHOST) & is_public(F.col("ip"))
-    scattered = F.concat(F.lit("~"), F.pmod(F.xxhash64("pos"), F.lit(100_000)).cast("string"))
-    rows = alerts.withColumn("_key", F.when(public, F.col("ip")).otherwise(scattered))
-    for dim, name, kind in ((abuse, "abuse", ABUSE), (verdicts, "verdict", VERDICT)):
-        if dim is None:
-            rows = rows.withColumn(name, F.lit(None).cast(kind))
-        else:
-            known = dim.select(F.col("ip").alias("_key"), F.col(name).cast(kind).alias(name))
-            rows = rows.join(known, "_key", "left")
+    rows = alerts.withColumn("_key", F.when(public, F.col("ip"))).withColumn("_row", F.struct("detector", "pos"))
+    rows = join_facts(rows, _reputations(abuse, verdicts), ["_key"], "_row", how="left")
     score = F.col("abuse.abuse_confidence_score")
     notes = [F.coalesce(note, F.lit("")) for note in (abuse_note(F.col("abuse"), params), verdict_note(F.col("verdict")))]
     both = F.struct(F.col("abuse").alias("abuseipdb"), F.col("verdict").alias("virustotal"))
@@ -87,6 +82,18 @@ def enrich(
     ).select(*alerts.columns, "threat_intel")
 
 
+def _reputations(abuse: DataFrame | None, verdicts: DataFrame | None) -> DataFrame:
+    """``_key, abuse, verdict``: one row per address that any source knows."""
+    dims = []
+    for dim, name, kind in ((abuse, "abuse", ABUSE), (verdicts, "verdict", VERDICT)):
+        if dim is not None:
+            dims.append(dim.select(F.col("ip").alias("_key"), F.col(name).cast(kind).alias(name)))
+    if len(dims) == 2:
+        return dims[0].join(dims[1], "_key", "full")
+    missing = ("verdict", VERDICT) if verdicts is None else ("abuse", ABUSE)
+    return dims[0].withColumn(missing[0], F.lit(None).cast(missing[1]))
+
+
 def intel_lines(intel: Column) -> Column:
     """Array of report lines about an alert's reputation."""
     abuse, verdict = intel["abuseipdb"], intel["virustotal"]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from logwarden.functions import timestamps as t
 from logwarden.operators.auth_events import JAVA_FLAGS
+from logwarden.operators.skew import join_facts
 
 # Broadcasting the per-file table stays below this many files (about 200 bytes each).
 BROADCAST_FILES = 100_000
@@ -112,13 +113,14 @@ def first_format(line: Column, formats: tuple[LogFormat, ...] = FORMATS) -> Colu
 
 
 def detect_formats(lines: DataFrame, formats: tuple[LogFormat, ...] = FORMATS) -> DataFrame:
-    """``file, format``: the layout of the first line of each file that fits any layout.
+    """``file, format, lines``: the layout of the first line of each file that fits any layout.
 
     A hash aggregate with map-side combine: one row per file and task is shuffled.
     """
     looked = lines.select("file", "pos", first_format(F.col("line"), formats).alias("format"))
     first = F.min_by("format", F.when(F.col("format").isNotNull(), F.col("pos")))
-    return looked.groupBy("file").agg(first.alias("format")).filter(F.col("format").isNotNull())
+    found = looked.groupBy("file").agg(first.alias("format"), F.count("*").alias("lines"))
+    return found.filter(F.col("format").isNotNull())
 
 
 def with_format(
@@ -127,15 +129,15 @@ def with_format(
     """Add the layout index that each line has to be read with, null if the file has none.
 
     A forced layout needs no detection scan. Detection joins one row per file back to the
-    lines: broadcast while the number of files is small, a shuffle join beyond that (hot
-    files are split by adaptive execution).
+    lines: broadcast while the number of files is small, beyond that a shuffle join that
+    spreads hot files.
     """
     if forced is not None:
         return lines.withColumn("format", F.lit(format_index(forced, formats)))
     chosen = detect_formats(lines, formats)
     if _files_are_groups(lines) and len(lines.inputFiles()) <= BROADCAST_FILES:
-        chosen = F.broadcast(chosen)
-    return lines.join(chosen, "file", "left")
+        return lines.join(F.broadcast(chosen.drop("lines")), "file", "left")
+    return join_facts(lines, chosen, ["file"], "pos", weight="lines", how="left")
 
 
 def _files_are_groups(lines: DataFrame) -> bool:

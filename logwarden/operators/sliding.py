@@ -36,12 +36,12 @@ def window_aggregate(
     width: int,
     measures: dict[str, tuple[Column, str]],
 ) -> DataFrame:
-    """``keys, at, <measures>``: one row per distinct probe (keys, at).
+    """``keys, at, <measures>, probes``: one row per distinct probe (keys, at) with facts.
 
     ``rows`` holds facts and probes; a row can be both. The window of a probe at time p is
     ``p + start <= fact time < p + start + width``, all integers of the unit of ``at``.
-    ``measures`` maps names to (expression over a fact row, 'sum' | 'min' | 'max'); they
-    are null (sums too) when the window is empty.
+    ``measures`` maps names to (expression over a fact row, 'sum' | 'min' | 'max').
+    ``probes`` is the number of probe rows at that time. Empty windows give no row.
     """
     if width < 1:
         raise ValueError("the window must be at least one time unit wide")
@@ -68,7 +68,7 @@ def window_aggregate(
         .select(*keys, "block", "position", "side", *[F.when(side == _FACT, F.col(m)).alias(m) for m in measures])
     )
     merged = placed.groupBy(*keys, "block", "position", "side").agg(
-        *[COMBINE[how](name).alias(name) for name, (_, how) in measures.items()]
+        *[COMBINE[how](name).alias(name) for name, (_, how) in measures.items()], F.count("*").alias("probes")
     )
 
     block = Window.partitionBy(*keys, "block")
@@ -80,6 +80,7 @@ def window_aggregate(
         *keys,
         "position",
         "side",
+        "probes",
         *[COMBINE[how](name).over(upto).alias(f"{name}_head") for name, (_, how) in measures.items()],
         *[COMBINE[how](name).over(onward).alias(f"{name}_tail") for name, (_, how) in measures.items()],
     )
@@ -87,11 +88,12 @@ def window_aggregate(
     parts = swept.filter(side != _FACT).select(
         *keys,
         probe_time.alias(at),
+        "probes",
         *[F.when(tail, F.col(f"{m}_tail")).otherwise(F.col(f"{m}_head")).alias(m) for m in measures],
     )
     found = reduce(lambda a, b: a | b, [F.col(m).isNotNull() for m in measures])
     return (
         parts.filter(found)
         .groupBy(*keys, at)
-        .agg(*[COMBINE[how](name).alias(name) for name, (_, how) in measures.items()])
+        .agg(*[COMBINE[how](name).alias(name) for name, (_, how) in measures.items()], F.max("probes").alias("probes"))
     )
