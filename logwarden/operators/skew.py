@@ -12,11 +12,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot with more than this share of the rows. At most so many keys can be hot, so
-# the broadcast is bounded whatever the data.
-HOT_KEYS_AT_MOST = 10_000
-# ... and with at least this many rows; below, one task copes with any key.
-HOT_ROWS_AT_LEAST = 100_000
+# Rows of one key that a single task still copes with (they are small, and sorts spill).
+# Fewer than rows / HOT_ROWS keys can be hot: 100,000 keys, some 10 MB, for 10**12 rows.
+HOT_ROWS = 10_000_000
 _SPREAD = 1_000_000
 
 
@@ -35,7 +33,7 @@ def join_facts(
     spread_by: str,
     weight: str | None = None,
     how: str = "inner",
-    hot_rows: int = HOT_ROWS_AT_LEAST,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi-join ``rows`` to ``facts``, which has one row per key.
 
@@ -53,10 +51,10 @@ def join_facts(
     else:
         weighted = facts.withColumnRenamed(weight, "_n")
 
-    total = weighted.agg(F.sum("_n")).scalar()
-    is_hot = (F.col("_n") >= hot_rows) & (F.col("_n") * HOT_KEYS_AT_MOST > total)
-    hot = weighted.filter(is_hot).select(*keys, F.struct(*values).alias("_hot"))
-    cold = facts.select(*keys, F.lit(0).alias("_spread"), F.struct(*values).alias("_cold"))
+    # both sides keep all columns, so that their common exchange is computed once
+    packed = weighted.select(*keys, F.struct(*values, "_n").alias("_packed"))
+    hot = packed.filter(F.col("_packed._n") >= hot_rows).withColumnRenamed("_packed", "_hot")
+    cold = packed.select(*keys, F.lit(0).alias("_spread"), F.col("_packed").alias("_cold"))
 
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     scattered = F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("int") + 1

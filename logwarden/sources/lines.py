@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,9 +35,11 @@ def read_lines(spark: SparkSession, path: str | list[str], undecodable: str = "r
 
 
 def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All files under ``path``, empty ones included (the content is not read)."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(F.col("_metadata.file_path").alias("file"), "length")
+    """All files under ``path``, empty ones included (scans leave those out)."""
+    listed = spark.read.text(path).inputFiles()
+    # local files are listed as file:///x but called file:/x by the scan's metadata
+    names = [re.sub("^file:///", "file:/", name) for name in listed]
+    return spark.createDataFrame([(name,) for name in sorted(names)], "file string")
 
 
 def stream_lines(
