@@ -14,7 +14,7 @@ from logwarden.operators import enrich as e
 from logwarden.operators import report as r
 from logwarden.operators import rollups
 from logwarden.params import Params
-from logwarden.session import shared_folder
+from logwarden.session import durable, shared_folder
 from logwarden.sources import reputation
 from logwarden.sources.alerts import read_alerts
 from logwarden.sources.sinks import write_alerts
@@ -241,7 +241,8 @@ enriched as (
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return e.enrich(all_alerts(spark, sf_dir), abuse_dim(spark, sf_dir), verdict_dim(spark, sf_dir), PARAMS)
+    alerts = durable(all_alerts(spark, sf_dir))
+    return e.enrich(alerts, abuse_dim(spark, sf_dir), verdict_dim(spark, sf_dir), PARAMS)
 
 
 def enriched_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

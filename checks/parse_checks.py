@@ -73,7 +73,7 @@ def _scan_ctes(chosen: str, rules=RULES) -> str:
     token = "split_part(line, ' ', 1)"
     offset = lambda i: f"regexp_extract({token}, '([+-])(\\d{{2}}):(\\d{{2}})$', {i})"
     is_rule = [f"regexp_matches(info, {_q(r.pattern)})" for r in rules]
-    by = lambda f: "case rule when -1 then {} ".format(f(Rule("", fm.INVALID_USER))) + " ".join(
+    by = lambda f: "case rule when -1 then {} ".format(f(fm.FIRST_LOOK)) + " ".join(
         f"when {i} then {f(r)}" for i, r in enumerate(rules)
     ) + " end"
     user = by(lambda r: "''" if r.user_group is None else f"regexp_extract(info, {_q(r.pattern)}, {r.user_group})")
@@ -93,7 +93,7 @@ timed as (
            then (cast({offset(2)} as int) * 60 + cast({offset(3)} as int)) * case {offset(1)} when '-' then -1 else 1 end end as tz
     from looked) m),
 ruled as (
-  select *, case when not matched or ts is null then null when regexp_matches(info, {_q(fm.INVALID_USER)}) then -1
+  select *, case when not matched or ts is null then null when regexp_matches(info, {_q(fm.FIRST_LOOK.pattern)}) then -1
     {" ".join(f"when {c} then {i}" for i, c in enumerate(is_rule))} end as rule
   from timed),
 found as (

@@ -89,9 +89,10 @@ def duration_text(us: Column) -> Column:
 
 def month_number(name: Column, any_case: bool) -> Column:
     """1..12 for a month abbreviation, else null."""
-    key = F.initcap(F.lower(name)) if any_case else name
-    position = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), key)
-    return F.when(position > 0, position.cast("int"))
+    names = "".join(MONTHS)
+    found = F.instr(F.lit(names.lower()), F.lower(name)) if any_case else F.instr(F.lit(names), name)
+    aligned = (F.length(name) == 3) & (F.pmod(found, F.lit(3)) == 1)
+    return F.when(aligned, floor_div(found + 2, 3).cast("int"))
 
 
 def _number(text: Column) -> Column:

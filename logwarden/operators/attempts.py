@@ -19,20 +19,10 @@ from logwarden.operators.formats import FORMATS, AsOf, LogFormat, first_format,
 UNKNOWN_USER = "<unknown>"
 
 
-def _message(line: Column, fmt: Column, formats: tuple[LogFormat, ...]) -> Column:
-    """Message and time fields of a line under its layout, null where it does not match."""
+def _by_format(fmt: Column, formats: tuple[LogFormat, ...], value) -> Column:
     choice = F.when(F.lit(False), None)
     for i, known in enumerate(formats):
-        parts = F.struct(known.info(line).alias("info"), known.fields(line).alias("time"))
-        choice = choice.when((fmt == i) & known.matches(line), parts)
-    return choice
-
-
-def _clock(time: Column, fmt: Column, as_of: AsOf, formats: tuple[LogFormat, ...]) -> Column:
-    choice = F.when(F.lit(False), None)
-    for i, known in enumerate(formats):
-        read = F.struct(known.clock(time, as_of).alias("ts"), known.offset(time).alias("tz_offset_min"))
-        choice = choice.when(fmt == i, read)
+        choice = choice.when(fmt == i, value(known))
     return choice
 
 
@@ -47,17 +37,15 @@ def _attempt(info: Column, fmt: Column, formats: tuple[LogFormat, ...], rules: t
             ip.alias("ip"),
         )
 
-    by_pattern: dict[str, list[int]] = {}
+    looks: dict[Rule, list[int]] = {}
     for i, known in enumerate(formats):
         if known.first_look:
-            by_pattern.setdefault(known.first_look, []).append(i)
+            looks.setdefault(known.first_look, []).append(i)
 
     choice = F.when(F.lit(False), None)
-    for pattern, users in by_pattern.items():
-        look = Rule("invalid_user", pattern)
-        choice = choice.when(
-            fmt.isin(users) & look.matches(info), fields("invalid_user", False, look.user(info), look.ip(info))
-        )
+    for look, users in looks.items():
+        found = fields(look.event, look.success, look.user(info), look.ip(info))
+        choice = choice.when(fmt.isin(users) & look.matches(info), found)
     for rule in rules:
         choice = choice.when(rule.matches(info), fields(rule.event, rule.success, rule.user(info), rule.ip(info)))
     return choice
@@ -80,9 +68,19 @@ def scan_lines(
         read = with_format(lines, formats, format)
     else:
         read = with_struct(lines, "format", first_format(F.col("line"), formats))
-    fmt = F.col("format")
-    read = with_struct(read, "message", _message(F.col("line"), fmt, formats))
-    read = with_struct(read, "clock", _clock(F.col("message.time"), fmt, as_of, formats))
+    line, fmt = F.col("line"), F.col("format")
+    texts = F.struct(
+        _by_format(fmt, formats, lambda f: f.info(line)).alias("info"),
+        _by_format(fmt, formats, lambda f: f.fields(line)).alias("time"),
+    )
+    read = with_struct(read, "message", texts)
+    # a message is empty if the layout does not match, and rarely if it does
+    matches = (F.col("message.info") != "") | _by_format(fmt, formats, lambda f: f.matches(line))
+    times = F.struct(
+        _by_format(fmt, formats, lambda f: f.clock(F.col("message.time"), as_of)).alias("ts"),
+        _by_format(fmt, formats, lambda f: f.offset(F.col("message.time"))).alias("tz_offset_min"),
+    )
+    read = with_struct(read, "clock", F.when(matches, times))
     ts, offset = F.col("clock.ts"), F.col("clock.tz_offset_min")
     found = F.when(ts.isNotNull(), _attempt(F.col("message.info"), fmt, formats, rules))
     read = with_struct(read, "attempt", found)
@@ -91,7 +89,7 @@ def scan_lines(
     return read.select(
         *keep,
         "format",
-        F.col("message").isNotNull().alias("matched"),
+        F.col("clock").isNotNull().alias("matched"),
         F.when(valid, F.col("attempt.ip")).alias("ip"),
         F.col("attempt.username").alias("username"),
         ts.alias("ts"),

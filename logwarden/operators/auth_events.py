@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from logwarden.functions import timestamps as t
 from logwarden.operators.compute_once import with_struct
 
-# Line patterns in order of precedence, with a literal that every match
-# contains. Groups: time, then user and address, user and command, or target and actor.
+# Line patterns in order of precedence. Groups: time, then user and address, user and command, or target and actor.
 STAMP = r"(\w+\s+\d+\s+\d+:\d+:\d+)"
 FAILED = STAMP + r".*sshd.*Failed password for (?:invalid user )?(\S+) from (\S+) port"
 ACCEPTED = STAMP + r".*sshd.*Accepted (?:password|publickey) for (\S+) from (\S+) port"
@@ -26,52 +25,64 @@ JAVA_FLAGS = "(?Ud)"
 _BLANKS = " \t\n\r\f\v"
 
 
-def _found(line: Column, literal: str, pattern: str) -> Column:
-    return F.contains(line, F.lit(literal)) & line.rlike(JAVA_FLAGS + pattern)
+# Literals that every match contains; testing them first spares most regular expressions.
+_LITERALS = {
+    FAILED: "Failed password for ",
+    ACCEPTED: "Accepted p",
+    SUDO: "COMMAND=",
+    SU: "Successful su for ",
+}
 
 
-def parsed_event(line: Column) -> Column:
-    """One struct per line, null where no pattern matches.
+def _match(line: Column, pattern: str) -> Column:
+    """The matching part of a line; empty or null where the pattern does not match."""
+    found = F.regexp_extract(line, JAVA_FLAGS + pattern, 0)
+    return F.when(F.contains(line, F.lit(_LITERALS[pattern])), found)
 
-    A line belongs to the first pattern that matches it, even if its time is invalid.
-    """
 
-    def group(pattern, i):
-        return F.regexp_extract(line, JAVA_FLAGS + pattern, i)
-
-    def event(kind, pattern, ip=None, user=None, command=None):
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            (F.lit(None).cast("string") if ip is None else ip).alias("ip"),
-            user.alias("user"),
-            (F.lit(None).cast("string") if command is None else command).alias("command"),
-            t.syslog_fields(group(pattern, 1)).alias("time"),
-        )
-
-    return (
-        F.when(
-            _found(line, "Failed password for ", FAILED),
-            event("failed", FAILED, ip=group(FAILED, 3), user=group(FAILED, 2)),
-        )
-        .when(
-            _found(line, "Accepted p", ACCEPTED),
-            event("success", ACCEPTED, ip=group(ACCEPTED, 3), user=group(ACCEPTED, 2)),
-        )
-        .when(
-            _found(line, "COMMAND=", SUDO),
-            event("sudo", SUDO, user=group(SUDO, 2), command=F.btrim(group(SUDO, 3), F.lit(_BLANKS))),
-        )
-        .when(
-            _found(line, "Successful su for ", SU),
-            event("sudo", SU, user=group(SU, 3), command=F.concat(F.lit("su to "), group(SU, 2))),
-        )
-    )
+def _word(text: Column, from_end: int) -> Column:
+    """The n-th blank-separated word of a match, counted from its end."""
+    return F.substring_index(F.substring_index(text, " ", -from_end), " ", 1)
 
 
 def auth_events(lines: DataFrame, year: int) -> DataFrame:
-    """Events of a ``pos, line`` table, in one pass and without a shuffle."""
-    parsed = with_struct(lines.select("pos", "line"), "event", parsed_event(F.col("line")))
-    ts = t.syslog_clock(F.col("event.time"), year, any_case=True)
-    events = parsed.select("pos", "event.kind", "event.ip", "event.user", "event.command", ts.alias("ts"))
-    events = events.filter(F.col("ts").isNotNull())
-    return events.withColumn("ts_us", t.micros_of(F.col("ts")))
+    """Events of a ``pos, line`` table, in one pass and without a shuffle.
+
+    A line belongs to the first pattern that matches it, even if its time is invalid. Each
+    line is matched once; user and address are then cut from the end of the match, where
+    the patterns allow single blanks only.
+    """
+    line = F.col("line")
+    patterns = {"failed": FAILED, "accepted": ACCEPTED, "sudo": SUDO, "su": SU}
+    matches = F.struct(*[_match(line, p).alias(name) for name, p in patterns.items()])
+    matched = with_struct(lines.select("pos", "line"), "m", matches)
+
+    hit = {name: F.col(f"m.{name}") != "" for name in patterns}
+
+    def first(**values: Column) -> Column:
+        choice = F.when(F.lit(False), F.lit(None).cast("string"))
+        for name in patterns:
+            choice = choice.when(hit[name], values.get(name, F.lit(None)))
+        return choice
+
+    failed, accepted, sudo, su = (F.col(f"m.{name}") for name in patterns)
+    stamp = F.regexp_extract(first(failed=failed, accepted=accepted, sudo=sudo, su=su), JAVA_FLAGS + "^" + STAMP, 1)
+    event = F.struct(
+        first(failed=F.lit("failed"), accepted=F.lit("success"), sudo=F.lit("sudo"), su=F.lit("sudo")).alias("kind"),
+        first(failed=_word(failed, 2), accepted=_word(accepted, 2)).alias("ip"),
+        first(
+            failed=_word(failed, 4),
+            accepted=_word(accepted, 4),
+            sudo=F.regexp_extract(sudo, JAVA_FLAGS + SUDO, 2),
+            su=_word(su, 1),
+        ).alias("user"),
+        first(
+            sudo=F.btrim(F.substring_index(sudo, "COMMAND=", -1), F.lit(_BLANKS)),
+            su=F.concat(F.lit("su to "), _word(su, 3)),
+        ).alias("command"),
+        t.syslog_fields(stamp).alias("time"),
+    )
+    parsed = with_struct(matched.select("pos", "m"), "e", event)
+    ts = t.syslog_clock(F.col("e.time"), year, any_case=True)
+    events = with_struct(parsed.select("pos", "e"), "ts", ts).filter(F.col("ts").isNotNull())
+    return events.select("pos", "e.kind", "e.ip", "e.user", "e.command", "ts", t.micros_of(F.col("ts")).alias("ts_us"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logwarden.functions import timestamps as t
+from logwarden.operators.attempt_rules import Rule
 from logwarden.operators.auth_events import JAVA_FLAGS
 from logwarden.operators.skew import join_facts
 
@@ -27,7 +28,7 @@ RHEL_NAME = "CentOS/RHEL (syslog)"
 RHEL = r"^(\w+\s+\d{1,2}\s+\d{2}:\d{2}:\d{2})\s+(\S+)\s+(sshd)(?:\[\d+\])?:\s+(.*)$"
 SYSLOG_NAME = "Generic syslog"
 SYSLOG = r"^(\w+\s+\d{1,2}\s+\d{2}:\d{2}:\d{2})\s+(\S+)\s+(\S+?)(?:\[\d+\])?:\s+(.*)$"
-INVALID_USER = r"Invalid user (\S+) from ([\d.]+)"
+FIRST_LOOK = Rule("invalid_user", r"Invalid user (\S+) from ([\d.]+)", literal="Invalid user ")
 
 
 @dataclass(frozen=True)
@@ -43,8 +44,8 @@ class LogFormat:
     """A line layout: where the message is, and how to read the time (native expressions).
 
     ``fields`` cuts the texts that make up the time out of a line; ``clock`` and ``offset``
-    (in minutes) read that array. ``first_look`` is tried on the message before the general rules; when it matches, the
-    result is final. Groups: user, address.
+    (in minutes) read that array. ``first_look`` is tried on the message before the general
+    rules; when it matches, the result is final.
     """
 
     name: str
@@ -53,7 +54,7 @@ class LogFormat:
     fields: Callable[[Column], Column]
     clock: Callable[[Column, AsOf], Column]
     offset: Callable[[Column], Column] = lambda fields: F.lit(None).cast("int")
-    first_look: str | None = INVALID_USER
+    first_look: Rule | None = FIRST_LOOK
 
     def matches(self, line: Column) -> Column:
         return line.rlike(JAVA_FLAGS + self.pattern)
