@@ -55,11 +55,13 @@ def flagged_ips(alerts: DataFrame) -> DataFrame:
     """``ip``, its alerts by severity, and the display text, for all addresses but the host.
 
     The text lists severities by count, ties by first alert; an address has four at most.
+    Report order is packed into one number, which a hash aggregate can keep in place.
     """
+    order = (F.col("ts_us") * 10 + F.col("detector")).cast("decimal(18,0)") * F.lit("1" + "0" * 19).cast("decimal(20,0)")
     per_severity = (
         alerts.filter(F.col("ip") != LOCALHOST)
         .groupBy("ip", "severity")
-        .agg(F.count("*").alias("n"), F.min(F.struct("ts_us", "detector", "pos")).alias("first"))
+        .agg(F.count("*").alias("n"), F.min((order + F.col("pos")).cast("decimal(38,0)")).alias("first"))
     )
     entry = F.struct((-F.col("n")).alias("order"), "first", "severity", "n")
     counts = [F.coalesce(F.sum(F.when(F.col("severity") == s, F.col("n"))), F.lit(0)).alias(s.lower()) for s in SEVERITIES]
