@@ -45,7 +45,7 @@ class LogFormat:
 
     ``fields`` cuts the texts that make up the time out of a line; ``clock`` and ``offset``
     (in minutes) read that array. ``first_look`` is tried on the message before the general
-    rules; when it matches, the result is final.
+    rules; when it matches, the result is final. ``literal`` is text that every match contains.
     """
 
     name: str
@@ -55,9 +55,11 @@ class LogFormat:
     clock: Callable[[Column, AsOf], Column]
     offset: Callable[[Column], Column] = lambda fields: F.lit(None).cast("int")
     first_look: Rule | None = FIRST_LOOK
+    literal: str | None = None
 
     def matches(self, line: Column) -> Column:
-        return line.rlike(JAVA_FLAGS + self.pattern)
+        found = line.rlike(JAVA_FLAGS + self.pattern)
+        return F.contains(line, F.lit(self.literal)) & found if self.literal else found
 
     def info(self, line: Column) -> Column:
         return F.regexp_extract(line, JAVA_FLAGS + self.pattern, self.info_group)
@@ -90,8 +92,9 @@ def _syslog_clock(fields: Column, as_of: AsOf) -> Column:
 # In order of precedence.
 FORMATS = (
     LogFormat(ISO_NAME, ISO, 3, _until_blank, _iso_clock, _iso_offset),
-    LogFormat(JOURNALD_NAME, JOURNALD, 3, _first_word, _iso_clock, _iso_offset),
-    LogFormat(RHEL_NAME, RHEL, 4, _syslog_fields, _syslog_clock),
+    # its pattern is not anchored and slow to fail; few other lines contain a plus
+    LogFormat(JOURNALD_NAME, JOURNALD, 3, _first_word, _iso_clock, _iso_offset, literal="+"),
+    LogFormat(RHEL_NAME, RHEL, 4, _syslog_fields, _syslog_clock, literal="sshd"),
     LogFormat(SYSLOG_NAME, SYSLOG, 4, _syslog_fields, _syslog_clock),
 )
 
