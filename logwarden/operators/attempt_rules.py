@@ -24,17 +24,16 @@ class Rule:
     ip_group: int = 2
     literal: str | None = None
 
-    def matches(self, info: Column) -> Column:
-        found = info.rlike(JAVA_FLAGS + self.pattern)
-        return F.contains(info, F.lit(self.literal)) & found if self.literal else found
+    def hit(self, info: Column) -> Column:
+        """``user\\naddress`` where the rule matches; without a line break where it does not.
 
-    def user(self, info: Column) -> Column:
-        if self.user_group is None:
-            return F.lit("")
-        return F.regexp_extract(info, JAVA_FLAGS + self.pattern, self.user_group)
-
-    def ip(self, info: Column) -> Column:
-        return F.regexp_extract(info, JAVA_FLAGS + self.pattern, self.ip_group)
+        One evaluation of the pattern answers all three questions: a message has no line
+        break, and the lazy prefix finds the same leftmost match as a search.
+        """
+        user = "" if self.user_group is None else f"${self.user_group}"
+        pattern = f"{JAVA_FLAGS}^.*?(?:{self.pattern}).*$"
+        found = F.regexp_replace(info, pattern, f"{user}\n${self.ip_group}")
+        return F.when(F.contains(info, F.lit(self.literal)), found) if self.literal else found
 
 
 # Message patterns in order of precedence. Groups: user, address.

@@ -26,29 +26,38 @@ def _by_format(fmt: Column, formats: tuple[LogFormat, ...], value) -> Column:
     return choice
 
 
-def _attempt(info: Column, fmt: Column, formats: tuple[LogFormat, ...], rules: tuple[Rule, ...]) -> Column:
-    """The first rule that matches decides, even if its address turns out invalid."""
-
-    def fields(event: str, success: bool, user: Column, ip: Column) -> Column:
-        return F.struct(
-            F.lit(event).alias("event"),
-            F.lit(success).alias("success"),
-            F.when(user == "", UNKNOWN_USER).otherwise(user).alias("username"),
-            ip.alias("ip"),
-        )
-
+def _candidates(formats: tuple[LogFormat, ...], rules: tuple[Rule, ...]) -> list[tuple[Rule, list[int] | None]]:
+    """Rules in order of precedence, with the layouts they are limited to."""
     looks: dict[Rule, list[int]] = {}
     for i, known in enumerate(formats):
         if known.first_look:
             looks.setdefault(known.first_look, []).append(i)
+    return [*looks.items(), *[(rule, None) for rule in rules]]
+
+
+def _with_attempt(
+    read: DataFrame, info: Column, fmt: Column, formats: tuple[LogFormat, ...], rules: tuple[Rule, ...]
+) -> DataFrame:
+    """Add the struct ``attempt``: what the first matching rule found, even an invalid address."""
+    candidates = _candidates(formats, rules)
+    hits = []
+    for i, (rule, limited_to) in enumerate(candidates):
+        hit = rule.hit(info)
+        hits.append((hit if limited_to is None else F.when(fmt.isin(limited_to), hit)).alias(f"h{i}"))
+    read = with_struct(read, "hits", F.when(info.isNotNull(), F.struct(*hits)))
 
     choice = F.when(F.lit(False), None)
-    for look, users in looks.items():
-        found = fields(look.event, look.success, look.user(info), look.ip(info))
-        choice = choice.when(fmt.isin(users) & look.matches(info), found)
-    for rule in rules:
-        choice = choice.when(rule.matches(info), fields(rule.event, rule.success, rule.user(info), rule.ip(info)))
-    return choice
+    for i, (rule, _) in enumerate(candidates):
+        hit = F.col(f"hits.h{i}")
+        user = F.split_part(hit, F.lit("\n"), F.lit(1))
+        fields = F.struct(
+            F.lit(rule.event).alias("event"),
+            F.lit(rule.success).alias("success"),
+            F.when(user == "", UNKNOWN_USER).otherwise(user).alias("username"),
+            F.split_part(hit, F.lit("\n"), F.lit(2)).alias("ip"),
+        )
+        choice = choice.when(F.contains(hit, F.lit("\n")), fields)
+    return with_struct(read, "attempt", choice)
 
 
 def scan_lines(
@@ -82,8 +91,8 @@ def scan_lines(
     )
     read = with_struct(read, "clock", F.when(matches, times))
     ts, offset = F.col("clock.ts"), F.col("clock.tz_offset_min")
-    found = F.when(ts.isNotNull(), _attempt(F.col("message.info"), fmt, formats, rules))
-    read = with_struct(read, "attempt", found)
+    info = F.when(ts.isNotNull(), F.col("message.info"))
+    read = _with_attempt(read, info, fmt, formats, rules)
     valid = is_valid_ip(F.col("attempt.ip"))
     keep = [c for c in ("file", "pos") if c in lines.columns]
     return read.select(
