@@ -7,8 +7,8 @@ linked when their sets share three quarters of their union; a group is what link
 Edge cases. Null, empty and blank texts have an empty set and are linked with nothing.
 Equal word sequences form one class before anything is compared, so any number of copies
 costs one comparison. Rows without doc_id take part in no group: they keep a null
-component and are kept. Rows that share a doc_id are linked by it alone if their texts are
-alike; each of them is reported. Other columns are ignored.
+component and are kept. Rows that share a doc_id count as one document, and each of them is
+reported. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,10 +35,8 @@ class Params:
     # 32 bands of 4 registers miss a pair at the threshold with probability 5e-6.
     bands: int = 32
     rows: int = 4
-    # While comparing all open pairs costs more than this many per document, buckets are
-    # first thinned by comparing everything with one centre. Changes the cost only.
-    pairs_per_document: int = 4
-    centre_rounds: int = 6
+    # Rows of a bucket that are compared in one piece: memory of a task, no limit on buckets.
+    piece: int = 256
 
 
 def shingle_sets(texts: list[str | None], words: int) -> Iterator[tuple[int, list[np.ndarray], list[bytes]]]:
@@ -142,11 +140,11 @@ def signatures(docs: DataFrame, params: Params) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, params: Params) -> DataFrame:
-    """``class, shingles`` for each of ``wanted`` (``class, rep``): one text of it, read again."""
+    """``node, shingles`` for each of ``wanted`` (``class, node``): one text of it, read again."""
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            due = column(batch, "class")
+            due, nodes = column(batch, "class"), batch.column(batch.schema.get_field_index("node"))
             for first, sets, classes in shingle_sets(column(batch, "text"), params.words):
                 # a doc_id may come with several texts; only the one asked for counts
                 hits = [i for i, c in enumerate(classes) if c == due[first + i]]
@@ -154,22 +152,22 @@ def full_sets(docs: DataFrame, wanted: DataFrame, params: Params) -> DataFrame:
                     ends = np.cumsum([0] + [len(sets[i]) for i in hits]).astype(np.int32)
                     values = np.concatenate([sets[i] for i in hits]).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([classes[i] for i in hits], pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
-                        names=["class", "shingles"],
+                        [nodes.take(pa.array([first + i for i in hits])), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
+                        names=["node", "shingles"],
                     )
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    once = rows.join(wanted.select("class", F.col("rep").alias("doc_id")), "doc_id").dropDuplicates(["doc_id", "class", "text"])
-    return once.select("class", "text").mapInArrow(sets_of, "class binary, shingles array<bigint>")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string").alias("text"))
+    once = rows.join(wanted.select("class", "node"), "node").dropDuplicates(["node", "class", "text"])
+    return once.mapInArrow(sets_of, "node bigint, shingles array<bigint>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
-    left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", common.alias("n"), (F.size("sa") + F.size("sb")).alias("m"))
-    return both.filter(100 * F.col("n") >= params.similar_percent * (F.col("m") - F.col("n"))).select("a", "b")
+    return both.filter(100 * F.col("n") >= params.similar_percent * (F.col("m") - F.col("n"))).select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -184,99 +182,137 @@ def components(edges: DataFrame) -> DataFrame:
     while not labels.filter("moved").isEmpty():
         own = labels.select("node", "label", F.col("label").alias("own"))
         sent = links.join(labels.select(F.col("node").alias("b"), "label"), "b")
-        sent = sent.select(F.col("a").alias("node"), "label", F.lit(None).cast(labels.schema["label"].dataType).alias("own"))
+        sent = sent.select(F.col("a").alias("node"), "label", F.lit(None).cast("bigint").alias("own"))
         nearest = own.union(sent).groupBy("node").agg(F.min("label").alias("label"), F.max("own").alias("own"))
-        further = nearest.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        further = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
         jumped = nearest.join(further, "label").select("node", F.col("next").alias("label"), (F.col("next") != F.col("own")).alias("moved"))
         labels = stored(jumped)
     return labels.select("node", "label")
 
 
-def relabel(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+def relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """``rows`` with ``comp`` replaced by its component, where it has one."""
-    if labels is None:
-        return rows
     known = labels.select(F.col("node").alias("comp"), "label")
     rest = [c for c in rows.columns if c != "comp"]
     return rows.join(known, "comp", "left").select(*rest, F.coalesce("label", "comp").alias("comp"))
 
 
-def open_rows(members: DataFrame) -> DataFrame:
-    """Rows of buckets that hold more than one component, with the bucket's largest component."""
-    cells = members.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    largest = cells.groupBy("key").agg(
-        F.sum("n").alias("rows"), F.count("*").alias("comps"), F.max(F.struct("n", "comp")).alias("main")
-    )
-    unsettled = stored(largest.filter("comps > 1").select("key", "rows", F.col("main.comp").alias("main"), F.col("main.n").alias("main_n")))
-    return stored(members.join(unsettled, "key"))
-
-
-def link(members: DataFrame, sets: DataFrame, n: int, params: Params) -> DataFrame | None:
-    """Labels of all nodes that have a link; ``members`` is ``key, node``, ``n`` the documents.
+def open_pieces(members: DataFrame, params: Params) -> DataFrame:
+    """What is still to be compared, as rows ``cell, node, comp, stray``.
 
-    Comparing within a bucket: first everything with one centre. Documents that are in one
-    component by then need no comparison among themselves, so of a group of copies only
-    strays stay open. When the open pairs are few enough, all of them are compared; before,
-    further centres thin them out. No candidate is left out.
+    In a bucket (``key``) that holds several components, its largest one needs no comparison
+    within; all other rows, the strays, are compared with every row. Large buckets are cut
+    into pieces, and a cell holds the strays of one piece and the rows of another.
     """
-    nodes = members.select("key", "node", F.col("node").alias("comp"))
-    labels = None
-    for turn in range(params.centre_rounds + 1):
-        rows = open_rows(nodes)
-        buckets = rows.select("key", "rows", "main_n").distinct()
-        cost = buckets.agg(F.sum(F.col("rows").cast("double") * (F.col("rows") - F.col("main_n")))).first()[0]
-        if cost is None:
-            break
-        last = turn == params.centre_rounds or cost <= params.pairs_per_document * n
-        if last:
-            strays = rows.filter("comp != main").select("key", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
-            others = rows.select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
-            pairs = strays.join(others, "key").filter("comp_a != comp_b")
-        else:
-            drawn = F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "comp")).alias("centre")
-            centres = stored(rows.groupBy("key").agg(drawn).select("key", F.col("centre.node").alias("a"), F.col("centre.comp").alias("comp_a")))
-            others = rows.select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
-            pairs = others.join(centres, "key").filter("comp_a != comp_b")
-        ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = stored(confirmed(ordered, sets, params))
-        if not found.isEmpty():
-            # links between components are enough from here on
-            of = lambda c: found.select(F.col("a"), F.col("b"), F.col(c).alias("comp"))
-            if labels is None:
-                edges = found
-            else:
-                edges = relabel(of("a"), labels).select("b", F.col("comp").alias("a2"))
-                edges = relabel(edges.select("a2", F.col("b").alias("comp")), labels).select(F.col("a2").alias("a"), F.col("comp").alias("b"))
-            merged = components(edges)
-            if labels is None:
-                labels = merged
-            else:
-                moved = relabel(labels.select("node", F.col("label").alias("comp")), merged).select("node", F.col("comp").alias("label"))
-                # nodes without a link so far are their own component
-                fresh = merged.join(labels, "node", "left_anti").join(labels.select(F.col("label").alias("node")).distinct(), "node", "left_anti")
-                labels = stored(moved.union(fresh.select("node", "label")))
-            nodes = relabel(members.select("key", "node", F.col("node").alias("comp")), labels)
-        if last:
-            break
-    return labels
+    counts = members.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    mixed = counts.groupBy("key").agg(F.sum("n").alias("rows"), F.count("*").alias("comps"), F.max(F.struct("n", "comp")).alias("main"))
+    mixed = stored(mixed.filter("comps > 1").select("key", "rows", F.col("main.comp").alias("main"), F.col("main.n").alias("kin")))
+    pieces = lambda n: F.ceil(F.col(n) / params.piece).cast("int")
+    rows = members.join(mixed.select("key", "main", pieces("rows").alias("pieces"), F.ceil((F.col("rows") - F.col("kin")) / params.piece).cast("int").alias("stray_pieces")), "key")
+    of = lambda n: F.pmod(F.xxhash64("node", F.lit(n)), F.col(n)).cast("int")
+    rows = rows.withColumn("stray", F.col("comp") != F.col("main"))
+    every = F.transform(F.sequence(F.lit(0), F.col("stray_pieces") - 1), lambda i: F.struct(i.alias("i"), of("pieces").alias("j"), F.lit(False).alias("stray")))
+    mine = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda j: F.struct(of("stray_pieces").alias("i"), j.alias("j"), F.lit(True).alias("stray")))
+    cells = F.when(F.col("stray"), F.concat(every, mine)).otherwise(every)
+    placed = rows.select("key", "node", "comp", F.explode(cells).alias("at"))
+    return placed.select(F.xxhash64("key", "at.i", "at.j").alias("cell"), "node", "comp", F.col("at.stray").alias("stray"))
+
+
+def similar_in_cell(nodes: np.ndarray, comps: np.ndarray, stray: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Pairs of a stray and a row of another component whose sets are similar enough.
+
+    Common shingles are counted for all pairs at once, as a product of membership matrices
+    over the shingles that at least two rows have, some thousand shingles at a time.
+    """
+    sizes = np.array([len(s) for s in sets])
+    values, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    number = np.cumsum(count > 1) - 1
+    useful = count[place] > 1
+    column_of, owner = number[place[useful]], owner[useful]
+    a, b = np.flatnonzero(stray), np.flatnonzero(~stray)
+    common = np.zeros((len(a), len(b)), np.float32)
+    step, width = 4096, int((count > 1).sum())
+    order = np.argsort(column_of, kind="stable")
+    column_of, owner = column_of[order], owner[order]
+    for first in range(0, width, step):
+        lo, hi = np.searchsorted(column_of, [first, first + step])
+        matrix = np.zeros((len(sets), min(step, width - first)), np.float32)
+        matrix[owner[lo:hi], column_of[lo:hi] - first] = 1
+        common += matrix[a] @ matrix[b].T
+    union = sizes[a][:, None] + sizes[b][None, :] - common
+    hit = (100 * common >= percent * union) & (comps[a][:, None] != comps[b][None, :])
+    i, j = np.nonzero(hit)
+    return np.stack([nodes[a[i]], nodes[b[j]]])
+
+
+def confirmed_in_cells(cells: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
+    """Links ``a, b`` found in the cells; every set travels once per cell and not once per pair."""
+    rows = cells.join(sets, "node").repartition("cell").sortWithinPartitions("cell")
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(parts)
+            lists = table.column("shingles").combine_chunks()
+            values, ends = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False).cumsum()
+            get = lambda name: table.column(name).to_numpy()
+            pairs = similar_in_cell(get("node"), get("comp"), get("stray"), np.split(values, ends[:-1]), params.similar_percent)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], names=["a", "b"])
+
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            cell = batch.column(batch.schema.get_field_index("cell")).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(cell)) + 1).tolist(), len(cell)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if hi == lo:
+                    continue
+                part = batch.slice(lo, hi - lo)
+                if waiting and waiting[-1].column(batch.schema.get_field_index("cell"))[0].as_py() != int(cell[lo]):
+                    yield links(waiting)
+                    waiting = []
+                waiting.append(part)
+        if waiting:
+            yield links(waiting)
+
+    return rows.mapInArrow(found, "a bigint, b bigint")
+
+
+def link(members: DataFrame, sets: DataFrame, params: Params) -> DataFrame | None:
+    """``node, label`` of all nodes that have a link; ``members`` is ``key, node, n`` (rows of the bucket).
+
+    First every row is compared with one centre of its bucket, the row that shares the most
+    buckets with others: usually the text that copies derive from. Rows that are in one
+    component by then need no comparison among themselves; what is left is compared
+    completely, in pieces. No candidate is left out.
+    """
+    degrees = members.groupBy("node").agg(F.sum("n").alias("degree"))
+    ranked = members.join(stored(degrees), "node").select("key", "node", "degree")
+    centres = stored(ranked.groupBy("key").agg(F.max(F.struct("degree", "node")).alias("c")).select("key", F.col("c.node").alias("b")))
+    pairs = members.select("key", F.col("node").alias("a")).join(centres, "key").filter("a != b").select("a", "b").distinct()
+    found = stored(confirmed(pairs, sets, params))
+    labels = components(found)
+    rows = stored(relabelled(members.select("key", "node", F.col("node").alias("comp")), labels))
+    more = stored(confirmed_in_cells(open_pieces(rows, params), sets, params).distinct())
+    if more.isEmpty():
+        return labels
+    # both rounds' links between what is known to be connected
+    return components(found.union(more).union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).filter("a != b")))
 
 
 def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept, class`` for every row of ``docs``."""
     signed = stored(signatures(docs, params))
     filled = signed.filter("n_shingles > 0 and doc_id is not null")
-    classes = stored(filled.groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")))
-    banded = classes.select(F.explode("keys").alias("key"), F.col("class").alias("node"))
-    shared = stored(banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
+    classes = stored(filled.groupBy("class").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys")))
+    banded = classes.select(F.explode("keys").alias("key"), "node")
+    shared = stored(banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
     members = stored(banded.join(shared, "key"))
-    wanted = members.select(F.col("node").alias("class")).distinct().join(classes.select("class", "rep"), "class")
+    wanted = members.select("node").distinct().join(classes.select("class", "node"), "node")
     sets = stored(full_sets(docs, wanted, params))
-    labels = link(members, sets, classes.count(), params)
+    labels = link(members, sets, params)
 
-    grouped = relabel(classes.select("class", "rep", F.col("class").alias("comp")), labels)
-    least = stored(grouped.groupBy("comp").agg(F.min("rep").alias("component_id")))
     # stored, so that both sides of the last join are plain exchanges, which Spark splits when skewed
-    found = stored(grouped.join(least, "comp").select("class", "component_id"))
+    found = stored(relabelled(classes.select("class", F.col("node").alias("comp")), labels).withColumnRenamed("comp", "component_id"))
     rows = signed.select("doc_id", "n_shingles", "class")
     joined = rows.filter("n_shingles > 0").join(found, "class", "left").select(*rows.columns, "component_id")
     alone = rows.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
