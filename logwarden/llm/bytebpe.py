@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logwarden.llm.common import chunks, column, free_name
+from logwarden.llm.common import Recent, chunks, column, free_name
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -218,7 +218,7 @@ def apart(positions: np.ndarray, following: np.ndarray) -> np.ndarray:
 class Encoder:
     """Encodes texts; remembers the ids of words, in a bounded memory."""
 
-    REMEMBERED, LONGEST = 600_000, 64
+    REMEMBERED = 150_000
     # Within a text, a blank before a non-blank always begins a piece of any pattern that
     # matches blank runs as the usual ones do; what lies between is encoded by itself.
     ODD_BLANKS = re.compile(r" (?:\s|\Z)")
@@ -227,25 +227,23 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary = vocabulary
         self.pattern = regex.compile(pattern)
-        self.memory: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.memory = Recent(self.REMEMBERED)
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: list[str]) -> None:
         """Add the ids of words to the memory."""
-        found = {word: self.pattern.findall(word) for word in words}
-        unknown = list({p for pieces in found.values() for p in pieces if p not in self.pieces})
+        found = [self.pattern.findall(word) for word in words]
+        pieces: dict[str, bytes] = dict.fromkeys([p for each in found for p in each])
         ranks, merging = self.vocabulary.ranks, []
-        for piece in unknown:
-            raw = piece.encode()
-            rank = ranks.get(raw)
+        for piece in pieces:
+            rank = ranks.get(piece.encode())
             if rank is None:
-                merging.append((piece, raw))
+                merging.append(piece)
             else:
-                self.pieces[piece] = rank.to_bytes(4, "little")
+                pieces[piece] = rank.to_bytes(4, "little")
         if merging:
-            self.pieces.update(zip([piece for piece, _ in merging], self.vocabulary.merge([raw for _, raw in merging])))
-        for word, pieces in found.items():
-            self.memory[word] = b"".join([self.pieces[p] for p in pieces])
+            pieces.update(zip(merging, self.vocabulary.merge([piece.encode() for piece in merging])))
+        for word, each in zip(words, found):
+            self.memory[word] = b"".join([pieces[p] for p in each])
 
     def words(self, text: str) -> list[str]:
         words = self.WORDS.split(text) if self.ODD_BLANKS.search(text) else text.split(" ")
@@ -253,19 +251,12 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        memory, due = self.memory, set()
+        due: set[str] = set()
         for text in texts:
             due.update(self.words(text))
-        fresh = due - memory.keys()
-        if len(memory) + len(fresh) > self.REMEMBERED:
-            memory.clear()
-            self.pieces.clear()
-            fresh = due
-        self.learn(fresh)
-        out = [b"".join([memory[w] for w in self.words(t)]) for t in texts]
-        for word in [w for w in fresh if len(w) > self.LONGEST]:
-            del memory[word]
-        return out
+        self.learn(self.memory.unknown(due))
+        memory = self.memory
+        return [b"".join([memory[w] for w in self.words(t)]) for t in texts]
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -277,7 +268,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
-            for first, part in chunks(column(batch, given), 16 << 20):
+            for first, part in chunks(column(batch, given), 4 << 20):
                 encoder = encoder or Encoder(Vocabulary(read_ranks(ranks_path)), pattern)
                 found = pa.array(encoder.encode(part), pa.binary())
                 others = [c.slice(first, len(part)) for c in batch.columns[:-1]]

@@ -54,6 +54,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class Recent(dict):
+    """A bounded memory: entries that were not asked for while ``limit`` others came are forgotten."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.older = limit, {}
+
+    def unknown(self, keys: set) -> list:
+        """Those of ``keys`` that must be computed and added; the others can be looked up until the next call."""
+        if len(self) + len(keys) > self.limit:
+            self.older = dict(self)
+            self.clear()
+        out = []
+        for key in keys.difference(self):
+            value = self.older.get(key)
+            if value is None:
+                out.append(key)
+            else:
+                self[key] = value
+        return out
+
+
 class SpanHashes:
     """64-bit hashes of any spans of a byte buffer, from one prefix sum.
 
