@@ -22,7 +22,8 @@ a doc_id are ordered by their text. Other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import struct
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,6 +45,24 @@ class Params:
     level: int = 3
 
 
+class Words(dict):
+    """Ids of words, computed when first asked for; those not asked for lately are forgotten."""
+
+    def __init__(self, compute: Callable[[bytes], bytes], limit: int):
+        super().__init__()
+        self.compute, self.limit, self.older = compute, limit, {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.compute(word)
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Ids of texts by the tokenizers library, with a bounded memory of words.
 
@@ -55,7 +74,8 @@ class WordEncoder:
     """
 
     REMEMBERED = 400_000
-    PLAIN = re.compile(r"[\x21-\x26\x28-\x7eß-öø-ÿ]+")
+    MARKS = b".,;:!?"
+    PLAIN = re.compile(r"[\x21-\x26\x28-\x40\x5b-\x7eß-öø-ÿ]+")
     RUNS = re.compile(r"[a-zß-öø-ÿ]+|[^a-zß-öø-ÿ]+")
 
     def __init__(self, path: str):
@@ -64,48 +84,52 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.letters = byte_letters()
-        self.memory: dict[bytes, list[int]] = {}
-        self.runs: dict[str, list[int]] = {}
+        self.words = Words(self.word_ids, self.REMEMBERED)
+        self.runs: dict[str | bytes, bytes] = {}
+        self.tokenize = self.model.tokenize
 
-    def whole(self, text: str) -> list[int]:
-        return self.library.encode(text, add_special_tokens=False).ids
+    def whole(self, text: str) -> bytes:
+        return packed_ids(self.library.encode(text, add_special_tokens=False).ids)
 
-    def run_ids(self, run: str) -> list[int]:
+    def run_ids(self, run: str) -> bytes:
         """Of a run of letters, or of other signs."""
         if not run[0].isalpha():
             return self.whole(run)
         known = run if run.isascii() else "".join([self.letters[b] for b in run.encode()])
-        return [t.id for t in self.model.tokenize(known)]
-
-    def word_ids(self, word: bytes) -> list[int]:
+        return packed_ids([t.id for t in self.model.tokenize(known)])
+
+    def word_ids(self, word: bytes) -> bytes:
+        """Of a word of plain Latin letters and signs run by run, of any other as a whole."""
+        runs = self.runs
+        if len(runs) > self.REMEMBERED:
+            runs.clear()
+        body = word.rstrip(self.MARKS)
+        if body.isalpha() and body.islower():  # most words: letters, and perhaps marks after them
+            ids = runs.get(body)
+            if ids is None:
+                ids = runs[body] = packed_ids([t.id for t in self.tokenize(body.decode())])
+            return ids if len(body) == len(word) else ids + self.known(word[len(body) :].decode())
         text = word.decode()
         if not self.PLAIN.fullmatch(text) or "<|" in text:
             return self.whole(text)
-        ids: list[int] = []
-        for run in self.RUNS.findall(text):
-            known = self.runs.get(run)
-            if known is None:
-                known = self.runs[run] = self.run_ids(run)
-            ids += known
+        return b"".join([self.known(run) for run in self.RUNS.findall(text)])
+
+    def known(self, run: str) -> bytes:
+        ids = self.runs.get(run)
+        if ids is None:
+            ids = self.runs[run] = self.run_ids(run)
         return ids
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
         raw = text.encode()
         # case matters to special tokens alone, and they begin with these two signs
         words = raw.split() if b"<|" in raw else raw.lower().split()
-        memory = self.memory
-        fresh = set(words).difference(memory)
-        if fresh:
-            if len(memory) + len(fresh) > self.REMEMBERED:
-                memory.clear()
-                self.runs.clear()
-                fresh = set(words)
-            for word in fresh:
-                memory[word] = self.word_ids(word)
-        ids: list[int] = []
-        for word in words:
-            ids += memory[word]
-        return np.array(ids, np.uint32)
+        return b"".join(map(self.words.__getitem__, words))
+
+
+def packed_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def byte_letters() -> list[str]:
@@ -181,13 +205,13 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, params: Params = Para
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, number, doc_ids, texts, size = None, 0, [], [], 0
+        end = packed_ids([params.end_id])
         for batch in batches:
             encoder = encoder or WordEncoder(tokenizer_path)
             for doc_id, text in zip(column(batch, "doc_id"), column(batch, "text")):
-                ids = np.append(encoder.encode(text or ""), np.uint32(params.end_id))
                 doc_ids.append(doc_id)
-                texts.append(ids)
-                size += len(ids)
+                texts.append(np.frombuffer(encoder.encode(text or "") + end, "<u4"))
+                size += len(texts[-1])
                 if size >= params.segment_ids:
                     yield packed_segment(number, doc_ids, texts, params)
                     number, doc_ids, texts, size = number + 1, [], [], 0
