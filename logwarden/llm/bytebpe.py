@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logwarden.llm.common import Recent, chunks, column, free_name
+from logwarden.llm.common import Recent, chunks, column, free_name, smaller
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -267,7 +267,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
-        for batch in batches:
+        for batch in smaller(batches):
             for first, part in chunks(column(batch, given), 4 << 20):
                 encoder = encoder or Encoder(Vocabulary(read_ranks(ranks_path)), pattern)
                 found = pa.array(encoder.encode(part), pa.binary())
@@ -283,7 +283,7 @@ def decode(rows: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "d
 
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = None
-        for batch in batches:
+        for batch in smaller(batches):
             tokens = tokens or {rank: token for token, rank in read_ranks(ranks_path).items()}
             lists = column(batch, ids)
             found = [None if x is None else b"".join([tokens[i] for i in np.frombuffer(x, "<u4").tolist()]) for x in lists]

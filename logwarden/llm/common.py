@@ -126,3 +126,10 @@ def chunks(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int,
 
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
+
+
+def smaller(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
