@@ -110,7 +110,7 @@ def suspicious_logins(events: DataFrame, minutes: float) -> DataFrame:
     The evidence has one row per (ip, ts_us), which very many logins may share.
     """
     logins = events.filter(F.col("kind") == "success").select("pos", "ip", "user", "ts_us")
-    return join_facts(logins, failure_evidence(events, minutes), ["ip", "ts_us"], "pos", weight="probes")
+    return join_facts(logins, failure_evidence(events, minutes).drop("probes"), ["ip", "ts_us"], "pos")
 
 
 def bruteforce_success(events: DataFrame, params: Params = DEFAULTS) -> DataFrame:
@@ -222,7 +222,7 @@ def account_compromises(events: DataFrame, params: Params = DEFAULTS) -> DataFra
     """
     logins = suspicious_logins(events, params.compromise_minutes)
     escalations = first_escalations(logins, events, params.compromise_minutes)
-    chains = join_facts(logins, escalations, ["user", "ts_us"], "pos", weight="probes")
+    chains = join_facts(logins, escalations.drop("probes"), ["user", "ts_us"], "pos")
     n, user, ip, ts_us = F.col("failures"), F.col("user"), F.col("ip"), F.col("ts_us")
     sudo_us, command = F.col("sudo.ts_us"), F.col("sudo.command")
     severity = compromise_severity(

@@ -13,8 +13,6 @@ from logwarden.operators.attempt_rules import Rule
 from logwarden.operators.auth_events import JAVA_FLAGS
 from logwarden.operators.skew import join_facts
 
-# Broadcasting the per-file table stays below this many files (about 200 bytes each).
-BROADCAST_FILES = 100_000
 
 # Layout names and patterns.
 ISO_NAME = "Ubuntu/Debian (ISO 8601)"
@@ -116,15 +114,19 @@ def first_format(line: Column, formats: tuple[LogFormat, ...] = FORMATS) -> Colu
     return F.coalesce(*[F.when(known.matches(line), i) for i, known in enumerate(formats)])
 
 
-def detect_formats(lines: DataFrame, formats: tuple[LogFormat, ...] = FORMATS) -> DataFrame:
-    """``file, format, lines``: the layout of the first line of each file that fits any layout.
+def files_seen(lines: DataFrame, formats: tuple[LogFormat, ...] = FORMATS) -> DataFrame:
+    """``file, format, lines``: the layout of the first line of each file that fits any layout, or null.
 
     A hash aggregate with map-side combine: one row per file and task is shuffled.
     """
     looked = lines.select("file", "pos", first_format(F.col("line"), formats).alias("format"))
     first = F.min_by("format", F.when(F.col("format").isNotNull(), F.col("pos")))
-    found = looked.groupBy("file").agg(first.alias("format"), F.count("*").alias("lines"))
-    return found.filter(F.col("format").isNotNull())
+    return looked.groupBy("file").agg(first.alias("format"), F.count("*").alias("lines"))
+
+
+def detect_formats(lines: DataFrame, formats: tuple[LogFormat, ...] = FORMATS) -> DataFrame:
+    """``file, format, lines`` of the files that have a layout."""
+    return files_seen(lines, formats).filter(F.col("format").isNotNull())
 
 
 def with_format(
@@ -133,17 +135,10 @@ def with_format(
     """Add the layout index that each line has to be read with, null if the file has none.
 
     A forced layout needs no detection scan. Detection joins one row per file back to the
-    lines: broadcast while the number of files is small, beyond that a shuffle join that
-    spreads hot files.
+    lines; the lines of hot files are spread.
     """
     if forced is not None:
         return lines.withColumn("format", F.lit(format_index(forced, formats)))
-    chosen = detect_formats(lines, formats)
-    if _files_are_groups(lines) and len(lines.inputFiles()) <= BROADCAST_FILES:
-        return lines.join(F.broadcast(chosen.drop("lines")), "file", "left")
-    return join_facts(lines, chosen, ["file"], "pos", weight="lines", how="left")
-
-
-def _files_are_groups(lines: DataFrame) -> bool:
-    """Is ``file`` the scanned file itself, so that the number of files bounds the groups?"""
-    return lines.schema["file"].metadata.get("scanned_file", False)
+    seen = files_seen(lines, formats)
+    counts = seen.select("file", F.col("lines").alias("n"))
+    return join_facts(lines, seen.select("file", "format"), ["file"], "pos", counts=counts, how="left")

@@ -18,51 +18,40 @@ HOT_ROWS = 10_000_000
 _SPREAD = 1_000_000
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Is the estimated size within Spark's own broadcast limit?"""
-    spark = df.sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
 def join_facts(
     rows: DataFrame,
     facts: DataFrame,
     keys: list[str],
     spread_by: str,
-    weight: str | None = None,
+    counts: DataFrame | None = None,
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi-join ``rows`` to ``facts``, which has one row per key.
 
-    ``weight`` names a column of ``facts`` with the number of rows of the key (it is
-    dropped); without it small facts are broadcast, and larger ones need a count of the
-    rows per key first. Rows of hot keys, and rows whose key is null, get distinct partition
-    keys from ``spread_by``, a column that is unique per row. ``how`` is inner or left.
+    A key is hot by the number of its ``rows``, whether or not there are facts for it.
+    ``counts`` (the keys and ``n``) saves counting them where that is known already. Rows of
+    hot keys, and rows whose key is null, get distinct partition keys from ``spread_by``, a
+    column that is unique per row. ``how`` is inner or left.
     """
-    values = [c for c in facts.columns if c not in keys and c != weight]
-    if weight is None:
-        if fits_broadcast(facts):
-            return rows.join(F.broadcast(facts), keys, how)
-        counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-        weighted = facts.join(counts, keys)
-    else:
-        weighted = facts.withColumnRenamed(weight, "_n")
-
-    # both sides keep all columns, so that their common exchange is computed once
-    packed = weighted.select(*keys, F.struct(*values, "_n").alias("_packed"))
-    hot = packed.filter(F.col("_packed._n") >= hot_rows).withColumnRenamed("_packed", "_hot")
-    cold = packed.select(*keys, F.lit(0).alias("_spread"), F.col("_packed").alias("_cold"))
+    values = [c for c in facts.columns if c not in keys]
+    if counts is None:
+        counts = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    hot = F.broadcast(counts.filter(F.col("n") >= hot_rows).select(*keys))
+    packed = facts.select(*keys, F.struct(*values).alias("_packed"))
+    known = packed.join(hot, keys).withColumnRenamed("_packed", "_hot")
+    hot = hot.join(F.broadcast(known), keys, "left").withColumn("_is_hot", F.lit(True))
 
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     scattered = F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("int") + 1
-    spread = F.when(F.col("_hot").isNotNull() | no_key, scattered).otherwise(0)
+    spread = F.when(F.col("_is_hot") | no_key, scattered).otherwise(0)
+    # one struct as the key: as a column of its own, the constant of the facts would be
+    # folded into a filter and the rows dealt by the key alone
+    cold = packed.select(F.struct(*keys, F.lit(0).alias("spread")).alias("_place"), F.col("_packed").alias("_cold"))
     joined = (
         rows.join(F.broadcast(hot), keys, "left")
-        .withColumn("_spread", spread)
-        .join(cold, [*keys, "_spread"], "left")
+        .withColumn("_place", F.struct(*keys, spread.alias("spread")))
+        .join(cold, "_place", "left")
         .withColumn("_facts", F.coalesce("_hot", "_cold"))
     )
     if how == "inner":

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,19 +24,12 @@ def local_session(cores: str | int = "*", app: str = "logwarden", **conf: str) -
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for intermediate results: the cluster's ``spark.checkpoint.dir``.
+    """Folder for intermediate results that all executors share.
 
-    A machine-local folder is created only where the setting is missing and Spark itself
-    runs in one local process.
+    The session's ``spark.checkpoint.dir``; where that is unset, a folder in the warehouse.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="logwarden-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -46,15 +38,11 @@ def durable(df: DataFrame) -> DataFrame:
     For results whose row numbers or partition layout must not change between uses. It
     survives the loss of executors, unlike cached blocks.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    return stored(df)
 
 
 def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
-    """Like ``durable``, as a Parquet table: later reads prune columns, filters and partitions."""
+    """``df`` written as a Parquet table: later reads prune columns, filters and partitions."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/logwarden-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")

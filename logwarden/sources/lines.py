@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,24 +43,40 @@ def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.createDataFrame([(name,) for name in sorted(names)], "file string")
 
 
+def start_time(spark: SparkSession, marker: str) -> int:
+    """When following began, in microseconds: the time of the first call with this ``marker``.
+
+    It is kept as a small table, so that a restarted query goes on from its own beginning and
+    reads what landed while it was down.
+    """
+    try:
+        return spark.read.schema("started bigint").parquet(marker).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    now = spark.range(1).select(F.unix_micros(F.current_timestamp()).alias("started"))
+    now.coalesce(1).write.parquet(marker)
+    return spark.read.schema("started bigint").parquet(marker).first()[0]
+
+
 def stream_lines(
     spark: SparkSession,
     path: str,
-    from_start: bool = True,
+    follow_from: str | None = None,
     undecodable: str = "drop",
     max_files_per_batch: int | None = None,
 ) -> DataFrame:
     """Lines of files as they land in ``path``.
 
-    ``from_start=False`` skips what is already there: only files modified after this call
-    count.
+    With ``follow_from``, a path beside the query's checkpoint, only files modified after the
+    first start count; that time is kept there and holds for later starts.
     """
     reader = spark.readStream.format("text")
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     raw = reader.load(path)
-    if not from_start:
-        started = spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0]
+    if follow_from:
+        started = start_time(spark, follow_from)
         raw = raw.filter(F.unix_micros(F.col("_metadata.file_modification_time")) > started)
     return raw.select(
         F.col("_metadata.file_path").alias("file"), decoded(F.col("value"), undecodable).alias("line")

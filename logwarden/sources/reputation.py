@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logwarden.params import DEFAULTS, Params
@@ -22,6 +22,12 @@ data struct<attributes:struct<
 """
 
 
+def newest(answers: DataFrame, name: str, value: Column) -> DataFrame:
+    """``ip`` and ``value`` of its latest answer, one row per address; answers without address are left out."""
+    rows = answers.filter("ip is not null").select("ip", F.struct("queried_at", value.alias(name)).alias("answer"))
+    return rows.groupBy("ip").agg(F.max("answer").alias("answer")).select("ip", F.col(f"answer.{name}").alias(name))
+
+
 def abuse_dim(answers: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """``ip`` and the struct ``abuse``; missing fields get their defaults."""
     d = lambda field: F.col(f"data.{field}")
@@ -36,7 +42,7 @@ def abuse_dim(answers: DataFrame, params: Params = DEFAULTS) -> DataFrame:
         d("lastReportedAt").alias("last_reported_at"),
         F.col("queried_at").alias("queried_at"),
     )
-    return answers.select("ip", abuse.alias("abuse"))
+    return newest(answers, "abuse", abuse)
 
 
 def verdict_dim(answers: DataFrame) -> DataFrame:
@@ -51,7 +57,7 @@ def verdict_dim(answers: DataFrame) -> DataFrame:
         (a("total_votes.malicious") - a("total_votes.harmless")).alias("community_score"),
         F.col("queried_at").alias("queried_at"),
     )
-    return answers.select("ip", verdict.alias("verdict"))
+    return newest(answers, "verdict", verdict)
 
 
 def read_abuse(spark: SparkSession, path: str, params: Params = DEFAULTS) -> DataFrame:

@@ -29,8 +29,11 @@ def live_attempts(lines: DataFrame, as_of: AsOf, format: str | None = None) -> D
 
 
 def refresh_seconds(value: float | None) -> float:
-    """The refresh interval, kept between 0.1 and 60 seconds; 5 by default."""
-    return max(0.1, min(float(value or DEFAULT_REFRESH_SECONDS), 60.0))
+    """The refresh interval: any positive number of seconds, 5 by default."""
+    seconds = DEFAULT_REFRESH_SECONDS if value is None else float(value)
+    if not seconds > 0:
+        raise ValueError(f"the refresh interval must be positive, got {value!r}")
+    return seconds
 
 
 def state_path(out: str) -> str:

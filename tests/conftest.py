@@ -9,13 +9,14 @@ from logwarden.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     # a session zone with daylight saving: no result may depend on it
     session = local_session(
         4,
         **{
             "spark.sql.session.timeZone": "America/New_York",
             "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.ui.showConsoleProgress": "false",
         },
     )

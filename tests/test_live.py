@@ -85,12 +85,21 @@ def test_blocklist_only_mode(spark, tmp_path):
 def test_following_from_the_end(spark, tmp_path):
     folder, out = str(tmp_path / "logs"), str(tmp_path / "out")
     land(folder, BATCHES[:1])
-    found = live.live_attempts(stream_lines(spark, folder, from_start=False), AS_OF, format="CentOS/RHEL (syslog)")
-    with open(f"{folder}/new.log", "w") as f:
-        f.write(line("7.7.7.7", 1) + "\n")
-    os.utime(f"{folder}/new.log", (time.time() + 60, time.time() + 60))
-    live.start_live_summary(found, out, drain=True).awaitTermination()
+
+    def follow(ip, name, later):
+        lines = stream_lines(spark, folder, follow_from=f"{out}/started")
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(line(ip, 1) + "\n")
+        os.utime(f"{folder}/{name}", (time.time() + later, time.time() + later))
+        return live.live_attempts(lines, AS_OF, format="CentOS/RHEL (syslog)")
+
+    live.start_live_summary(follow("7.7.7.7", "new.log", 60), out, drain=True).awaitTermination()
     assert [r.ip for r in live.current_summary(spark, out).collect()] == ["7.7.7.7"]
+    # landed while the query was down, before the second start
+    found = follow("7.7.7.8", "down.log", 1)
+    time.sleep(2)
+    live.start_live_summary(found, out, drain=True).awaitTermination()
+    assert {r.ip for r in live.current_summary(spark, out).collect()} == {"7.7.7.7", "7.7.7.8"}
 
 
 def test_refreshing_query(spark, tmp_path):
@@ -105,11 +114,16 @@ def test_refreshing_query(spark, tmp_path):
         query.stop()
 
 
-@pytest.mark.parametrize("given, want", [(None, 5.0), (0.01, 0.1), (600, 60.0), (2, 2.0)])
+@pytest.mark.parametrize("given, want", [(None, 5.0), (0.01, 0.01), (300, 300.0), (2, 2.0)])
 def test_refresh_interval(given, want):
     assert live.refresh_seconds(given) == want
 
 
+def test_refresh_interval_must_be_positive():
+    with pytest.raises(ValueError):
+        live.refresh_seconds(0)
+
+
 def test_nothing_finished_yet(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         live.current_totals(spark, str(tmp_path))
