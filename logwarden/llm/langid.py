@@ -3,9 +3,10 @@
 One model per language, learned from a bounded sample of labelled rows. The tables of all
 languages share sorted arrays of n-gram hashes, with one column of log probabilities per
 language; a text goes to the language with the lowest cross-entropy per character. A text
-is rejected if its best model explains it no better than, on texts kept back from counting,
-the second-best model explains texts of that language: it is then in none of the languages.
-A text that mixes known languages stays below that limit.
+is rejected if its best model explains it worse than the middle between two figures: how well,
+on texts kept back from counting, the second-best model explains texts of that language, and
+a uniform guess. It is then in none of the languages; a text that mixes known languages, or
+quotes names and numbers, stays below that limit.
 
 Null texts and texts without a letter get ``und``, score 0, and are rejected. Rows whose
 language is null teach nothing. Without any labelled row all texts get ``und``.
@@ -35,8 +36,8 @@ class Params:
     # Bound of the sample: characters to learn from per language (expected value; a longer
     # text than an eighth of it is left out). The model holds at most as many n-grams.
     chars_per_language: int = 600_000
-    # With a single language there is no second-best model: the limit is then this many
-    # times the mean cross-entropy of the texts kept back.
+    # With a single language there is no second-best model: this many times the mean
+    # cross-entropy of the texts kept back stands for its figure.
     single_limit: float = 2.0
 
 
@@ -255,7 +256,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", params: Par
     models.learn(unpacked)
     held = predict(rows.filter("part = 0"), models).filter("lang_pred = lang")
     limit = F.coalesce(F.avg("entropy_next"), params.single_limit * F.avg("entropy"))
-    found = {r["lang"]: r["limit"] for r in held.groupBy("lang").agg(limit.alias("limit")).collect()}
+    uniform = -models.unseen[0]
+    found = {r["lang"]: (r["limit"] + uniform) / 2 for r in held.groupBy("lang").agg(limit.alias("limit")).collect()}
     widest = max(found.values(), default=np.inf)
     models.limits = np.array([found.get(name, widest) for name in models.languages])
     return models
