@@ -211,16 +211,22 @@ class Models:
 
 
 def sample(labelled: DataFrame, text: str, lang: str, params: Params) -> DataFrame:
-    """Rows to learn from, as ``lang``, ``text`` and ``part``; every tenth is kept back (part 0)."""
-    known = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
+    """Rows to learn from, as ``lang``, ``text`` and ``part``; every tenth text is kept back (part 0).
+
+    Rows are drawn one by one, by a hash of all their plain columns: copies of a text that
+    differ in another column, such as an id, are not drawn together.
+    """
+    plain = [F.col(f.name) for f in labelled.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    known = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(*plain).alias("draw"))
+    known = known.filter("lang is not null and text is not null")
     known = known.filter(F.length("text") <= params.chars_per_language // 8)
     sizes = known.groupBy("lang").agg(F.sum(F.length("text")).alias("size"))
     share = F.least(F.lit(1.0), params.chars_per_language / F.col("size"))
     shares = {r["lang"]: r["share"] for r in sizes.select("lang", share.alias("share")).collect()}
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003.0
+    draw = F.pmod("draw", F.lit(1_000_003)) / 1_000_003.0
     limit = F.coalesce(*[F.when(F.col("lang") == k, v) for k, v in shares.items()], F.lit(0.0))
     part = F.pmod(F.xxhash64("text", F.lit("part")), F.lit(10))
-    return known.filter(draw < limit).withColumn("part", part).repartition("lang")
+    return known.filter(draw < limit).select("lang", "text", part.alias("part")).repartition("lang")
 
 
 def count_grams(rows: pd.DataFrame, order: int) -> pd.DataFrame:

@@ -232,15 +232,18 @@ def replaced(text: str, feistel: Feistel, back: bool = False, kinds: list | None
     if not _TELLING.search(text):
         return text, []
     found: list[tuple[int, int, str, str]] = []
+    taken = bytearray(len(text))
     for kind, needed, pattern, change in kinds or KINDS:
         if needed and needed not in text:
             continue
         for m in pattern.finditer(text):
-            if any(a < m.end() and m.start() < b for a, b, _, _ in found):
+            a, b = m.span()
+            if any(taken[a:b]):
                 continue
             new = change(feistel, m.group(), back)
             if new is not None:
-                found.append((m.start(), m.end(), kind, new))
+                taken[a:b] = bytes([1]) * (b - a)
+                found.append((a, b, kind, new))
     parts, spans, at, size = [], [], 0, 0
     for a, b, kind, new in sorted(found):
         parts += [text[at:a], new]
