@@ -22,10 +22,10 @@ def number_within(df: DataFrame, group: str, order: list[str], name: str = "numb
 
     runs = stored.groupBy(group, "_part").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
     earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = runs.select(
-        group, "_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift")
-    )
+    shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1
     # one row per partition and group: groups lie behind each other, so at most
-    # (number of partitions + number of groups) rows
+    # (number of partitions + number of groups) rows; stored, so that later passes over the
+    # numbered rows do not count them again
+    offsets = durable(runs.select(group, "_part", shift.alias("_shift")))
     numbered = stored.join(F.broadcast(offsets), [group, "_part"])
     return numbered.withColumn(name, F.col("_row") + F.col("_shift")).drop("_row", "_part", "_shift")

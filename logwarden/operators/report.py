@@ -17,8 +17,10 @@ from logwarden.functions.lookups import SUMMARY_ACTIONS, recommendations, techni
 from logwarden.functions.severity import SEVERITIES, severity_rank
 from logwarden.functions.text import padded_right, zero_padded
 from logwarden.operators import rollups
+from logwarden.operators.detections import LOCALHOST
 from logwarden.operators.enrich import intel_lines, intel_suffix
 from logwarden.operators.numbering import number_within
+from logwarden.session import durable
 
 HEADER, EXECUTIVE, FLAGGED, DETAILS, ACTIONS, FOOTER = range(1, 7)
 ORDER = ["section", "grp", "num", "key", "line_no"]
@@ -47,9 +49,14 @@ def alert_actions(alerts: DataFrame) -> DataFrame:
 
 def summary_actions(alerts: DataFrame) -> DataFrame:
     """``line_no, line``: closing advice for the severities and types that occur."""
-    present = alerts.agg(
-        *[F.max(F.col(field) == value).alias(f"a{i}") for i, (field, value, _) in enumerate(SUMMARY_ACTIONS)]
-    )
+    return _advice_rows(alerts.agg(*_advice_wanted()))
+
+
+def _advice_wanted() -> list[Column]:
+    return [F.max(F.col(field) == value).alias(f"a{i}") for i, (field, value, _) in enumerate(SUMMARY_ACTIONS)]
+
+
+def _advice_rows(present: DataFrame) -> DataFrame:
     rows = F.array(
         *[F.struct(F.lit(i).alias("line_no"), F.lit(line).alias("line"), F.col(f"a{i}").alias("wanted"))
           for i, (_, _, line) in enumerate(SUMMARY_ACTIONS)]
@@ -90,15 +97,25 @@ def report_lines(
 ) -> DataFrame:
     """All lines of the incident report, unsorted (sort by ``ORDER``).
 
-    Alerts are numbered, and thereby stored, once; every section reads that stored table.
+    Alerts are numbered, and thereby stored, once. Four passes over that table make the
+    report: totals (one stored row, from which all short sections come), types, addresses
+    and details.
     """
     prefix = f"INC-{generated_at:%Y%m%d-%H%M%S}"
     numbered = incident_numbers(alerts)
     bar = "=" * 78
 
-    overall = rollups.overall_severity(numbered)
+    totals = durable(
+        numbered.agg(
+            F.count("*").alias("total"),
+            F.count_distinct(F.when(F.col("ip") != LOCALHOST, F.col("ip"))).alias("ips"),
+            rollups.worst_severity(),
+            *rollups.severity_totals(),
+            *_advice_wanted(),
+        )
+    )
     header = _lines(
-        overall,
+        totals,
         HEADER,
         _texts(
             bar,
@@ -115,11 +132,6 @@ def report_lines(
         ),
     )
 
-    totals = numbered.agg(
-        F.count("*").alias("total"),
-        F.count_distinct(F.when(F.col("ip") != "localhost", F.col("ip"))).alias("ips"),
-        *[F.count_if(F.col("severity") == s).alias(s) for s in SEVERITIES],
-    )
     executive = _lines(
         totals,
         EXECUTIVE,
@@ -148,7 +160,7 @@ def report_lines(
     flagged_end = _lines(totals, FLAGGED, _texts(F.when(some_ip, "")), F.lit(2))
 
     details_head = _lines(totals, DETAILS, _texts(_rule("ALERT DETAILS", 60)), F.lit(-1))
-    counts = rollups.severity_counts(numbered).filter(F.col("count") > 0)
+    counts = rollups.severity_rows(totals).filter(F.col("count") > 0)
     tag = F.create_map(*[F.lit(x) for pair in TAGS.items() for x in pair])[F.col("severity")]
     severity_heads = _lines(
         counts,
@@ -165,7 +177,7 @@ def report_lines(
     )
 
     advice_head = _lines(totals, ACTIONS, _texts(_rule("RECOMMENDED ACTIONS (SUMMARY)", 42)), F.lit(-1))
-    advice = _lines(summary_actions(numbered), ACTIONS, _texts(F.col("line")), num=F.col("line_no"))
+    advice = _lines(_advice_rows(totals), ACTIONS, _texts(F.col("line")), num=F.col("line_no"))
     advice_end = _lines(totals, ACTIONS, _texts(""), F.lit(1))
     footer = _lines(totals, FOOTER, _texts(bar, f"  Report generated by {tool}", bar))
 

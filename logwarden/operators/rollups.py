@@ -6,7 +6,7 @@ map side, so a hot address or type costs no more than a cold one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logwarden.functions import timestamps as t
@@ -17,7 +17,16 @@ from logwarden.operators.detections import LOCALHOST
 
 def severity_counts(alerts: DataFrame) -> DataFrame:
     """``severity, severity_rank, count`` for all four severities, zeros included."""
-    counts = alerts.agg(*[F.count_if(F.col("severity") == s).alias(s) for s in SEVERITIES])
+    return severity_rows(alerts.agg(*severity_totals()))
+
+
+def severity_totals() -> list[Column]:
+    """Aggregates: the number of alerts of each severity."""
+    return [F.count_if(F.col("severity") == s).alias(s) for s in SEVERITIES]
+
+
+def severity_rows(counts: DataFrame) -> DataFrame:
+    """One row per severity from one row with ``severity_totals``."""
     rows = F.array(
         *[F.struct(F.lit(s).alias("severity"), F.lit(i).alias("severity_rank"), F.col(s).alias("count"))
           for i, s in enumerate(SEVERITIES)]
@@ -47,8 +56,12 @@ def unique_ips(alerts: DataFrame) -> DataFrame:
 
 def overall_severity(alerts: DataFrame) -> DataFrame:
     """One row: the most severe severity present, LOW without alerts."""
-    worst = F.min(severity_rank(F.col("severity")))
-    return alerts.agg(severity_name(worst).alias("overall_severity"))
+    return alerts.agg(worst_severity())
+
+
+def worst_severity() -> Column:
+    """Aggregate ``overall_severity``."""
+    return severity_name(F.min(severity_rank(F.col("severity")))).alias("overall_severity")
 
 
 def flagged_ips(alerts: DataFrame) -> DataFrame:

@@ -217,3 +217,11 @@ def test_console(alerts):
     lines = [x.line for x in summary["alerts"].collect()]
     assert lines[0] == "  [CRITICAL]  2026-05-26 02:13:13  OFF_HOURS_LOGIN            MITRE: T1078   IP: 185.72.33.10  USER: root"
     assert summary["unique_ips"].first().attacker_ips == 7 and summary["totals"].first().total_alerts == 17
+
+
+def test_report_reads_alerts_four_times(alerts):
+    plan = r.report_lines(alerts, "/var/log/auth.log", NOW)._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    reads = [leaves.apply(i).toString() for i in range(leaves.size())]
+    # the totals, read before, are the fourth pass
+    assert sum("_row#" in read for read in reads) == 3
