@@ -24,15 +24,16 @@ class Rule:
     ip_group: int = 2
     literal: str | None = None
 
-    def hit(self, info: Column) -> Column:
-        """``user\\naddress`` where the rule matches; without a line break where it does not.
+    def hit(self, info: Column, mark: str) -> Column:
+        """``mark\\nuser\\naddress`` where the rule matches, null where it does not.
 
         One evaluation of the pattern answers all three questions: a message has no line
         break, and the lazy prefix finds the same leftmost match as a search.
         """
         user = "" if self.user_group is None else f"${self.user_group}"
         pattern = f"{JAVA_FLAGS}^.*?(?:{self.pattern}).*$"
-        found = F.regexp_replace(info, pattern, f"{user}\n${self.ip_group}")
+        found = F.regexp_replace(info, pattern, f"{mark}\n{user}\n${self.ip_group}")
+        found = F.get(F.filter(F.array(found), lambda x: F.startswith(x, F.lit(f"{mark}\n"))), 0)
         return F.when(F.contains(info, F.lit(self.literal)), found) if self.literal else found
 
 

@@ -42,22 +42,19 @@ def _with_attempt(
     candidates = _candidates(formats, rules)
     hits = []
     for i, (rule, limited_to) in enumerate(candidates):
-        hit = rule.hit(info)
-        hits.append((hit if limited_to is None else F.when(fmt.isin(limited_to), hit)).alias(f"h{i}"))
-    read = with_struct(read, "hits", F.when(info.isNotNull(), F.struct(*hits)))
-
-    choice = F.when(F.lit(False), None)
-    for i, (rule, _) in enumerate(candidates):
-        hit = F.col(f"hits.h{i}")
-        user = F.split_part(hit, F.lit("\n"), F.lit(1))
-        fields = F.struct(
-            F.lit(rule.event).alias("event"),
-            F.lit(rule.success).alias("success"),
-            F.when(user == "", UNKNOWN_USER).otherwise(user).alias("username"),
-            F.split_part(hit, F.lit("\n"), F.lit(2)).alias("ip"),
-        )
-        choice = choice.when(F.contains(hit, F.lit("\n")), fields)
-    return with_struct(read, "attempt", choice)
+        hit = rule.hit(info, str(i))
+        hits.append(hit if limited_to is None else F.when(fmt.isin(limited_to), hit))
+    # the number of the rule, the user and the address; later rules are not tried
+    read = with_struct(read, "hit", F.split(F.when(info.isNotNull(), F.coalesce(*hits)), "\n"))
+    rule_no, user = F.get("hit", 0).cast("int"), F.get("hit", 1)
+    of_rule = lambda values: F.get(F.array(*[F.lit(v) for v in values]), rule_no)
+    fields = F.struct(
+        of_rule([rule.event for rule, _ in candidates]).alias("event"),
+        of_rule([rule.success for rule, _ in candidates]).alias("success"),
+        F.when(user == "", UNKNOWN_USER).otherwise(user).alias("username"),
+        F.get("hit", 2).alias("ip"),
+    )
+    return with_struct(read, "attempt", F.when(F.col("hit").isNotNull(), fields))
 
 
 def scan_lines(
