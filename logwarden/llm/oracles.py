@@ -1,3 +1,66 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+# Rows are numbered by plain windows over whole sources or shards; the operators use cells.
+_MIXING = r"""
+with sized as (
+  select doc_id, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+    source is null as no_source, coalesce(source, '') as source, coalesce(doc_id::varchar, '') as spread
+  from documents),
+sources as (
+  select no_source, source, sum(size)::bigint as source_size, 3 * sum(size)::bigint as top,
+    (row_number() over (order by no_source, source) - 1) % 3 + 1 as weight
+  from sized group by no_source, source),
+shares as (
+  select *, sum(source_size) over () - coalesce(sum(top) over (order by top / weight, no_source, source rows between unbounded preceding and 1 preceding), 0) as remaining,
+    sum(weight) over (order by top / weight, no_source, source rows between current row and unbounded following) as heft,
+    row_number() over (order by top / weight, no_source, source) as place
+  from sources),
+level as (select place, remaining, heft from shares where remaining * weight <= top * heft order by place limit 1),
+aims as (
+  select s.no_source, s.source, s.source_size,
+    case when l.place is null or s.place < l.place then s.top::double else (s.weight * l.remaining)::double / l.heft::double end as target
+  from shares s left join level l on true),
+ranked as (
+  select *, (('0x' || substr(md5(spread), 1, 12))::ubigint % 4096) as cell, length(bin(size + 1)) * 16 + (((size + 1) * 16) >> length(bin(size + 1))) as band
+  from sized),
+numbered as (
+  select *, row_number() over (partition by no_source, source order by band, cell, size, spread) as place from ranked),
+crossed as (
+  select n.doc_id, n.size, a.source_size, a.target, n.place,
+    case when a.source_size > 0 then floor(a.target / a.source_size * 16777216)::hugeint else 0 end as rate,
+    (('0x' || substr(md5('mix/' || n.no_source::varchar || '/' || n.source), 1, 12))::ubigint % 16777216)::hugeint as first
+  from numbered n join aims a on n.no_source = a.no_source and n.source = a.source)
+select doc_id, size, source_size, target,
+  (size * ((place * rate + first) // 16777216 - ((place - 1) * rate + first) // 16777216))::bigint as taken
+from crossed
+"""
+
+# With equal weights the highest draw has the highest score. The checksum takes one table step per byte.
+_SHARDING = """
+with steps as (
+  select list_transform(range(256), lambda n: list_reduce(
+    list_concat([n::ubigint], [0::ubigint, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, z: case when c % 2 = 1 then xor(c // 2, 3988292384::ubigint) else c // 2 end)) as step),
+rows as (
+  select row_number() over () as row, doc_id, coalesce(text, '') as text, coalesce(doc_id::varchar, '') as key from documents),
+summed as (
+  select row, doc_id, key, (strlen(text) + 1)::bigint as size,
+    xor(4294967295::ubigint, list_reduce(
+      list_concat([4294967295::ubigint], list_transform(regexp_extract_all(hex(text), '..'), lambda b: ('0x' || b)::ubigint)),
+      lambda c, b: xor(c // 256, step[(xor(c, b) % 256 + 1)::bigint])))::bigint as text_crc32
+  from rows, steps),
+draws as (
+  select row, shard, ('0x' || substr(md5('shard/' || shard::varchar || '/' || key), 1, 12))::ubigint as draw
+  from rows, range(17) r(shard)),
+chosen as (
+  select row, min(shard) filter (draw = most and shard < 16) as shard, min(shard) filter (draw = most_grown) as grown_shard
+  from (select row, shard, draw, max(draw) filter (shard < 16) over (partition by row) as most, max(draw) over (partition by row) as most_grown from draws) d
+  group by row)
+select doc_id, size, text_crc32, 'key' as law, shard::integer as shard,
+  row_number() over (partition by shard order by ('0x' || substr(md5(key), 1, 8))::ubigint % 1024, doc_id nulls first, text_crc32, size) - 1 as slot,
+  grown_shard::integer as grown_shard
+from summed join chosen using (row)
+"""
+ORACLES: dict[str, str] = {"op5_mixing": _MIXING, "op8_sharding": _SHARDING}
