@@ -143,12 +143,20 @@ def phone(f: Feistel, text: str, back: bool) -> str | None:
     digits = digits_of(text)
     national = digits[1:] if len(digits) == 11 and digits[0] == "1" else digits
     american = lambda d: d[0] in "23456789" and d[3] in "23456789"
+    # a plus, or an area code in brackets, tells a phone number where the national rule does not
+    explicit = text.startswith("+") or ("(" in text and ")" in text)
     if len(national) == 10 and not (text.startswith("+") and len(digits) == 10):
-        if not american(national):
+        if american(national):
+            return laid(digits[: -len(national)] + permuted(f, "phone", national, american, back), text)
+        if not explicit:
             return None
-        return laid(digits[: -len(national)] + permuted(f, "phone", national, american, back), text)
+        other = permuted(f, "phone other", national, lambda d: not american(d), back)
+        return laid(digits[: -len(national)] + other, text)
     if text.startswith("+") and 8 <= len(digits) <= 15:
         return laid(digits[:2] + permuted(f, "phone", digits[2:], None, back), text)
+    if explicit and 8 <= len(digits) <= 15:
+        # eleven digits from 1 on are read as a national number
+        return laid(permuted(f, "phone other", digits, lambda d: len(d) != 11 or d[0] != "1", back), text)
     return None
 
 

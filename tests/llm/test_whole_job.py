@@ -2,9 +2,10 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from logwarden.llm import quality
+from logwarden.llm import pseudonyms, quality
 
 
 def test_quality_reads_inside_words(spark):
@@ -20,3 +21,23 @@ def test_quality_reads_inside_words(spark):
     for i in range(40, 50):
         assert got[i].log_ratio == got[i - 40].log_ratio  # the borders are the same
         assert got[i].text_ratio < got[i - 40].text_ratio - 0.1 and not got[i].kept
+
+
+def round_trip(text, *values):
+    """No value stays, the undone text is the first one, and the pseudonyms are read the same way again; the spans."""
+    feistel = pseudonyms.Feistel(b"k")
+    new, spans = pseudonyms.replaced(text, feistel)
+    assert not [v for v in values if v in new]
+    assert pseudonyms.replaced(new, feistel, back=True)[0] == text
+    assert [s[0] for s in pseudonyms.replaced(new, feistel)[1]] == [s[0] for s in spans]
+    return new, spans
+
+
+@pytest.mark.parametrize("value", ["+1 (017) 555-7713", "+1 (217) 155-7713", "(017) 555-7713", "+10175557713", "(0171) 555-7713"])
+def test_phone_numbers_against_the_national_rule(value):
+    new, spans = round_trip(f"call {value} now", value)
+    assert [s[0] for s in spans] == ["phone"] and len(new) == len(f"call {value} now")
+
+
+def test_plain_digits_against_the_national_rule_stay():
+    assert pseudonyms.replaced("rows 017 555 7713", pseudonyms.Feistel(b"k"))[1] == []
