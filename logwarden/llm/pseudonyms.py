@@ -6,7 +6,8 @@ of the same format: a keyed Feistel network permutes the values of a format, wal
 until the result is valid itself. Equal values get equal pseudonyms in all documents, and
 different values different ones, so records stay linked; the key undoes it.
 
-Null texts stay null, empty ones empty, and texts without such values unchanged. Spans may
+A value beside other digits or capitals may get another pseudonym than alone, where its own
+would make a longer span valid. Null texts stay null, empty ones empty, and texts without such values unchanged. Spans may
 not overlap; where formats compete, the earlier in ``KINDS`` wins. Other columns stay as
 they are, but for ``spans``, which is replaced.
 """
@@ -235,8 +236,43 @@ KINDS: list[tuple[str, str, re.Pattern, Callable]] = [
 _TELLING = re.compile("[0-9@]")
 
 
+_GROUP = re.compile(r"[^ ./-]+")
+_REACH = 128  # longer than any candidate that can fail its check
+
+
+def candidates(text: str, pattern: re.Pattern) -> Iterator[tuple[int, int, list[int]]]:
+    """Start, longest end and shorter ends (at separators) of what may be a value.
+
+    The caller sends the end of the value it took, or None; then the search goes on after the
+    first group of the match, where a value may start as well.
+    """
+    at = 0
+    while m := pattern.search(text, at):
+        start, end, last = m.start(), m.end(), m.end()
+        while True:
+            groups = [g.end() + start for g in _GROUP.finditer(text[start:end])]
+            took = yield start, end, [e for e in reversed(groups[-40:]) if e < end]
+            if took is not None:
+                at = took
+                break
+            # a later group of the failed match, whatever separator is before it
+            after = next((g.start() + start for g in _GROUP.finditer(text[start:last]) if g.start()), None)
+            if after is None:
+                at = last
+                break
+            start = after
+            m = pattern.match(text[start : start + _REACH])
+            end = start + m.end() if m else start
+            last = max(last, end)
+
+
 def replaced(text: str, feistel: Feistel, back: bool = False, kinds: list | None = None) -> tuple[str, list[tuple[str, int, int]]]:
-    """The text with pseudonyms, and kind, start and end of each in the new text."""
+    """The text with pseudonyms, and kind, start and end of each in the new text.
+
+    Where a match fails its check or overlaps a taken span, shorter ones and later starts within
+    it are tried, at separators. A pseudonym that would make a failed candidate valid is
+    permuted again, so that the new text is read the same way.
+    """
     if not _TELLING.search(text):
         return text, []
     found: list[tuple[int, int, str, str]] = []
@@ -244,14 +280,29 @@ def replaced(text: str, feistel: Feistel, back: bool = False, kinds: list | None
     for kind, needed, pattern, change in kinds or KINDS:
         if needed and needed not in text:
             continue
-        for m in pattern.finditer(text):
-            a, b = m.span()
-            if any(taken[a:b]):
-                continue
-            new = change(feistel, m.group(), back)
-            if new is not None:
-                taken[a:b] = bytes([1]) * (b - a)
-                found.append((a, b, kind, new))
+        failed: list[tuple[int, int]] = []
+        search, took = candidates(text, pattern), None
+        while True:
+            try:
+                start, longest, shorter = search.send(took)
+            except StopIteration:
+                break
+            took = None
+            for end in (longest, *shorter):
+                value = text[start:end]
+                if any(taken[start:end]) or (end < longest or start == end) and not pattern.fullmatch(value):
+                    continue
+                new = change(feistel, value, back)
+                if new is None:
+                    failed.append((start, end))
+                    continue
+                near = [(a, b) for a, b in failed[-800:] if b > start]
+                while near and any(change(feistel, (text[a:start] + new[max(0, a - start) :] + text[end:b])[: b - a], back) is not None for a, b in near):
+                    new = change(feistel, new, back)
+                taken[start:end] = bytes([1]) * (end - start)
+                found.append((start, end, kind, new))
+                took = end
+                break
     parts, spans, at, size = [], [], 0, 0
     for a, b, kind, new in sorted(found):
         parts += [text[at:a], new]

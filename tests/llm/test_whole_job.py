@@ -41,3 +41,38 @@ def test_phone_numbers_against_the_national_rule(value):
 
 def test_plain_digits_against_the_national_rule_stay():
     assert pseudonyms.replaced("rows 017 555 7713", pseudonyms.Feistel(b"k"))[1] == []
+
+
+CARD, IBAN = "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00"
+
+
+@pytest.mark.parametrize(
+    "text, value, kind",
+    [
+        (f"paid {CARD} 123 today", CARD, "card"),
+        (f"order 12 {CARD} today", CARD, "card"),
+        (f"order 1234 {CARD} today", CARD, "card"),
+        ("order 12-4111-1111-1111-1111 today", "4111-1111-1111-1111", "card"),
+        (f"IBAN {IBAN} BIC COBADEFF today", IBAN, "iban"),
+    ],
+)
+def test_values_beside_other_digits_or_capitals(text, value, kind):
+    assert kind in [s[0] for s in round_trip(text, value)[1]]
+
+
+def test_values_beside_other_digits_come_back():
+    rng = random.Random(9)
+    feistel = pseudonyms.Feistel(b"k")
+    for _ in range(300):
+        body = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        digits = body + pseudonyms.luhn_digit(body)
+        value = " ".join(digits[i : i + 4] for i in range(0, 16, 4))
+        text = f"a {rng.randint(1, 9999)} {value} {rng.randint(1, 999)} b"
+        new, spans = pseudonyms.replaced(text, feistel)
+        assert "card" in [s[0] for s in spans]
+        assert pseudonyms.replaced(new, feistel, back=True)[0] == text
+
+
+def test_a_candidate_over_a_taken_span_is_cut():
+    new, spans = round_trip("card 4111 1111 1111 1111 10.20.30.40 end", CARD, "10.20.30.40")
+    assert [s[0] for s in spans] == ["card", "network"]
