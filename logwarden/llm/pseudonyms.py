@@ -15,8 +15,10 @@ they are, but for ``spans``, which is replaced.
 from __future__ import annotations
 
 import datetime
+import functools
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -27,6 +29,9 @@ from logwarden.llm.common import column
 
 _ROUNDS = 8
 _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1).toordinal(), 73_049  # to the end of 2099
+# Letters of scripts that put spaces between words, and accents that follow their letter.
+_LETTERS = "\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F\u0300-\u036F\u0370-\u06FF\u1E00-\u1FFF"
+_SPACED = re.compile(f"[{_LETTERS}]")
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 
@@ -77,8 +82,14 @@ def from_number(number: int, alphabets: list[str]) -> str:
     return "".join(reversed(out))
 
 
+@functools.lru_cache(4096)
 def alphabet_of(c: str) -> str:
-    return next((a for a in (_DIGITS, _LOWER, _UPPER) if c in a), c)
+    """The class of a character: others of its block and category for letters and digits beyond ASCII, itself for signs."""
+    if c.isascii() or not c.isalnum():
+        return next((a for a in (_DIGITS, _LOWER, _UPPER) if c in a), c)
+    block, kind, spaced = ord(c) >> 8 << 8, unicodedata.category(c), bool(_SPACED.match(c))
+    others = map(chr, range(max(block, 128), block + 256))
+    return "".join(x for x in others if x.isalnum() and unicodedata.category(x) == kind and bool(_SPACED.match(x)) == spaced)
 
 
 def permuted(feistel: Feistel, kind: str, text: str, valid: Callable[[str], bool] | None = None, back: bool = False) -> str:
@@ -180,16 +191,18 @@ def date(f: Feistel, text: str, back: bool) -> str | None:
             continue
         if not 0 <= day < _DAYS:
             return None
-        # the order of day and month must be read the same way again
+        # order and widths of day and month must be read the same way again
         def readable(v: int) -> bool:
             new = datetime.date.fromordinal(v + _FIRST_DAY)
-            return which == 0 or new.day > 12
+            short = (len(m) == 1 and new.month > 9) or (len(d) == 1 and new.day > 9)
+            return not short and (which == 0 or new.day > 12)
 
         new = datetime.date.fromordinal(f.walk(f"date{which}", day, _DAYS, readable, back) + _FIRST_DAY)
-        y2, m2, d2 = f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"
+        y2, m2, d2 = f"{new.year:04d}", f"{new.month:0{len(m)}d}", f"{new.day:0{len(d)}d}"
         if year_first:
             return mark.join((y2, m2, d2))
-        return mark.join((m2, d2, y2) if orders[which][1] == a else (d2, m2, y2))
+        month_first = (which == 0) == (mark == "/")
+        return mark.join((m2, d2, y2) if month_first else (d2, m2, y2))
     return None
 
 
@@ -206,30 +219,50 @@ def secret(f: Feistel, text: str, back: bool) -> str | None:
     return text[:4] + permuted(f, "secret", text[4:], None, back)
 
 
+_PIECE = 128
+
+
 def assigned(f: Feistel, text: str, back: bool) -> str | None:
     head, quote, value = re.match(r"(?s)(.*?[=:]\s*)([\"']?)(.*)", text).groups()
-    return head + quote + permuted(f, "assigned", value, None, back)
+    # in pieces, as the cost of one permutation grows with the square of the length
+    pieces = [value[i : i + _PIECE] for i in range(0, len(value), _PIECE)]
+    return head + quote + "".join(permuted(f, f"assigned{i or ''}", p, None, back) for i, p in enumerate(pieces))
+
 
+_NAME = rf"A-Za-z0-9._%+\-{_LETTERS}"
+_HOST = rf"(?:[A-Za-z0-9{_LETTERS}-]{{1,63}}\.){{1,8}}[A-Za-z]{{2,24}}(?![A-Za-z0-9_-])"
 
 # What is looked for, most telling first: kind, what must be in the text, pattern, replacement.
+# Borders are ASCII letters and digits: other scripts may put no space before or after a value.
 KINDS: list[tuple[str, str, re.Pattern, Callable]] = [
-    ("mail", "@", re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-])"), mail),
+    # a name in a script without spaces only where it stands directly before the @
+    ("mail", "@", re.compile(rf"(?:(?<![{_NAME}])[{_NAME}]{{1,64}}|(?<![\w.%+-])[\w.%+-]{{0,63}}(?![{_NAME}])\w)@{_HOST}"), mail),
     ("secret", "", re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"), secret),
     (
         "assigned",
         "",
-        re.compile(r"(?i:(?<![a-z])(?:token|secret|password|passwd|api_?key|access_?key)\s{0,4}[=:]\s{0,4})[\"']?(?=[A-Za-z]*[0-9])[A-Za-z0-9_\-]{12,128}"),
+        re.compile(r"(?i:(?<![a-z])(?:token|secret|password|passwd|api_?key|access_?key)\s{0,4}[=:]\s{0,4})[\"']?(?=[A-Za-z_\-]*[0-9])[A-Za-z0-9_\-]{12,}"),
         assigned,
     ),
-    ("network", ".", re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])"), network),
-    ("date", "", re.compile(r"(?<![\w./-])(?:[0-9]{4}([-./])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-./])[0-9]{2}\2[0-9]{4})(?![\w/-]|\.[0-9])"), date),
+    ("network", ".", re.compile(r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![A-Za-z0-9]|\.[0-9])"), network),
+    (
+        "date",
+        "",
+        re.compile(
+            r"(?<![A-Za-z0-9./-])(?:[0-9]{4}([-./])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-./])[0-9]{1,2}\2[0-9]{4})(?![A-SU-Za-z0-9/-]|T(?![0-9])|\.[0-9])"
+        ),
+        date,
+    ),
     ("iban", "", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"), iban),
-    ("card", "", re.compile(r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"), card),
-    ("social", "", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"), social),
+    ("card", "", re.compile(r"(?<![A-Za-z0-9.+-])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9-])"), card),
+    ("social", "", re.compile(r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"), social),
     (
         "phone",
         "",
-        re.compile(r"(?<![\w+(])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-][0-9]{2,4}(?:[ .-][0-9]{2,4}){0,2}(?![\w-])|(?<!\w)\+[0-9]{8,15}(?!\w)"),
+        re.compile(
+            r"(?<![A-Za-z0-9+(])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-][0-9]{2,4}(?:[ .-][0-9]{2,4}){0,2}(?![A-Za-z0-9-])"
+            r"|(?<![A-Za-z0-9])\+[0-9]{8,15}(?![A-Za-z0-9])"
+        ),
         phone,
     ),
 ]
