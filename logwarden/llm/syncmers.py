@@ -1,10 +1,10 @@
 """Document fingerprints from closed syncmers, with DataFrame functions alone.
 
-A text is a sequence of units: its words; or, where words are long or letters take several
-bytes each, its Latin words and other single characters; or, where it has fewer than
-``short`` characters, its overlapping ``gram``-character strings. A window of three units is a
-closed syncmer when the least of the hashes of its units (the inner strings) is the first or
-the last. Whether a window is chosen depends on its own units only, so an edit moves or
+A text is a sequence of units: runs of at most 32 Latin letters, digits and signs, and all other
+characters one by one, without blanks. This holds at every length and in every script, so
+texts of any two lengths have anchors in common where they have words in common. A window of
+three units is a closed syncmer when the least of the hashes of its units (the inner strings) is the first or the
+last. Whether a window is chosen depends on its own units only, so an edit moves or
 removes anchors near the edit and no others. The fingerprint is the ``size`` least hashes of
 a text's syncmers, in hexadecimal; two fingerprints are as alike as their least hashes
 together have members in common.
@@ -29,8 +29,6 @@ from logwarden.operators.compute_once import with_struct
 
 @dataclass(frozen=True)
 class Params:
-    short: int = 256
-    gram: int = 6
     size: int = 64
     # Documents are put in order in ranges of about this many rows, at most ``max_ranges``.
     range_rows: int = 4096
@@ -46,17 +44,11 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 UNITS = r"[\x21-\x7E\u00C0-\u024F]{1,32}|[^\x20\x09-\x0D]"
 
 
-def units(text: Column, params: Params) -> Column:
-    grams = F.transform(F.sequence(F.lit(1), F.length(text) - (params.gram - 1)), lambda i: F.substr(text, i, F.lit(params.gram)))
-    few = F.when(F.length(text) < params.gram, F.filter(F.array(text), lambda t: t != "")).otherwise(grams)
-    few = F.when(F.trim(blank_to_space(text)) == "", F.array().cast("array<string>")).otherwise(few)
-    # mostly Latin texts have few bytes per character, and longish words
-    latin = (F.octet_length(text) < 1.5 * F.length(text)) & (20 * F.size(words_of(text)) > F.length(text))
-    many = F.when(latin, words_of(text)).otherwise(F.regexp_extract_all(text, F.lit(UNITS), F.lit(0)))
-    return F.when(F.length(text) < params.short, few).otherwise(many)
+def units(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(UNITS), F.lit(0))
 
 
-def anchor_list(text: Column, params: Params, positions: bool = False) -> Column:
+def anchor_list(text: Column, positions: bool = False) -> Column:
     """Hashes of all syncmers; with ``positions``, structs of the number of the first unit and the hash."""
     anchor = (lambda i, x: F.struct(i.alias("position"), x.alias("hash"))) if positions else lambda i, x: x
     none = F.array().cast("array<struct<position:int,hash:bigint>>" if positions else "array<bigint>")
@@ -71,7 +63,7 @@ def anchor_list(text: Column, params: Params, positions: bool = False) -> Column
         whole = F.array(anchor(F.lit(0), F.xxhash64(h)))
         return F.when(F.size(h) == 0, none).when(F.size(h) < 3, whole).otherwise(F.array_compact(found))
 
-    return let(F.transform(units(F.coalesce(text, F.lit("")), params), lambda u: F.xxhash64(u)), of)
+    return let(F.transform(units(F.coalesce(text, F.lit(""))), lambda u: F.xxhash64(u)), of)
 
 
 def sketch(anchors: Column, params: Params) -> Column:
@@ -92,16 +84,16 @@ def likeness(a: Column, b: Column, params: Params) -> Column:
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint", params: Params = Params()) -> DataFrame:
     """``docs`` with the fingerprint of the text (replaced where it exists)."""
-    return docs.withColumn(out, as_text(sketch(anchor_list(F.col(text), params), params)))
+    return docs.withColumn(out, as_text(sketch(anchor_list(F.col(text)), params)))
 
 
 def anchors(docs: DataFrame, text: str = "text", out: str = "anchors", params: Params = Params()) -> DataFrame:
     """``docs`` with the first unit and the hash of every syncmer, for matching by position."""
-    return docs.withColumn(out, anchor_list(F.col(text), params, positions=True))
+    return docs.withColumn(out, anchor_list(F.col(text), positions=True))
 
 
 def with_sketch(rows: DataFrame, text: str, out: str, params: Params) -> DataFrame:
-    return with_struct(rows, out, sketch(anchor_list(F.col(text), params), params))
+    return with_struct(rows, out, sketch(anchor_list(F.col(text)), params))
 
 
 def with_next(docs: DataFrame, params: Params) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from logwarden.llm import pseudonyms, quality
+from logwarden.llm import pseudonyms, quality, syncmers
 
 
 def test_quality_reads_inside_words(spark):
@@ -112,3 +112,16 @@ def test_dates_come_back():
             for text in (f"x {a}{mark}{b}{mark}1985 y", f"x 1985{mark}{a}{mark}{b} y"):
                 new, spans = pseudonyms.replaced(text, feistel)
                 assert pseudonyms.replaced(new, feistel, back=True)[0] == text
+
+
+def test_fingerprints_are_alike_across_lengths_and_scripts(spark):
+    rng = random.Random(4)
+    words = [rng.choice(("wat", "lich", "gre")) + rng.choice(("er", "ing", "tes")) + str(rng.randint(0, 99)) for _ in range(60)]
+    text = " ".join(words)
+    other = "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(400))
+    pairs = [(text[:n], text[:255]) for n in (256, 257, 261)] + [(text[:257], text[:200]), (text + " " + other[:150], text), (text[:300] + other, other)]
+    params = syncmers.Params()
+    rows = syncmers.with_sketch(spark.createDataFrame(pairs, "a string, b string"), "a", "sa", params)
+    rows = syncmers.with_sketch(rows, "b", "sb", params)
+    got = [r[0] for r in rows.select(syncmers.likeness(F.col("sa"), F.col("sb"), params)).collect()]
+    assert all(x > 0.8 for x in got[:3]) and all(x > 0.1 for x in got), got
