@@ -46,7 +46,7 @@ _MEASURES = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score do
 class Params:
     block_bytes: int = 8 << 20
     shard_bytes: int = 16 << 20
-    buckets: int = 16
+    buckets: int = 65  # one per power of two of a 64-bit count, and one for contexts never counted
     rounds: int = 60
     # EM sees token statistics as a histogram with this many steps per factor of two.
     steps: int = 8
@@ -224,12 +224,17 @@ def evidence(rows: DataFrame, answers: DataFrame, v0: int, n0: int, params: Para
 
 
 def learned_weights(cells: np.ndarray, params: Params) -> np.ndarray:
-    """Per bucket the weights of bigram, unigram and uniform estimate, by expectation-maximisation."""
+    """Per bucket the weights of bigram, unigram and uniform estimate, by expectation-maximisation.
+
+    Buckets without evidence take the weights of the nearest one below that has some.
+    """
     weights = np.tile([0.5, 0.4, 0.1], (params.buckets, 1))
     weights[0] = [0.0, 0.8, 0.2]  # the context was never seen: no bigram estimate
     for b in range(params.buckets):
         mine = cells[cells[:, 0] == b]
         if not len(mine):
+            if b > 1:
+                weights[b] = weights[b - 1]
             continue
         n = mine[:, 3].astype(float)
         ratios = np.exp2(np.where(mine[:, 1:3] <= -10**6, -np.inf, mine[:, 1:3] / params.steps))

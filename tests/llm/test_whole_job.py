@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from logwarden.llm import pseudonyms, quality, syncmers
+from logwarden.llm import lmscore, pseudonyms, quality, syncmers
 
 
 def test_quality_reads_inside_words(spark):
@@ -125,3 +126,14 @@ def test_fingerprints_are_alike_across_lengths_and_scripts(spark):
     rows = syncmers.with_sketch(rows, "b", "sb", params)
     got = [r[0] for r in rows.select(syncmers.likeness(F.col("sa"), F.col("sb"), params)).collect()]
     assert all(x > 0.8 for x in got[:3]) and all(x > 0.1 for x in got), got
+
+
+def test_weights_of_frequent_contexts_differ():
+    counts = [2**p for p in range(0, 60, 4)]
+    params = lmscore.Params()
+    found = lmscore.bucket(np.array([0, *counts], np.uint64), params.buckets)
+    assert len(set(found)) == len(counts) + 1
+    cells = np.array([(found[5], 48, 8, 100), (found[-1], -(10**6), 8, 100)], np.int64)
+    weights = lmscore.learned_weights(cells, params)
+    assert weights[found[-1]][0] < 0.1 < 0.9 < weights[found[5]][0]
+    assert (weights[found[-2]] == weights[found[5]]).all()  # no evidence of its own
