@@ -45,6 +45,20 @@ def free_name(df: DataFrame, wish: str) -> str:
     return wish
 
 
+def set_aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with its columns of these names (in any case) under free names, and what gives all columns back."""
+    clash = {n.lower() for n in names}
+    taken = {c.lower() for c in df.columns} | clash
+    new = {}
+    for c in df.columns:
+        new[c] = c
+        if c.lower() in clash:
+            while new[c].lower() in taken:
+                new[c] += "_"
+            taken.add(new[c].lower())
+    return df.withColumnsRenamed(new), [F.col(new[c]).alias(c) for c in df.columns]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a bijection)."""
     x = x ^ (x >> np.uint64(30))

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from logwarden.llm.common import column, free_name, mix
 
 UNDETERMINED = "und"
+ADDED = ("lang_pred", "score", "entropy", "entropy_next", "rejected")
 _SPACE = 32
 
 
@@ -273,7 +274,7 @@ def predict(docs: DataFrame, models: Models | None, text: str = "text") -> DataF
     """``docs`` with ``lang_pred``, ``score``, ``entropy``, ``entropy_next``, ``rejected`` (replaced where they exist)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(models.plain() if models else None)
-    added = {"lang_pred": pa.string(), "score": pa.float64(), "entropy": pa.float64(), "entropy_next": pa.float64(), "rejected": pa.bool_()}
+    added = dict(zip(ADDED, (pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.bool_())))
     kept = docs.drop(*added)
     given = free_name(kept, "judged")
     rows = kept.withColumn(given, F.col(text))

@@ -15,8 +15,8 @@ the rows of one cell are numbered together. All sums are integers, so reruns agr
 
 Edge cases: documents of size 0 cost nothing and are taken like others; a source without
 words has target 0 and nothing is taken. Null ids are hashed as empty text; equal rows in one
-cell share its copies in any order. Columns of the table stay as they are; helper columns
-take free names.
+cell share its copies in any order. Columns named like the four added ones are replaced; all
+other columns of the table stay as they are.
 """
 
 from __future__ import annotations
@@ -30,6 +30,9 @@ from pyspark.sql import functions as F
 from logwarden.session import stored
 
 
+ADDED = ("size", "source_size", "target", "copies")
+
+
 @dataclass(frozen=True)
 class Params:
     weights: tuple[int, ...] = (1, 2, 3)
@@ -73,8 +76,7 @@ def targets(sizes: DataFrame, params: Params = Params()) -> DataFrame:
 
 def mixed(docs: DataFrame, size: Column, doc_id: str = "doc_id", source: str = "source", params: Params = Params()) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``copies`` (replaced where they exist)."""
-    added = ("size", "source_size", "target", "copies")
-    kept = [c for c in docs.columns if c not in added]
+    kept = [c for c in docs.columns if c.lower() not in ADDED]
     spread = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     rows = docs.select(F.struct(*kept).alias("row"), size.cast("bigint").alias("size"), F.col(source).alias("source"), spread.alias("spread"))
     no_source = F.col("source").isNull()
@@ -104,5 +106,5 @@ def mixed(docs: DataFrame, size: Column, doc_id: str = "doc_id", source: str = "
 
 
 def emitted(docs: DataFrame) -> DataFrame:
-    """Each row as often as ``copies`` says."""
+    """Each row as often as ``copies`` says, numbered by ``copy`` (replaced where it exists)."""
     return docs.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))

@@ -6,17 +6,18 @@ of the same format: a keyed Feistel network permutes the values of a format, wal
 until the result is valid itself. Equal values get equal pseudonyms in all documents, and
 different values different ones, so records stay linked; the key undoes it.
 
-A value beside other digits or capitals may get another pseudonym than alone, where its own
-would make a longer span valid. Null texts stay null, empty ones empty, and texts without such values unchanged. Spans may
-not overlap; where formats compete, the earlier in ``KINDS`` wins. Other columns stay as
-they are, but for ``spans``, which is replaced.
+The value alone decides its pseudonym, whatever stands beside it. A pseudonym may so join its
+neighbours to something that reads as a longer value; ``spans`` says where the pseudonyms
+are, and ``restored`` undoes them by it. Null texts stay null, empty ones empty, and texts
+without such values unchanged. Spans do not overlap; where formats compete, the earlier in
+``KINDS`` wins. Other columns stay as they are, but for ``spans``, which is replaced.
 """
 
 from __future__ import annotations
 
 import datetime
-import functools
 import hashlib
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -82,8 +83,10 @@ def from_number(number: int, alphabets: list[str]) -> str:
     return "".join(reversed(out))
 
 
-@functools.lru_cache(4096)
-def alphabet_of(c: str) -> str:
+_CLASSES: dict[str, str] = {}  # a plain dictionary: it travels to executors with the functions
+
+
+def class_of(c: str) -> str:
     """The class of a character: others of its block and category for letters and digits beyond ASCII, itself for signs."""
     if c.isascii() or not c.isalnum():
         return next((a for a in (_DIGITS, _LOWER, _UPPER) if c in a), c)
@@ -92,13 +95,21 @@ def alphabet_of(c: str) -> str:
     return "".join(x for x in others if x.isalnum() and unicodedata.category(x) == kind and bool(_SPACED.match(x)) == spaced)
 
 
+def alphabet_of(c: str) -> str:
+    found = _CLASSES.get(c)
+    if found is None:
+        found = _CLASSES[c] = class_of(c)
+    return found
+
+
 def permuted(feistel: Feistel, kind: str, text: str, valid: Callable[[str], bool] | None = None, back: bool = False) -> str:
     """Digits, lower-case and upper-case letters permuted within their classes, the rest unchanged."""
     alphabets = [alphabet_of(c) for c in text]
     n = 1
     for a in alphabets:
         n *= len(a)
-    shape = "".join("0" if a is _DIGITS else "a" if a is _LOWER else "A" if a is _UPPER else a for a in alphabets)
+    signs = {_DIGITS: "0", _LOWER: "a", _UPPER: "A"}
+    shape = "".join(signs.get(a, a) for a in alphabets)
     check = (lambda v: valid(from_number(v, alphabets))) if valid else None
     return from_number(feistel.walk(f"{kind}:{shape}", to_number(text, alphabets), n, check, back), alphabets)
 
@@ -151,14 +162,18 @@ def social(f: Feistel, text: str, back: bool) -> str | None:
     return laid(permuted(f, "social", digits, fits, back), text) if fits(digits) else None
 
 
+_NATIONAL = re.compile(r"(?:1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}")
+
+
 def phone(f: Feistel, text: str, back: bool) -> str | None:
     digits = digits_of(text)
     national = digits[1:] if len(digits) == 11 and digits[0] == "1" else digits
-    american = lambda d: d[0] in "23456789" and d[3] in "23456789"
+    # area codes ending in 00 are in use from 500 on, and not 600
+    american = lambda d: d[0] in "23456789" and d[3] in "23456789" and d[:3] not in ("200", "300", "400", "600")
     # a plus, or an area code in brackets, tells a phone number where the national rule does not
     explicit = text.startswith("+") or ("(" in text and ")" in text)
     if len(national) == 10 and not (text.startswith("+") and len(digits) == 10):
-        if american(national):
+        if american(national) and (explicit or _NATIONAL.fullmatch(text)):
             return laid(digits[: -len(national)] + permuted(f, "phone", national, american, back), text)
         if not explicit:
             return None
@@ -180,6 +195,27 @@ def network(f: Feistel, text: str, back: bool) -> str | None:
     return ".".join(map(str, number.to_bytes(4, "big")))
 
 
+def network6(f: Feistel, text: str, back: bool) -> str | None:
+    groups = [g for g in text.split(":") if g]
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return None
+    if len(groups) < 2 or sum(map(len, groups)) < 5 or not any(c in _DIGITS for c in text):
+        return None
+    # hexadecimal digits in the case of the text; with a letter if and only if it has one
+    upper, lettered = any(c in "ABCDEF" for c in text), bool(re.search("[A-Fa-f]", text))
+    alphabets = ["0123456789abcdef" if c != ":" else c for c in text]
+
+    def readable(value: int) -> bool:
+        new = from_number(value, alphabets)
+        return bool(re.search("[a-f]", new)) == lettered and bool(re.search("[0-9]", new))
+
+    shape = "".join(":" if c == ":" else "h" for c in text)
+    new = f.walk(f"network6:{shape}", to_number(text.lower(), alphabets), 16 ** (len(text) - text.count(":")), readable, back)
+    return from_number(new, alphabets).upper() if upper else from_number(new, alphabets)
+
+
 def date(f: Feistel, text: str, back: bool) -> str | None:
     a, mark, b, _, c = re.split(r"([-./])", text)
     year_first = len(a) == 4
@@ -219,14 +255,51 @@ def secret(f: Feistel, text: str, back: bool) -> str | None:
     return text[:4] + permuted(f, "secret", text[4:], None, back)
 
 
+def key_token(f: Feistel, text: str, back: bool) -> str | None:
+    head = _KEY_HEAD.match(text).group()
+    return head + in_pieces(f, "key", text[len(head) :], back)
+
+
 _PIECE = 128
 
 
-def assigned(f: Feistel, text: str, back: bool) -> str | None:
-    head, quote, value = re.match(r"(?s)(.*?[=:]\s*)([\"']?)(.*)", text).groups()
-    # in pieces, as the cost of one permutation grows with the square of the length
+def in_pieces(f: Feistel, kind: str, value: str, back: bool) -> str:
+    # the cost of one permutation grows with the square of the length
     pieces = [value[i : i + _PIECE] for i in range(0, len(value), _PIECE)]
-    return head + quote + "".join(permuted(f, f"assigned{i or ''}", p, None, back) for i, p in enumerate(pieces))
+    return "".join(permuted(f, f"{kind}{i or ''}", p, None, back) for i, p in enumerate(pieces))
+
+
+_SECRET = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}")
+_KEY_HEAD = re.compile(r"github_pat_|gh[opsur]_|glpat-|sk[-_](?:live_|test_|proj-)?|xox[abeprs]-|AIza")
+
+
+def assigned(f: Feistel, text: str, back: bool) -> str | None:
+    m = _ASSIGNMENT.match(text)
+    head, value = text[: m.end()], text[m.end() :]
+    # a key that is known by itself has the same pseudonym wherever it stands
+    if _SECRET.fullmatch(value):
+        return head + secret(f, value, back)
+    if _KEY.fullmatch(value):
+        return head + key_token(f, value, back)
+    return head + in_pieces(f, "assigned", value, back)
+
+
+def bearer(f: Feistel, text: str, back: bool) -> str | None:
+    head = re.match(r"\S+\s+", text).group()
+    return head + in_pieces(f, "assigned", text[len(head) :], back)
+
+
+_KEY = re.compile(rf"(?:{_KEY_HEAD.pattern})(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{{16,}}")
+# What a value is assigned to, the sign and an opening quote.
+_SECRET_NAME = r"(?i:(?<![a-z])(?:token|secret|password|passwd|pwd|api_?key|access_?key|private_?key|secret_?key))[\"']?"
+_ASSIGNMENT = re.compile(rf"{_SECRET_NAME}\s{{0,4}}[=:]\s{{0,4}}[\"']?")
+_VALUE = r"[^\s\"'`,;<>(){}\[\]]"
+_END = r"(?<=[A-Za-z0-9_=/+\-$#@!%&*~])(?![\w(])"
+# In quotes or directly after an equals sign any value; else one that prose would not have there.
+_ASSIGNED = re.compile(
+    rf"{_SECRET_NAME}(?:\s{{0,4}}[=:]\s{{0,4}}[\"']{_VALUE}{{6,}}(?=[\"'])|=(?!=){_VALUE}{{6,}}{_END}"
+    rf"|\s{{0,4}}[=:]\s{{0,4}}(?=[^\s0-9]{{0,64}}[0-9]|[^\s]{{0,64}}[a-z][A-Z]){_VALUE}{{6,}}{_END})"
+)
 
 
 _NAME = rf"A-Za-z0-9._%+\-{_LETTERS}"
@@ -237,13 +310,11 @@ _HOST = rf"(?:[A-Za-z0-9{_LETTERS}-]{{1,63}}\.){{1,8}}[A-Za-z]{{2,24}}(?![A-Za-z
 KINDS: list[tuple[str, str, re.Pattern, Callable]] = [
     # a name in a script without spaces only where it stands directly before the @
     ("mail", "@", re.compile(rf"(?:(?<![{_NAME}])[{_NAME}]{{1,64}}|(?<![\w.%+-])[\w.%+-]{{0,63}}(?![{_NAME}])\w)@{_HOST}"), mail),
-    ("secret", "", re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"), secret),
-    (
-        "assigned",
-        "",
-        re.compile(r"(?i:(?<![a-z])(?:token|secret|password|passwd|api_?key|access_?key)\s{0,4}[=:]\s{0,4})[\"']?(?=[A-Za-z_\-]*[0-9])[A-Za-z0-9_\-]{12,}"),
-        assigned,
-    ),
+    ("assigned", "", _ASSIGNED, assigned),
+    ("bearer", "", re.compile(r"(?<![A-Za-z])[Bb]earer\s{1,4}(?=[A-Za-z._~+/\-]*[0-9])[A-Za-z0-9._~+/\-]{15,}[A-Za-z0-9_~+/\-]={0,2}"), bearer),
+    ("key", "", re.compile(rf"(?<![A-Za-z0-9_]){_KEY.pattern}(?![A-Za-z0-9_])"), key_token),
+    ("secret", "", re.compile(rf"(?<![A-Za-z0-9]){_SECRET.pattern}(?![A-Za-z0-9])"), secret),
+    ("network6", ":", re.compile(r"(?<![A-Za-z0-9:.])(?:[0-9A-Fa-f]{1,4}:|:(?=:)|(?<=:):){2,7}(?:[0-9A-Fa-f]{1,4}|(?<=:):?)(?![A-Za-z0-9:]|\.[0-9])"), network6),
     ("network", ".", re.compile(r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![A-Za-z0-9]|\.[0-9])"), network),
     (
         "date",
@@ -254,19 +325,22 @@ KINDS: list[tuple[str, str, re.Pattern, Callable]] = [
         date,
     ),
     ("iban", "", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"), iban),
+    # in the usual groups first, so that digits before a card are not read as its beginning
+    ("card", "", re.compile(r"(?<![A-Za-z0-9.+])(?:(?:[3-6][0-9]|2[2-7])[0-9]{2}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}|3[47][0-9]{2}([ -]?)[0-9]{6}\2[0-9]{5})(?![A-Za-z0-9])"), card),
     ("card", "", re.compile(r"(?<![A-Za-z0-9.+-])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9-])"), card),
     ("social", "", re.compile(r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"), social),
     (
         "phone",
         "",
         re.compile(
-            r"(?<![A-Za-z0-9+(])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-][0-9]{2,4}(?:[ .-][0-9]{2,4}){0,2}(?![A-Za-z0-9-])"
+            r"(?<![A-Za-z0-9])\+[0-9]{1,3}(?:[ .()/-]{1,2}[0-9]{1,6}){1,7}(?![A-Za-z0-9-])"
+            r"|(?<![A-Za-z0-9+(])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-][0-9]{2,4}(?:[ .-][0-9]{2,4}){0,2}(?![A-Za-z0-9-])"
             r"|(?<![A-Za-z0-9])\+[0-9]{8,15}(?![A-Za-z0-9])"
         ),
         phone,
     ),
 ]
-_TELLING = re.compile("[0-9@]")
+_TELLING = re.compile("[0-9@=:]")
 
 
 _GROUP = re.compile(r"[^ ./-]+")
@@ -303,8 +377,8 @@ def replaced(text: str, feistel: Feistel, back: bool = False, kinds: list | None
     """The text with pseudonyms, and kind, start and end of each in the new text.
 
     Where a match fails its check or overlaps a taken span, shorter ones and later starts within
-    it are tried, at separators. A pseudonym that would make a failed candidate valid is
-    permuted again, so that the new text is read the same way.
+    it are tried, at separators. ``back`` undoes the pseudonyms it finds by reading; ``restored``
+    undoes those of known spans.
     """
     if not _TELLING.search(text):
         return text, []
@@ -313,7 +387,6 @@ def replaced(text: str, feistel: Feistel, back: bool = False, kinds: list | None
     for kind, needed, pattern, change in kinds or KINDS:
         if needed and needed not in text:
             continue
-        failed: list[tuple[int, int]] = []
         search, took = candidates(text, pattern), None
         while True:
             try:
@@ -327,11 +400,7 @@ def replaced(text: str, feistel: Feistel, back: bool = False, kinds: list | None
                     continue
                 new = change(feistel, value, back)
                 if new is None:
-                    failed.append((start, end))
                     continue
-                near = [(a, b) for a, b in failed[-800:] if b > start]
-                while near and any(change(feistel, (text[a:start] + new[max(0, a - start) :] + text[end:b])[: b - a], back) is not None for a, b in near):
-                    new = change(feistel, new, back)
                 taken[start:end] = bytes([1]) * (end - start)
                 found.append((start, end, kind, new))
                 took = end
@@ -346,22 +415,45 @@ def replaced(text: str, feistel: Feistel, back: bool = False, kinds: list | None
     return "".join([*parts, text[at:]]), spans
 
 
+def restored(text: str, spans: list, feistel: Feistel) -> str:
+    """The text before ``replaced`` gave it pseudonyms at ``spans`` (kind, start, end)."""
+    changes = {kind: change for kind, _, _, change in KINDS}
+    parts, at = [], 0
+    for kind, start, end in sorted(spans, key=lambda s: s[1]):
+        parts += [text[at:start], changes[kind](feistel, text[start:end], True)]
+        at = end
+    return "".join([*parts, text[at:]])
+
+
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 
 
 def pseudonymised(docs: DataFrame, key: bytes, text: str = "text", back: bool = False) -> DataFrame:
-    """``docs`` with pseudonyms in ``text``, and ``spans`` (kind, start, end) of them; ``back`` undoes it."""
-    kept = docs.drop("spans")
+    """``docs`` with pseudonyms in ``text``, and ``spans`` (kind, start, end) of them.
+
+    ``back`` undoes it: by ``spans`` where the table has them, else by reading.
+    """
+    known = back and "spans" in docs.columns
+    kept = docs if known else docs.drop("spans")
     place = kept.columns.index(text)
 
     def changed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         feistel = Feistel(key)
         for batch in batches:
+            if known:
+                each = [[(s["kind"], s["start"], s["end"]) for s in x or []] for x in column(batch, "spans")]
+                texts = [None if t is None else restored(t, x, feistel) for t, x in zip(column(batch, text), each)]
+                columns = list(batch.columns)
+                columns[place] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+                continue
             new = [(None, []) if t is None else replaced(t, feistel, back) for t in column(batch, text)]
             spans = [[dict(zip(("kind", "start", "end"), s)) for s in found] for _, found in new]
             columns = list(batch.columns)
             columns[place] = pa.array([t for t, _ in new], pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, pa.list_(_SPAN))], names=[*batch.schema.names, "spans"])
 
+    if known:
+        return kept.mapInArrow(changed, kept.schema).drop("spans")
     fields = T.StructType.fromDDL("spans array<struct<kind: string, start: int, end: int>>").fields
     return kept.mapInArrow(changed, T.StructType([*kept.schema.fields, *fields]))
