@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from logwarden.llm import bytebpe, langid, lmscore, mixing, neardup, pseudonyms, quality, sharding, syncmers, tokenfiles
+from logwarden.llm import bytebpe, infill, langid, lmscore, mixing, neardup, pseudonyms, quality, sharding, syncmers, tokenfiles
 from logwarden.llm.common import n_words, remainder
 from logwarden.llm.oracles import ORACLES
 from logwarden.session import shared_folder
@@ -93,6 +93,12 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score(documents(spark, sf_dir), remainder(F.col("doc_id"), 5) == 1)
 
 
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.restore(infill.transform(documents(spark, sf_dir).select("doc_id", "text")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -106,6 +112,7 @@ QUERIES: dict[str, Query] = {
         op8_sharding,
         op9_pseudonyms,
         op10_lm_scores,
+        op12_infill,
     )
 } | {"pipeline": corpus_pipeline.run}
 
