@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from logwarden.llm import bytebpe, infill, langid, lmscore, mixing, neardup, pseudonyms, quality, sharding, syncmers, tokenfiles
+from logwarden.llm import bytebpe, infill, langid, lmscore, mixing, neardup, pseudonyms, quality, sharding, syncmers, tokenfiles, whiten
 from logwarden.llm.common import n_words, remainder
 from logwarden.llm.oracles import ORACLES
 from logwarden.session import shared_folder
@@ -93,6 +93,21 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score(documents(spark, sf_dir), remainder(F.col("doc_id"), 5) == 1)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = whiten.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+    shares = [v / model.trace for v in model.values.tolist()] if model else []
+    each = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n if model else 0).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(F.array(*[F.lit(s) for s in shares]).cast("array<double>"), F.col("place")).alias("explained"),
+        F.lit(model.identity_error if model else 0.0).alias("identity_error"),
+    )
+
+
 def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = infill.restore(infill.transform(documents(spark, sf_dir).select("doc_id", "text")))
     digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
@@ -112,6 +127,7 @@ QUERIES: dict[str, Query] = {
         op8_sharding,
         op9_pseudonyms,
         op10_lm_scores,
+        op11_whitening,
         op12_infill,
     )
 } | {"pipeline": corpus_pipeline.run}
