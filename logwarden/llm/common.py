@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -91,9 +94,10 @@ class Recent(dict):
 
 
 class SpanHashes:
-    """64-bit hashes of any spans of a byte buffer, from one prefix sum.
+    """64-bit hashes of short spans of a byte buffer, from one prefix sum.
 
-    The hash of a span depends on its bytes alone, not on its place.
+    The hash of a span depends on its bytes alone, not on its place. It is a polynomial modulo
+    2**64, for which long regular spans collide whatever the base; see ``word_hashes``.
     """
 
     def __init__(self, buffer: np.ndarray):
@@ -110,6 +114,32 @@ class SpanHashes:
         return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+_SHORT = 32  # bytes of a word up to which the polynomial serves
+
+
+def word_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words; long ones, which are rare, by a cryptographic hash."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    hashes = SpanHashes(buffer).of(starts, ends)
+    for i in np.flatnonzero(ends - starts > _SHORT).tolist():
+        digest = hashlib.blake2b(buffer[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return hashes
+
+
+def window_hashes(words: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of the windows of ``sizes`` words that begin at ``first``; the bits are mixed after each word."""
+    hashes = sizes.astype(np.uint64)
+    for i in range(int(sizes.max(initial=0))):
+        live = sizes > i
+        if live.all():
+            hashes = mix(hashes * np.uint64(0x9E3779B97F4A7C15) + words[first + i])
+        else:
+            hashes[live] = mix(hashes[live] * np.uint64(0x9E3779B97F4A7C15) + words[first[live] + i])
+    return hashes
+
+
 def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Buffer of all words, starts and ends of words, and the number of words of each text.
 
@@ -124,6 +154,54 @@ def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return buffer, np.append(0, blanks + 1), np.append(blanks, len(buffer)), counts
 
 
+class Words(NamedTuple):
+    """Words of consecutive texts: number of the first text, hashes of all words, words per text, class per text.
+
+    The class is a 128-bit hash of the word sequence, empty for a text without words.
+    """
+
+    first: int
+    hashes: np.ndarray
+    counts: np.ndarray
+    classes: list[bytes]
+
+
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_BLANK = re.compile(rb"[\t-\r ]")
+
+
+def runs(text: bytes, limit: int) -> Iterator[bytes]:
+    """The text in runs of about ``limit`` bytes, cut at blanks."""
+    at = 0
+    while at < len(text):
+        blank = _BLANK.search(text, at + limit)
+        end = blank.start() if blank else len(text)
+        yield text[at:end]
+        at = end + 1
+
+
+def lower_words(texts: list[str | None], limit: int = 1 << 20) -> Iterator[Words]:
+    """Words of all texts, A-Z lower-cased. A longer text than ``limit`` comes alone and is read in runs."""
+    for first, part in chunks(texts, limit):
+        if len(part) == 1 and len(part[0]) > limit:
+            digest, hashes = hashlib.blake2b(digest_size=16), []
+            for run in runs(part[0].encode("utf-8", "replace").translate(_LOWER), limit):
+                buffer, starts, ends, counts = word_spans([run])
+                if counts[0]:
+                    digest.update((b" " if hashes else b"") + buffer.tobytes())
+                    hashes.append(word_hashes(buffer, starts, ends))
+            words = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+            yield Words(first, words, np.array([len(words)]), [digest.digest() if hashes else b""])
+            continue
+        buffer, starts, ends, counts = word_spans([t.encode("utf-8", "replace").translate(_LOWER) for t in part])
+        last = np.cumsum(counts)
+        view = buffer.tobytes()
+        classes = [
+            hashlib.blake2b(view[starts[b] : ends[e - 1]], digest_size=16).digest() if e > b else b"" for b, e in zip((last - counts).tolist(), last.tolist())
+        ]
+        yield Words(first, word_hashes(buffer, starts, ends), counts, classes)
+
+
 def chunks(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts of about ``limit`` characters at most (or one longer text), null as empty."""
     first, part, size = 0, [], 0

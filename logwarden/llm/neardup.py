@@ -13,7 +13,6 @@ reported. Other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,11 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logwarden.llm.common import SpanHashes, chunks, column, mix, word_spans
+from logwarden.llm.common import column, lower_words, mix, window_hashes
 from logwarden.session import stored
 
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-
 
 @dataclass(frozen=True)
 class Params:
@@ -42,25 +39,18 @@ class Params:
 def shingle_sets(texts: list[str | None], words: int) -> Iterator[tuple[int, list[np.ndarray], list[bytes]]]:
     """For runs of texts: number of the first, sorted distinct shingle hashes and class of each.
 
-    Texts without words have an empty set and an empty class.
+    Texts without words have an empty set and an empty class. A very long text needs some
+    tens of bytes of memory per word.
     """
-    for first, part in chunks(texts):
-        raw = [t.encode("utf-8", "replace").translate(_LOWER) for t in part]
-        buffer, starts, ends, counts = word_spans(raw)
-        spans = SpanHashes(buffer)
-        last = np.cumsum(counts)
-        begin = last - counts
-        n = np.where(counts > 0, np.maximum(counts - words + 1, 1), 0)
+    for found in lower_words(texts):
+        last = np.cumsum(found.counts)
+        begin = last - found.counts
+        n = np.where(found.counts > 0, np.maximum(found.counts - words + 1, 1), 0)
         offsets = np.cumsum(n) - n
         where = np.repeat(begin - offsets, n) + np.arange(n.sum())
-        until = np.minimum(where + words - 1, np.repeat(last - 1, n))
-        hashes = spans.of(starts[where], ends[until])
-        sets = [np.unique(hashes[o : o + k]) for o, k in zip(offsets, n)]
-        view = buffer.tobytes()
-        classes = [
-            hashlib.blake2b(view[starts[b] : ends[e - 1]], digest_size=16).digest() if e > b else b"" for b, e in zip(begin, last)
-        ]
-        yield first, sets, classes
+        sizes = np.repeat(np.minimum(found.counts, words), n)
+        hashes = window_hashes(found.hashes, where, sizes)
+        yield found.first, [np.unique(hashes[o : o + k]) for o, k in zip(offsets.tolist(), n.tolist())], found.classes
 
 
 def superminhash(elements: np.ndarray, owner: np.ndarray, n: int, registers: int) -> np.ndarray:

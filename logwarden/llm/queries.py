@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from logwarden.llm import bytebpe, infill, langid, lmscore, mixing, neardup, pseudonyms, quality, sharding, syncmers, tokenfiles, whiten
+from logwarden.llm import bytebpe, infill, langid, lmscore, mixing, neardup, overlap, pseudonyms, quality, sharding, syncmers, tokenfiles, whiten
 from logwarden.llm.common import n_words, remainder
 from logwarden.llm.oracles import ORACLES
 from logwarden.session import shared_folder
@@ -114,6 +114,10 @@ def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+def op13_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.joined(documents(spark, sf_dir)).drop("class")
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -129,6 +133,7 @@ QUERIES: dict[str, Query] = {
         op10_lm_scores,
         op11_whitening,
         op12_infill,
+        op13_overlap,
     )
 } | {"pipeline": corpus_pipeline.run}
 
