@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from checks import registry  # noqa: E402
 from checks import views as v  # noqa: E402
 from logwarden.operators import threat  # noqa: E402
-from logwarden.operators.attempts import attempts, scan_lines  # noqa: E402
+from logwarden.operators.attempts import scan_once  # noqa: E402
 from logwarden.operators.auth_events import auth_events  # noqa: E402
 from logwarden.operators.formats import AsOf  # noqa: E402
 from logwarden.session import local_session, shared_folder  # noqa: E402
@@ -58,7 +58,7 @@ def text_rates(spark: SparkSession, sf_dir: str, replicas: int, runs: int) -> di
         return auth_events(read_lines(spark, folder), 2024)
 
     def found() -> DataFrame:
-        return attempts(scan_lines(read_lines(spark, folder, "drop"), AsOf(2024, 6)))
+        return scan_once(read_lines(spark, folder, "drop"), AsOf(2024, 6)).attempts
 
     def summary() -> DataFrame:
         return threat.ip_summary(found())

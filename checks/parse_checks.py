@@ -87,8 +87,8 @@ timed as (
   select *, epoch_us(ts) - case when tz is null then 0 else tz::bigint * 60000000 end as ts_us
   from (select file, pos, format, coalesce({matched} end, false) as matched, {info} end as info,
       case when format in (0, 1) and regexp_matches({token}, {_q(_ISO_FULL)}) then try_cast(left({token}, 10) || ' ' || regexp_extract({token}, 'T([0-9:.]+)', 1) as timestamp)
-           when format in (2, 3) and left(line, 3) in ('Jan', 'Dec')
-           then try_strptime(concat(case left(line, 3) when 'Dec' then '2023 ' else '2024 ' end, left(line, 15)), '%Y %b %d %H:%M:%S') end as ts,
+           when format in (2, 3)
+           then try_strptime(concat(case when position(left(line, 3) in 'JulAugSepOctNovDec') > 0 then '2023 ' else '2024 ' end, left(line, 15)), '%Y %b %d %H:%M:%S') end as ts,
       case when format in (0, 1) and regexp_matches({token}, '[+-]\\d{{2}}:\\d{{2}}$')
            then (cast({offset(2)} as int) * 60 + cast({offset(3)} as int)) * case {offset(1)} when '-' then -1 else 1 end end as tz
     from looked) m),
@@ -114,8 +114,8 @@ select file, pos, ip, case when u = '' then '<unknown>' else u end as username,
 from found where rule is not null and valid"""
 
 
-def _flat_attempts(scanned: DataFrame) -> DataFrame:
-    return a.attempts(scanned).select("file", "pos", "ip", "username", "ts_us", "tz_offset_min", "success", "event")
+def _flat(attempts: DataFrame) -> DataFrame:
+    return attempts.select("file", "pos", "ip", "username", "ts_us", "tz_offset_min", "success", "event")
 
 
 def match_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,24 +129,24 @@ def detect_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat_attempts(a.scan_lines(v.mixed_lines(spark, sf_dir), AS_OF))
+    return _flat(a.scan_once(v.mixed_lines(spark, sf_dir), AS_OF).attempts)
 
 
 def line_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat_attempts(a.scan_lines(v.mixed_lines(spark, sf_dir), AS_OF, sticky=False))
+    return _flat(a.attempts(a.scan_lines(v.mixed_lines(spark, sf_dir), AS_OF, sticky=False)))
 
 
 def forced_format_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat_attempts(a.scan_lines(v.mixed_lines(spark, sf_dir), AS_OF, format="generic SYSLOG"))
+    return _flat(a.scan_once(v.mixed_lines(spark, sf_dir), AS_OF, format="generic SYSLOG").attempts)
 
 
 def extended_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = v.mixed_lines(spark, sf_dir)
-    return _flat_attempts(a.scan_lines(lines, AS_OF, rules=(*RULES, EXTRA_RULE)))
+    return _flat(a.scan_once(lines, AS_OF, rules=(*RULES, EXTRA_RULE)).attempts)
 
 
 def parse_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = a.with_format_name(a.parse_stats(a.scan_lines(v.mixed_lines(spark, sf_dir), AS_OF)))
+    stats = a.with_format_name(a.scan_once(v.mixed_lines(spark, sf_dir), AS_OF).stats)
     return stats.select(
         "file", "lines_read", "format_matches", "extract_matches", "failed_timestamps", "format", "first_us", "last_us"
     )

@@ -1,7 +1,7 @@
 """Authentication events, log lines and reputations derived from the ``events`` table.
 
 The driver tables hold no authentication logs. The derivation is the same SQL text in
-Spark and DuckDB, apart from the base that turns ``ts`` into microseconds.
+Spark and DuckDB, apart from the base that turns ``ts`` into microseconds and a calendar day.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from logwarden.functions import timestamps as t
 from logwarden.operators.compute_once import with_struct
 
-DUCK_BASE = "select event_id, event_type, user_id, epoch_us(ts) as us from events"
+DUCK_BASE = "select event_id, event_type, user_id, epoch_us(ts) as us, year(ts) as yr, month(ts) as mon, day(ts) as dom from events"
 
 _AUTH = """
 select event_id as pos,
@@ -26,7 +26,7 @@ select event_id as pos,
        else concat('u', cast(hr % 12 as string)) end as usr,
   case event_id % 4 when 0 then '/bin/bash' when 1 then '/usr/bin/apt update'
        when 2 then '/usr/bin/passwd root' else 'su to root' end as command,
-  hr * 3600 + cast((sec_of_hr - sec_of_hr % 12) / 12 as bigint) as ts_s
+  hr * 3600 + cast((sec_of_hr - sec_of_hr % 12) / 12 as bigint) as ts_s, yr, mon, dom
 from ({hours}) c
 """
 
@@ -38,16 +38,18 @@ from ({base}) b
 
 _CLOCK = """
 select *,
-  lpad(cast(cast((ts_s - ts_s % 86400) / 86400 as bigint) - 19722 as string), 2, '0') as dd,
+  lpad(cast(dom as string), 2, '0') as dd,
+  concat(cast(yr as string), '-', lpad(cast(mon as string), 2, '0'), '-', lpad(cast(dom as string), 2, '0')) as ymd,
+  substr('JanFebMarAprMayJunJulAugSepOctNovDec', cast(mon * 3 - 2 as int), 3) as mname,
   concat(lpad(cast(cast((ts_s % 86400 - ts_s % 3600) / 3600 as bigint) as string), 2, '0'), ':',
          lpad(cast(cast((ts_s % 3600 - ts_s % 60) / 60 as bigint) as string), 2, '0'), ':',
          lpad(cast(ts_s % 60 as string), 2, '0')) as hms
 from {auth} a
 """
 
-# plain syslog lines; all events fall in January 2024
+# plain syslog lines
 _LINES = """
-select pos, concat('Jan ', dd, ' ', hms, ' host1 ',
+select pos, concat(mname, ' ', dd, ' ', hms, ' host1 ',
   case when kind = 'failed' and pos % 7 = 0 then concat('sshd[', cast(pos as string), ']: Failed password for invalid user ', usr, ' from ', ip, ' port 22 ssh2')
        when kind = 'failed' then concat('sshd[', cast(pos as string), ']: Failed password for ', usr, ' from ', ip, ' port 22 ssh2')
        when kind = 'success' and pos % 2 = 0 then concat('sshd[', cast(pos as string), ']: Accepted publickey for ', usr, ' from ', ip, ' port 22 ssh2')
@@ -58,15 +60,9 @@ from ({clock}) d
 """
 
 # Every message and layout the parsers know, and lines they have to reject, spread over
-# ten files that start with different layouts.
-_MIXED = """
-select concat('f', cast(file_no as string)) as file, pos,
-  case when file_no % 5 = 0 then concat('2024-01-', dd, 'T', hms, case pos % 3 when 0 then '.25+02:00' when 1 then '-05:30' else '' end, ' host1 ', proc, pid, ': ', info)
-       when file_no % 5 = 1 then concat('2024-01-', dd, 'T', hms, '.125000+01:00 host1 ', proc, ': ', info)
-       when pos % 53 = 0 then concat('Jan 32 ', hms, ' host1 ', proc, pid, ': ', info)
-       when pos % 59 = 0 then concat('2024-01-', dd, 'T', hms, 'Z host1 ', proc, pid, ': ', info)
-       else concat(case when pos % 4 = 0 then 'Dec ' else 'Jan ' end, dd, ' ', hms, ' host1 ', proc, pid, ': ', info) end as line
-from (select *, concat('[', cast(pos as string), ']') as pid,
+# ten files that start with different layouts: first messages, then lines.
+_MESSAGES = """
+select pos, file_no, dd, ymd, mname, hms, concat('[', cast(pos as string), ']') as pid,
   case when file_no = 3 and pos < 40 then 'cron'
        when pos % 17 = 0 then 'cron' when pos % 19 = 0 then 'systemd-logind' else 'sshd' end as proc,
   case pos % 24
@@ -94,10 +90,20 @@ from (select *, concat('[', cast(pos as string), ']') as pid,
     when 21 then concat('session opened for user ', usr)
     when 22 then concat('pam_unix(sshd:auth): authentication failure; logname= ruser=', usr, ' rhost=', addr)
     else concat('Failed password for ', usr, ' from ', addr, ' port 22 ssh2') end as info
-  from (select *, pos % 10 as file_no,
+from (select *, pos % 10 as file_no,
     case when pos % 29 = 0 then '' when pos % 31 = 0 then '01.2.3.4'
          else ip end as addr
-    from ({clock}) d) e) g
+    from ({clock}) d) e
+"""
+
+_MIXED = """
+select concat('f', cast(file_no as string)) as file, pos,
+  case when file_no % 5 = 0 then concat(ymd, 'T', hms, case pos % 3 when 0 then '.25+02:00' when 1 then '-05:30' else '' end, ' host1 ', proc, pid, ': ', info)
+       when file_no % 5 = 1 then concat(ymd, 'T', hms, '.125000+01:00 host1 ', proc, ': ', info)
+       when pos % 53 = 0 then concat(mname, ' 32 ', hms, ' host1 ', proc, pid, ': ', info)
+       when pos % 59 = 0 then concat(ymd, 'T', hms, 'Z host1 ', proc, pid, ': ', info)
+       else concat(case when pos % 4 = 0 then 'Dec' else mname end, ' ', dd, ' ', hms, ' host1 ', proc, pid, ': ', info) end as line
+from {messages} g
 """
 
 # reputation dimensions of the public addresses; the last octet decides the values
@@ -116,7 +122,7 @@ def duck_views(*names: str) -> str:
     clock = _CLOCK.format(auth="auth")
     available = {
         "lines": _LINES.format(clock=clock),
-        "mixed": _MIXED.format(clock=clock),
+        "mixed": _MIXED.format(messages=f"({_MESSAGES.format(clock=clock)})"),
         "rep": _REPUTATION.format(auth="auth"),
     }
     parts = [f"auth as ({_duck_auth()})"] + [f"{n} as ({available[n]})" for n in names]
@@ -130,11 +136,13 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def auth_from(events: DataFrame) -> DataFrame:
     """The ``auth`` view over an ``events`` DataFrame, batch or streaming."""
     spark = events.sparkSession
-    base = events.select("event_id", "event_type", "user_id", t.micros_of(F.col("ts")).alias("us"))
+    day = (F.year("ts").alias("yr"), F.month("ts").alias("mon"), F.day("ts").alias("dom"))
+    base = events.select("event_id", "event_type", "user_id", t.micros_of(F.col("ts")).alias("us"), *day)
     timed = spark.sql(_HOURS.format(base="select * from {base}"), base=base)
     # the hour is used many times below: do not let filters repeat its derivation
-    bound = with_struct(timed.select("event_id", "event_type", "user_id", "hr", "sec_of_hr"), "h", F.struct("hr", "sec_of_hr"))
-    plain = bound.select("event_id", "event_type", "user_id", "h.hr", "h.sec_of_hr")
+    kept = ["event_id", "event_type", "user_id", "yr", "mon", "dom"]
+    bound = with_struct(timed.select(*kept, "hr", "sec_of_hr"), "h", F.struct("hr", "sec_of_hr"))
+    plain = bound.select(*kept, "h.hr", "h.sec_of_hr")
     return spark.sql(_AUTH.format(hours="select * from {plain}"), plain=plain)
 
 
@@ -187,7 +195,10 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _over_clock(spark, sf_dir, _MIXED)
+    messages = _over_clock(spark, sf_dir, _MESSAGES)
+    # a step of its own: in one with the lines, the generated method is too large for the JIT
+    bound = with_struct(messages.select("*"), "m", F.struct("proc", "info")).drop("proc", "info").select("*", "m.*").drop("m")
+    return spark.sql(_MIXED.format(messages="{messages}"), messages=bound)
 
 
 def reputation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

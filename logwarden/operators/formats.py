@@ -60,7 +60,16 @@ class LogFormat:
         return F.contains(line, F.lit(self.literal)) & found if self.literal else found
 
     def info(self, line: Column) -> Column:
-        return F.regexp_extract(line, JAVA_FLAGS + self.pattern, self.info_group)
+        """The message of a line, null where the layout does not match. A line has no line break."""
+        whole = self.pattern if self.pattern[0] == "^" and self.pattern[-1] == "$" else f"^.*?(?:{self.pattern}).*$"
+        found = F.regexp_replace(line, JAVA_FLAGS + whole, f"\n${self.info_group}")
+        if self.literal:
+            found = F.when(F.contains(line, F.lit(self.literal)), found)
+        return found
+
+    def reader(self) -> tuple:
+        """Layouts with the same reader make the same of equal messages."""
+        return self.fields, self.clock, self.offset, self.first_look
 
 
 def _until_blank(line: Column) -> Column:

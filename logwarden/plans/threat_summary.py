@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from logwarden.operators import threat
-from logwarden.operators.attempts import attempts, parse_stats, scan_lines, with_format_name
+from logwarden.operators.attempts import scan_once, with_format_name
 from logwarden.operators.formats import AsOf
 from logwarden.params import DEFAULTS, Params
 from logwarden.session import stored
@@ -24,7 +24,7 @@ def today() -> AsOf:
 
 @dataclass(frozen=True)
 class ThreatSummary:
-    """Results as DataFrames over one stored table of scanned lines."""
+    """Results as DataFrames over stored attempts and counters; the text is read once."""
 
     stats: DataFrame
     attempts: DataFrame
@@ -49,9 +49,8 @@ def summarize(
 ) -> ThreatSummary:
     """Parse, aggregate, classify; write the summary file and the blocklist where asked."""
     lines = read_lines(spark, log_path, undecodable="drop")
-    scanned = stored(scan_lines(lines, as_of or today(), format))
-    stats = with_format_name(parse_stats(scanned, list_files(spark, log_path)))
-    found = attempts(scanned)
+    scan = scan_once(lines, as_of or today(), format, files=list_files(spark, log_path))
+    stats, found = with_format_name(scan.stats), scan.attempts
     whitelist = read_whitelist(spark, whitelist_path)
     # one row per address: small against the lines, read by all outputs
     summary = stored(threat.ip_summary(found, params))

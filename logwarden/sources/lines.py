@@ -35,12 +35,20 @@ def read_lines(spark: SparkSession, path: str | list[str], undecodable: str = "r
     )
 
 
-def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All files under ``path``, empty ones included (scans leave those out)."""
-    listed = spark.read.text(path).inputFiles()
+def list_files(spark: SparkSession, path: str | list[str], empty: bool = True) -> DataFrame:
+    """All files under ``path``.
+
+    Names of files with content come from the tasks of a scan that opens none of them. Every
+    scan leaves out empty files; their names are known to Spark's file index in the driver
+    alone. With ``empty`` they are taken from there, which passes the index through the
+    driver's Python; leave it out where there are millions of files.
+    """
+    filled = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"))
+    if not empty:
+        return filled
     # local files are listed as file:///x but called file:/x by the scan's metadata
-    names = [re.sub("^file:///", "file:/", name) for name in listed]
-    return spark.createDataFrame([(name,) for name in sorted(names)], "file string")
+    names = [(re.sub("^file:///", "file:/", name),) for name in spark.read.text(path).inputFiles()]
+    return filled.union(spark.createDataFrame(names, "file string").join(filled, "file", "left_anti"))
 
 
 def start_time(spark: SparkSession, marker: str) -> int:
