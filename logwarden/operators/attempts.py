@@ -11,7 +11,7 @@ single time all the same: it keeps what each line means in every layout that mat
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -165,10 +165,11 @@ _ATTEMPT, _COUNTER = "attempt", "counter"
 
 @dataclass(frozen=True)
 class Scan:
-    """What one pass over the text left: attempts, and parse statistics per file (see ``parse_stats``)."""
+    """What one pass over the text left: attempts, parse statistics per file (see ``parse_stats``), layouts."""
 
     attempts: DataFrame
     stats: DataFrame
+    layouts: DataFrame
 
 
 def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,12 +232,15 @@ def scan_once(
     formats: tuple[LogFormat, ...] = FORMATS,
     rules: tuple[Rule, ...] = RULES,
     files: DataFrame | None = None,
+    known: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Scan:
     """Attempts and statistics of ``file, pos, line`` from a single pass over the lines.
 
     What is stored grows with the attempts; lines without one leave counters per file and
     batch. Which layout a file has is then read from the counters, and the attempts of that
     layout are kept. ``files`` (see ``list_files``) adds files without lines, with zeros.
+    ``known`` gives layouts found earlier (``file, layout``) for the files of a table; these
+    hold whatever the lines say.
     """
     if format is not None:
         number = format_index(format, formats)
@@ -250,15 +254,18 @@ def scan_once(
     # with a forced layout, files that it does not fit have it as well
     layout = F.coalesce(first["format"], F.lit(0)) if format is not None else first["format"]
     layouts = stored(counters.groupBy("file").agg(layout.alias("layout"), F.sum("extracts").alias("n")))
+    if known is not None and format is None:
+        before = known(layouts).select("file", F.col("layout").alias("before"))
+        layouts = stored(layouts.join(before, "file", "left").select("file", F.coalesce("before", "layout").alias("layout"), "n"))
     has_layout = F.call_function("shiftright", F.col("mask"), F.col("layout")).bitwiseAND(1) == 1
     found = table.filter(F.col("kind") == _ATTEMPT).select("file", "pos", "mask", *COLUMNS)
     joined = join_facts(found, layouts.select("file", "layout"), ["file"], "pos", counts=layouts.select("file", "n"))
     attempts = joined.filter(has_layout).select("file", "pos", *COLUMNS)
 
-    known = counters.join(layouts.select("file", "layout"), "file")
+    placed = counters.join(layouts.select("file", "layout"), "file")
     of_layout = lambda c: F.when(has_layout, F.col(c))
     total = lambda c: F.coalesce(F.sum(of_layout(c)), F.lit(0).cast("bigint"))
-    stats = known.groupBy("file").agg(
+    stats = placed.groupBy("file").agg(
         F.sum("lines").alias("lines_read"),
         total("matches").alias("format_matches"),
         total("extracts").alias("extract_matches"),
@@ -271,7 +278,7 @@ def scan_once(
     )
     if files is not None:
         stats = files.select("file").join(stats, "file", "left").fillna(0, STATS_COUNTERS)
-    return Scan(attempts, stats)
+    return Scan(attempts, stats, layouts.select("file", (F.col("layout") + offset).alias("layout")))
 
 
 def attempts(scanned: DataFrame) -> DataFrame:

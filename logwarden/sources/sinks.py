@@ -11,6 +11,7 @@ from logwarden.functions import timestamps as t
 from logwarden.operators import report as r
 from logwarden.operators import rollups
 from logwarden.operators.threat import csv_rows, not_yet_written
+from logwarden.session import stored
 from logwarden.sources.alerts import TIMELINE_JSON
 from logwarden.sources.ip_lists import read_blocklist
 
@@ -27,9 +28,10 @@ def write_summary_csv(summary: DataFrame, path: str) -> bool:
 def append_blocklist(candidates: DataFrame, path: str) -> None:
     """Append the addresses that are not in the list yet; written addresses stay for good.
 
-    Running it again with the same candidates adds nothing, so a retried batch is harmless.
+    Running it again with the same candidates adds nothing. The list is read once, for the one
+    comparison of a batch job; the live summary remembers listed addresses as state instead.
     """
-    fresh = not_yet_written(candidates.select("ip").distinct(), read_blocklist(candidates.sparkSession, path))
+    fresh = stored(not_yet_written(candidates.select("ip").distinct(), read_blocklist(candidates.sparkSession, path)))
     if not fresh.isEmpty():
         fresh.write.mode("append").text(path)
 
