@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from logwarden.operators import enrich as e
 from logwarden.operators import report as r
 from logwarden.operators import rollups
 from logwarden.params import Params
+from logwarden.plans.detections import detect
 from logwarden.session import durable, shared_folder
 from logwarden.sources import reputation
 from logwarden.sources.alerts import read_alerts
@@ -22,7 +24,11 @@ from logwarden.sources.sinks import write_alerts
 PARAMS = Params(known_users=tuple(f"u{i}" for i in range(12)))
 
 _KNOWN = ", ".join(f"'u{i}'" for i in range(12))
-_SENSITIVE = "(" + " or ".join(f"starts_with(command, '{c}')" for c in PARAMS.sensitive_commands) + ")"
+# Commands that are sensitive, said apart from the library's own list.
+SENSITIVE = (
+    "/bin/bash", "/bin/sh", "/bin/su", "/usr/bin/passwd", "/usr/sbin/useradd", "/usr/sbin/usermod", "/usr/bin/vi /etc/sudoers", "/bin/mount",
+)
+_SENSITIVE = "(" + " or ".join(f"starts_with(command, '{c}')" for c in SENSITIVE) + ")"
 
 
 def _clock(seconds: str) -> str:
@@ -309,6 +315,34 @@ def report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.orderBy(*r.ORDER)
 
 
+def extra_detector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A detector of the caller's beside the registered ones: logins from the local network."""
+
+    def local_logins(events: DataFrame, params) -> DataFrame:
+        found = d.off_hours_logins(events.filter(F.startswith("ip", F.lit("10."))), params)
+        return found.withColumns({"detector": F.lit(9), "type": F.lit("LOCAL_LOGIN")})
+
+    mixed = d.all_alerts(v.events(spark, sf_dir), PARAMS, {"burst": d.DETECTORS["burst"], "local": local_logins})
+    return mixed.groupBy("type", "severity").agg(F.count("*").alias("count"))
+
+
+# --- from log text ----------------------------------------------------------------------
+
+
+def log_folder(spark: SparkSession, sf_dir: str, files: int) -> str:
+    """The derived log lines as text files."""
+    path = f"{shared_folder(spark)}/log-{uuid.uuid4().hex}"
+    # one log in line order is one file, which one task has to write; readers split it
+    dealt = v.lines(spark, sf_dir).repartition(files, F.substring("line", 1, 9)).sortWithinPartitions("pos")
+    dealt.select("line").write.text(path)
+    return path
+
+
+def detect_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All detections from log text."""
+    return flat(detect(spark, log_folder(spark, sf_dir, 1), 2024, PARAMS)).drop("pos")
+
+
 def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts written as JSON lines and read back."""
     path = f"{shared_folder(spark)}/alerts-{spark.sparkContext.applicationId}-{abs(hash(sf_dir))}"
@@ -387,6 +421,71 @@ select s.severity, s.r as severity_rank, count(a.type) as count
 from (values ('CRITICAL', 0), ('HIGH', 1), ('MEDIUM', 2), ('LOW', 3)) s(severity, r)
 left join alerts a on a.severity = s.severity group by all"""
 
+_BAR = "=" * 78
+_ADVICE = """
+(values
+  (0, 'CRITICAL', '  [CRITICAL] Escalate immediately to L2 analyst.'),
+  (1, 'CRITICAL', '  [CRITICAL] Isolate affected systems if active breach is suspected.'),
+  (2, 'BRUTEFORCE_SUCCESS', '  [ACTION]   Rotate credentials for all users authenticated from flagged IPs.'),
+  (3, 'BRUTEFORCE_SUCCESS', '  [ACTION]   Block offending IPs at firewall/fail2ban.'),
+  (4, 'PRIVILEGE_ESCALATION', '  [ACTION]   Review sudo logs for unauthorized privilege use.'),
+  (5, 'PRIVILEGE_ESCALATION', '  [ACTION]   Verify sudoers configuration and restrict where possible.'),
+  (6, 'OFF_HOURS_LOGIN', '  [ACTION]   Confirm off-hours sessions with account owners.'),
+  (7, 'UNKNOWN_USER_LOGIN', '  [ACTION]   Audit /etc/passwd for unauthorized accounts.')) a(no, cause, line)"""
+# the expected text of a report: lists of lines with their place
+_REPORT = f"""
+numbered as (
+  select *, {_RANK} as sr, row_number() over (partition by severity order by ts_s, detector, pos) as number from enriched),
+totals as (
+  select count(*) as total, count(distinct ip) filter (ip <> 'localhost') as ips, min(sr) as worst,
+    count(*) filter (severity = 'CRITICAL') as c, count(*) filter (severity = 'HIGH') as h,
+    count(*) filter (severity = 'MEDIUM') as m, count(*) filter (severity = 'LOW') as l from numbered),
+lists as (
+  select 1 as section, 0 as grp, 0 as num, '' as key, ['{_BAR}', '                 ENTERPRISE SOC INCIDENT REPORT', '{_BAR}',
+    '  Incident ID     : INC-20260526-120500', '  Generated At    : 2026-05-26 12:05:00', '  Log Source      : auth.log',
+    '  Overall Severity: ' || case worst when 0 then 'CRITICAL' when 1 then 'HIGH' when 2 then 'MEDIUM' else 'LOW' end,
+    '  Analyst         : [L1 SOC Analyst]', '  Status          : Open — Pending L2 Review', '{_BAR}', ''] as lines from totals
+  union all
+  select 2, 0, 0, '', ['-- EXECUTIVE SUMMARY {"-" * 56}', '  Total Alerts   : ' || total, '  CRITICAL       : ' || c,
+    '  HIGH           : ' || h, '  MEDIUM         : ' || m, '  LOW            : ' || l, '  Unique IPs     : ' || ips, '',
+    '  Alert Types Detected:'] from totals
+  union all
+  select 2, 1, 0, lpad(cast(1000000000000000 - count(*) as varchar), 16, '0') || lpad(cast(min(ts_s * 10000000 + detector) as varchar), 20, '0'),
+    ['    - ' || rpad(type, 30, ' ') || ' ' || count(*) || ' alert(s)'] from numbered group by type
+  union all
+  select 2, 2, 0, '', ['']
+  union all
+  select 3, 0, 0, '', ['-- FLAGGED IP ADDRESSES {"-" * 51}'] from totals where ips > 0
+  union all
+  select 3, 1, 0, ip, ['  ' || rpad(ip, 20, ' ') || ' ' || severities] from ({_FLAGGED.replace("from alerts", "from numbered")}) f
+  union all
+  select 3, 2, 0, '', [''] from totals where ips > 0
+  union all
+  select 4, -1, 0, '', ['-- ALERT DETAILS {"-" * 60}']
+  union all
+  select 4, sr, 0, '', ['', '  ' || case severity when 'CRITICAL' then '[CRIT]' when 'HIGH' then '[HIGH]' when 'MEDIUM' then '[ MED]' else '[ LOW]' end
+    || ' ' || severity || ' (' || count(*) || ' alert(s))', '  {"-" * 72}'] from numbered group by sr, severity
+  union all
+  select 4, sr, number, '', ['  [' || number || '] Incident ID    : INC-20260526-120500-' || severity[1] ||
+      case when number < 1000 then lpad(cast(number as varchar), 3, '0') else cast(number as varchar) end,
+    '      Severity       : ' || severity, '      Detection Type : ' || type,
+    '      MITRE ATT&CK   : ' || {_TECHNIQUE} || ' - ' || {_TECHNIQUE_NAME},
+    '      Source IP      : ' || ip, '      Username       : ' || "user", '      Timestamp      : ' || {_iso("ts_s")}]
+    || case when score is null then ['      Threat Intel  : N/A'] else [
+      '      Threat Intel  : AbuseIPDB Score ' || score || '%, Country ' || country || ', ISP ' || isp || ', Malicious ' || case when score >= 75 then 'Yes' else 'No' end,
+      '      Threat Intel  : VirusTotal Malicious ' || engines || ', Reputation ' || reputation || ', Community ' || community] end
+    || ['      Analyst Notes  : ' || detail, '      Recommended Actions:']
+    || (select list('        - ' || action order by action_no) from (values {_ACTION_VALUES}) x(cause, action_no, action) where cause = numbered.type)
+    || [''] from numbered
+  union all
+  select 5, -1, 0, '', ['-- RECOMMENDED ACTIONS (SUMMARY) {"-" * 42}']
+  union all
+  select 5, 0, no, '', [line] from {_ADVICE} where cause in (select severity from numbered union select type from numbered)
+  union all
+  select 5, 1, 0, '', ['']
+  union all
+  select 6, 0, 0, '', ['{_BAR}', '  Report generated by logwarden', '{_BAR}'])"""
+
 CHECKS = {
     **{name: _detector(name) for name in _PARTS},
     "all_alerts": (sorted_alerts, _with_alerts(f"select {_ALERT_COLUMNS} from alerts")),
@@ -497,5 +596,22 @@ CHECKS = {
             cast(case when type = 'ACCOUNT_COMPROMISE' then 3 else 0 end as bigint) as steps from alerts"""
         ),
     ),
-    "report_text": (report_text, None),
+    "report_text": (
+        report_text,
+        _with_alerts(
+            "select section, grp, num, key, unnest(generate_series(0, len(lines) - 1)) as line_no, unnest(lines) as line from lists",
+            _ENRICHED,
+            _REPORT,
+            views=("rep",),
+        ),
+    ),
+    "extra_detector": (
+        extra_detector,
+        _with_alerts(
+            f"""select type, severity, count(*) as count from (
+              select type, severity from alerts where type = 'FAILED_LOGIN_BURST'
+              union all select 'LOCAL_LOGIN', severity from ({_OFF_HOURS}) o where ip like '10.%') m group by type, severity"""
+        ),
+    ),
+    "detect_text": (detect_text, _with_alerts(f"select {_ALERT_COLUMNS.replace('pos, ', '')} from alerts")),
 }

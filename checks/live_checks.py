@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 from checks import threat_checks as tc
 from checks import views as v
+from checks.alert_checks import log_folder
+from logwarden.operators.formats import AsOf
+from logwarden.params import DEFAULTS
 from logwarden.session import shared_folder
 from logwarden.sources.ip_lists import read_blocklist
+from logwarden.sources.lines import stream_lines
 from logwarden.streaming import live
 
 
@@ -58,10 +62,28 @@ def live_csv_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _csv(spark, f"{out}/asked")
 
 
+def live_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log text in several files, streamed: attempts land first, the summary follows them."""
+    out = f"{shared_folder(spark)}/live-{uuid.uuid4().hex}"
+    lines = stream_lines(spark, log_folder(spark, sf_dir, 8), max_files_per_batch=3)
+    live.start_live_attempts(lines, AsOf(2024, 6), out, drain=True).awaitTermination()
+    found = live.landed_attempts(spark, out)
+    live.start_live_summary(found, f"{out}/summary", snapshot=False, drain=True).awaitTermination()
+    return live.current_summary(spark, f"{out}/summary").select(*[c for c in tc._COLUMNS if c != "first_pos"])
+
+
+def live_quiet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preset that shows severe addresses only."""
+    found = live.current_summary(spark, _drained(spark, sf_dir), DEFAULTS.quiet())
+    return found.select(*[c for c in tc._COLUMNS if c != "first_pos"])
+
+
 _LIVE_COLUMNS = ", ".join(c for c in tc._COLUMNS if c != "first_pos")
 
 CHECKS = {
     "live_summary": (live_summary, tc._sql(f"select {_LIVE_COLUMNS} from summary")),
+    "live_text": (live_text, tc._sql(f"select {_LIVE_COLUMNS} from summary")),
+    "live_quiet": (live_quiet, tc._sql(f"select {_LIVE_COLUMNS} from summary where severity in ('CRITICAL', 'HIGH')")),
     "live_coverage": (live_coverage, tc.CHECKS["coverage"][1]),
     "live_blocklist": (live_blocklist, tc.CHECKS["blocklist_candidates"][1]),
     "live_csv": (live_csv, tc.CHECKS["csv_summary"][1]),

@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import views as v
+from checks.patterns import ACCEPTED, FAILED, FIRST_LOOK, LAYOUTS, MESSAGES, SU, SUDO, Message
 from logwarden.functions import timestamps as t
 from logwarden.operators import attempts as a
 from logwarden.operators import formats as fm
 from logwarden.operators.attempt_rules import RULES, Rule
-from logwarden.operators.auth_events import ACCEPTED, FAILED, SU, SUDO, auth_events
+from logwarden.operators.auth_events import auth_events
 from logwarden.sources.ip_lists import ip_list
 
 AS_OF = fm.AsOf(2024, 6)
+EXTRA_MESSAGE = Message("received_disconnect", r"Received disconnect from ([0-9a-fA-F:.]+): 11", None, 1, False)
 EXTRA_RULE = Rule("received_disconnect", r"Received disconnect from ([0-9a-fA-F:.]+): 11", user_group=None, ip_group=1)
 
 
@@ -57,23 +59,23 @@ def parse_mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- layouts and attempts ------------------------------------------------------------
 
-_PATTERNS = [f.pattern for f in fm.FORMATS]
+_PATTERNS = [pattern for _, pattern, _ in LAYOUTS]
 _FIRST_FORMAT = "case " + " ".join(f"when regexp_matches(line, {_q(p)}) then {i}" for i, p in enumerate(_PATTERNS)) + " end"
-_NAME = "case format " + " ".join(f"when {i} then '{f.name}'" for i, f in enumerate(fm.FORMATS)) + " end"
+_NAME = "case format " + " ".join(f"when {i} then '{name}'" for i, (name, _, _) in enumerate(LAYOUTS)) + " end"
 
 _ISO_FULL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?([+-]\d{2}:\d{2})?$"
 
 
-def _scan_ctes(chosen: str, rules=RULES) -> str:
+def _scan_ctes(chosen: str, rules: tuple[Message, ...] = MESSAGES) -> str:
     """CTEs ``looked`` (layout per line), ``timed`` (message and time) and ``found`` (attempts)."""
     info = "case format " + " ".join(
-        f"when {i} then regexp_extract(line, {_q(f.pattern)}, {f.info_group})" for i, f in enumerate(fm.FORMATS)
+        f"when {i} then regexp_extract(line, {_q(pattern)}, {group})" for i, (_, pattern, group) in enumerate(LAYOUTS)
     )
     matched = "case format " + " ".join(f"when {i} then regexp_matches(line, {_q(p)})" for i, p in enumerate(_PATTERNS))
     token = "split_part(line, ' ', 1)"
     offset = lambda i: f"regexp_extract({token}, '([+-])(\\d{{2}}):(\\d{{2}})$', {i})"
     is_rule = [f"regexp_matches(info, {_q(r.pattern)})" for r in rules]
-    by = lambda f: "case rule when -1 then {} ".format(f(fm.FIRST_LOOK)) + " ".join(
+    by = lambda f: "case rule when -1 then {} ".format(f(FIRST_LOOK)) + " ".join(
         f"when {i} then {f(r)}" for i, r in enumerate(rules)
     ) + " end"
     user = by(lambda r: "''" if r.user_group is None else f"regexp_extract(info, {_q(r.pattern)}, {r.user_group})")
@@ -93,7 +95,7 @@ timed as (
            then (cast({offset(2)} as int) * 60 + cast({offset(3)} as int)) * case {offset(1)} when '-' then -1 else 1 end end as tz
     from looked) m),
 ruled as (
-  select *, case when not matched or ts is null then null when regexp_matches(info, {_q(fm.FIRST_LOOK.pattern)}) then -1
+  select *, case when not matched or ts is null then null when regexp_matches(info, {_q(FIRST_LOOK.pattern)}) then -1
     {" ".join(f"when {c} then {i}" for i, c in enumerate(is_rule))} end as rule
   from timed),
 found as (
@@ -178,6 +180,22 @@ def whitelist_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ip_list(lines, comments=True)
 
 
+# a layout and a rule of the caller's
+_DOTTED = fm.LogFormat(
+    "dotted",
+    r"^<\d+> (\S+ \S+) \| (.*)$",
+    2,
+    fields=lambda line: F.array(F.regexp_extract(line, r"> (\S+ \S+)", 1)),
+    clock=lambda fields, as_of: F.try_to_timestamp(F.get(fields, 0), F.lit("dd.MM.yyyy HH:mm:ss")).cast("timestamp_ntz"),
+)
+_BAD_LOGIN = Rule("bad_login", r"bad login (\w+)@([\d.]+)")
+
+
+def more_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = v.dotted_lines(spark, sf_dir)
+    return _flat(a.scan_once(lines, AS_OF, formats=(*fm.FORMATS, _DOTTED), rules=(*RULES, _BAD_LOGIN)).attempts)
+
+
 CHECKS = {
     "parse_auth_lines": (parse_auth_lines, _events_sql("lines")),
     "parse_mixed_lines": (parse_mixed_lines, _events_sql("mixed")),
@@ -193,7 +211,13 @@ CHECKS = {
     "forced_format_attempts": (forced_format_attempts, v.duck_views("mixed") + "," + _scan_ctes(_FORCED) + _ATTEMPT_COLUMNS),
     "extended_rules": (
         extended_rules,
-        v.duck_views("mixed") + "," + _scan_ctes(_STICKY, (*RULES, EXTRA_RULE)) + _ATTEMPT_COLUMNS,
+        v.duck_views("mixed") + "," + _scan_ctes(_STICKY, (*MESSAGES, EXTRA_MESSAGE)) + _ATTEMPT_COLUMNS,
+    ),
+    "more_layouts": (
+        more_layouts,
+        v.duck_views("dotted")
+        + """select concat('d', cast(pos % 3 as varchar)) as file, pos, ip, usr as username, ts_s * 1000000 as ts_us,
+          cast(null as integer) as tz_offset_min, false as success, 'bad_login' as event from auth where kind = 'failed'""",
     ),
     "parse_stats": (
         parse_stats,

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import views as v
+from checks.alert_checks import log_folder
 from logwarden.operators import threat as th
+from logwarden.operators.formats import AsOf
 from logwarden.params import DEFAULTS
+from logwarden.plans.threat_summary import summarize
 
 _WHITELIST = [f"185.72.33.{i}" for i in range(5)]
 _LISTED = ", ".join(f"'{ip}'" for ip in _WHITELIST)
@@ -96,6 +99,31 @@ def csv_summary(spark, sf_dir):
 _DURATION = """case when duration_us // 3600000000 > 0 then concat(duration_us // 3600000000, 'h ') else '' end
   || concat(duration_us % 3600000000 // 60000000, 'm ', duration_us % 60000000 // 1000000, 's')"""
 
+def coverage_text(spark, sf_dir):
+    return th.coverage_text(th.coverage(v.attempts(spark, sf_dir)))
+
+
+def summarize_text(spark, sf_dir):
+    """The summary of log text in several files, read once."""
+    result = summarize(spark, log_folder(spark, sf_dir, 8), AsOf(2024, 6))
+    return result.summary.select(*[c for c in _COLUMNS if c != "first_pos"])
+
+
+def text_stats(spark, sf_dir):
+    """Parse counters over all files of the same log text."""
+    stats = summarize(spark, log_folder(spark, sf_dir, 8), AsOf(2024, 6)).stats
+    counters = ["lines_read", "extract_matches", "failed_timestamps"]
+    return stats.agg(*[F.sum(c).alias(c) for c in counters], F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"))
+
+
+_DURATION = """case when duration_us >= 3600000000 then concat(duration_us // 3600000000, 'h ', duration_us // 60000000 % 60, 'm ', duration_us // 1000000 % 60, 's')
+  else concat(duration_us // 60000000, 'm ', duration_us // 1000000 % 60, 's') end"""
+_WALL = "strftime(make_timestamp({}), '%Y-%m-%d %H:%M:%S')"
+_COVERED = """
+covered as (
+  select count(distinct ip) as ips, count(*) as attempts, min(ts_s) * 1000000 as first_us, max(ts_s) * 1000000 as last_us,
+    (max(ts_s) - min(ts_s)) * 1000000 as duration_us from auth where kind in ('failed', 'success'))"""
+
 CHECKS = {
     "ip_user_failures": (
         lambda spark, sf_dir: th.ip_user_failures(v.attempts(spark, sf_dir)),
@@ -179,4 +207,21 @@ CHECKS = {
             strftime(make_timestamp(last_us), '%Y-%m-%dT%H:%M:%S') as "Window_End" from summary"""
         ),
     ),
+    "coverage_text": (
+        coverage_text,
+        v.duck_views()
+        + ","
+        + _COVERED
+        + f"""
+        select 0 as line_no, concat('Window: ', {_WALL.format("first_us")}, ' to ', {_WALL.format("last_us")}, ' (', {_DURATION}, ')') as line from covered
+        union all select 1, format('Parsed IPs: {{:,}} | Attempts: {{:,}}', ips, attempts) from covered""",
+    ),
+    "summarize_text": (summarize_text, _sql("select " + ", ".join(c for c in _COLUMNS if c != "first_pos") + " from summary")),
+    "text_stats": (
+        text_stats,
+        v.duck_views()
+        + """
+        select cast(count(*) as bigint) as lines_read, count(*) filter (kind in ('failed', 'success')) as extract_matches,
+          cast(0 as bigint) as failed_timestamps, min(ts_s) * 1000000 as first_us, max(ts_s) * 1000000 as last_us from auth""",
+    ),
 }

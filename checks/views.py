@@ -106,6 +106,14 @@ select concat('f', cast(file_no as string)) as file, pos,
 from {messages} g
 """
 
+# lines of a layout that the parsers do not know by themselves
+_DOTTED = """
+select concat('d', cast(pos % 3 as string)) as file, pos,
+  concat('<13> ', dd, '.', substr(ymd, 6, 2), '.', substr(ymd, 1, 4), ' ', hms, ' | ',
+         case when kind = 'failed' then concat('bad login ', usr, '@', ip) else concat('good login ', usr) end) as line
+from ({clock}) d
+"""
+
 # reputation dimensions of the public addresses; the last octet decides the values
 _REPUTATION = """
 select distinct ip, cast(regexp_extract(ip, '[0-9]+$', 0) as bigint) as o from {auth} a
@@ -123,6 +131,7 @@ def duck_views(*names: str) -> str:
     available = {
         "lines": _LINES.format(clock=clock),
         "mixed": _MIXED.format(messages=f"({_MESSAGES.format(clock=clock)})"),
+        "dotted": _DOTTED.format(clock=clock),
         "rep": _REPUTATION.format(auth="auth"),
     }
     parts = [f"auth as ({_duck_auth()})"] + [f"{n} as ({available[n]})" for n in names]
@@ -187,7 +196,11 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _over_clock(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     clock = _CLOCK.format(auth="{auth}")
-    return spark.sql(text.format(clock=clock), auth=auth(spark, sf_dir))
+    rows = auth(spark, sf_dir)
+    # bound before they are used: a method that derives them as well is too large for the JIT
+    names = ["kind", "ip", "usr", "command", "ts_s"]
+    bound = with_struct(rows, "a", F.struct(*names)).drop(*names).select("*", "a.*").drop("a")
+    return spark.sql(text.format(clock=clock), auth=bound)
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,5 +214,9 @@ def mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_MIXED.format(messages="{messages}"), messages=bound)
 
 
+def dotted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _over_clock(spark, sf_dir, _DOTTED)
+
+
 def reputation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_REPUTATION.format(auth="{auth}"), auth=auth(spark, sf_dir))

@@ -45,6 +45,11 @@ def zero_padded(number: Column, width: int) -> Column:
     return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
 
 
+def with_thousands(number: Column) -> Column:
+    """``1,234,567``."""
+    return F.format_number(number, 0)
+
+
 def padded_right(text: Column, width: int) -> Column:
     """Pad with blanks, never cutting longer text."""
     return F.when(F.length(text) >= width, text).otherwise(F.rpad(text, width, " "))

@@ -97,20 +97,23 @@ def report_lines(
 ) -> DataFrame:
     """All lines of the incident report, unsorted (sort by ``ORDER``).
 
-    Alerts are numbered, and thereby stored, once. Four passes over that table make the
-    report: totals (one stored row, from which all short sections come), types, addresses
-    and details.
+    Alerts are numbered, and thereby stored, once. Two passes over that table make the report:
+    one aggregate by type and by address and severity, from which all sections but the last
+    come, and the details.
     """
     prefix = f"INC-{generated_at:%Y%m%d-%H%M%S}"
     numbered = incident_numbers(alerts)
     bar = "=" * 78
 
+    groups = durable(rollups.alert_groups(numbered))
+    per_ip = F.col("by_ip")
+    of_severity = lambda x: F.sum(F.when(per_ip & (F.col("severity") == x), F.col("n")))
     totals = durable(
-        numbered.agg(
-            F.count("*").alias("total"),
-            F.count_distinct(F.when(F.col("ip") != LOCALHOST, F.col("ip"))).alias("ips"),
+        groups.agg(
+            F.coalesce(F.sum(F.when(per_ip, F.col("n"))), F.lit(0)).alias("total"),
+            F.count_distinct(F.when(per_ip & (F.col("ip") != LOCALHOST), F.col("ip"))).alias("ips"),
             rollups.worst_severity(),
-            *rollups.severity_totals(),
+            *[F.coalesce(of_severity(x), F.lit(0)).alias(x) for x in SEVERITIES],
             *_advice_wanted(),
         )
     )
@@ -144,19 +147,18 @@ def report_lines(
             "  Alert Types Detected:",
         ),
     )
-    per_type = rollups.type_counts(numbered)
+    per_type = rollups.types_of(groups)
     type_line = F.concat(
         F.lit("    - "), padded_right(F.col("type"), 30), F.lit(" "), F.col("count").cast("string"), F.lit(" alert(s)")
     )
-    by_count = F.lpad((F.lit(10**15) - F.col("count")).cast("string"), 16, "0")
-    types = _lines(per_type, EXECUTIVE, _texts(type_line), F.lit(1), F.col("first_us") * 10 + F.col("detector"), by_count)
-    types = types.select("section", "grp", F.lit(0).cast("bigint").alias("num"), F.concat("key", F.lpad(F.col("num").cast("string"), 20, "0")).alias("key"), "line_no", "line")
+    by_count = F.concat(F.lpad((F.lit(10**15) - F.col("count")).cast("string"), 16, "0"), F.lpad(F.col("start").cast("string"), 20, "0"))
+    types = _lines(per_type, EXECUTIVE, _texts(type_line), F.lit(1), key=by_count)
     after_types = _lines(totals, EXECUTIVE, _texts(""), F.lit(2))
 
     some_ip = F.col("ips") > 0
     flagged_head = _lines(totals, FLAGGED, _texts(F.when(some_ip, _rule("FLAGGED IP ADDRESSES", 51))))
     ip_line = F.concat(F.lit("  "), padded_right(F.col("ip"), 20), F.lit(" "), F.col("severities"))
-    flagged = _lines(rollups.flagged_ips(numbered), FLAGGED, _texts(ip_line), F.lit(1), key=F.col("ip"))
+    flagged = _lines(rollups.flagged_of(groups), FLAGGED, _texts(ip_line), F.lit(1), key=F.col("ip"))
     flagged_end = _lines(totals, FLAGGED, _texts(F.when(some_ip, "")), F.lit(2))
 
     details_head = _lines(totals, DETAILS, _texts(_rule("ALERT DETAILS", 60)), F.lit(-1))

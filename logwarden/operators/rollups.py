@@ -64,18 +64,34 @@ def worst_severity() -> Column:
     return severity_name(F.min(severity_rank(F.col("severity")))).alias("overall_severity")
 
 
+def alert_groups(alerts: DataFrame) -> DataFrame:
+    """Alerts per type and per address and severity, from one pass: ``type, ip, severity, n, first``.
+
+    Rows of a type have neither address nor severity. ``first`` is the place of the first
+    alert in the report: time, detector and position, packed into one number, which a hash
+    aggregate can keep in place.
+    """
+    start = (F.col("ts_us") * 10 + F.col("detector")).cast("decimal(18,0)") * F.lit(str(_POSITIONS)).cast("decimal(20,0)")
+    first = F.min((start + F.col("pos")).cast("decimal(38,0)")).alias("first")
+    sets = [[F.col("type")], [F.col("ip"), F.col("severity")]]
+    grouped = alerts.groupingSets(sets, "type", "ip", "severity").agg(F.grouping("type").alias("by_ip"), F.count("*").alias("n"), first)
+    return grouped.select("type", "ip", "severity", (F.col("by_ip") == 1).alias("by_ip"), "n", "first")
+
+
+_POSITIONS = 10**19
+
+
 def flagged_ips(alerts: DataFrame) -> DataFrame:
-    """``ip``, its alerts by severity, and the display text, for all addresses but the host.
+    """``ip``, its alerts by severity, and the display text, for all addresses but the host."""
+    return flagged_of(alert_groups(alerts))
+
+
+def flagged_of(groups: DataFrame) -> DataFrame:
+    """``flagged_ips`` from ``alert_groups``.
 
     The text lists severities by count, ties by first alert; an address has four at most.
-    Report order is packed into one number, which a hash aggregate can keep in place.
     """
-    order = (F.col("ts_us") * 10 + F.col("detector")).cast("decimal(18,0)") * F.lit("1" + "0" * 19).cast("decimal(20,0)")
-    per_severity = (
-        alerts.filter(F.col("ip") != LOCALHOST)
-        .groupBy("ip", "severity")
-        .agg(F.count("*").alias("n"), F.min((order + F.col("pos")).cast("decimal(38,0)")).alias("first"))
-    )
+    per_severity = groups.filter(F.col("by_ip") & (F.col("ip") != LOCALHOST))
     entry = F.struct((-F.col("n")).alias("order"), "first", "severity", "n")
     counts = [F.coalesce(F.sum(F.when(F.col("severity") == s, F.col("n"))), F.lit(0)).alias(s.lower()) for s in SEVERITIES]
     per_ip = per_severity.groupBy("ip").agg(*counts, F.array_sort(F.collect_list(entry)).alias("entries"))
@@ -83,6 +99,12 @@ def flagged_ips(alerts: DataFrame) -> DataFrame:
     return per_ip.withColumn("severities", F.array_join(texts, "  ")).drop("entries")
 
 
+def types_of(groups: DataFrame) -> DataFrame:
+    """``type, count, start`` from ``alert_groups``; ``start`` orders types by their first alert."""
+    start = F.floor(F.col("first") / F.lit(str(_POSITIONS)).cast("decimal(20,0)")).cast("bigint")
+    return groups.filter(~F.col("by_ip")).select("type", F.col("n").alias("count"), start.alias("start"))
+
+
 def _top(alerts: DataFrame, column: str, limit: int) -> DataFrame:
     counted = alerts.groupBy(column).agg(F.count("*").alias("count"))
     return counted.orderBy(F.desc("count"), column).limit(limit)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from logwarden.functions import timestamps as t
 from logwarden.functions.addresses import is_local_or_private
 from logwarden.functions.severity import at_least, classify_threat, recommended_action, severity_rank
-from logwarden.functions.text import csv_guard, two_decimals
+from logwarden.functions.text import csv_guard, two_decimals, with_thousands
 from logwarden.params import DEFAULTS, Params
 
 # Header of the summary file.
@@ -179,6 +179,15 @@ def coverage(attempts: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     return found.withColumn("duration_us", F.col("last_us") - F.col("first_us"))
 
 
+def coverage_text(covered: DataFrame) -> DataFrame:
+    """``line_no, line``: the time covered and what was parsed, for people to read."""
+    clock = lambda c: F.substring(t.from_micros(F.col(c)).cast("string"), 1, 19)
+    window = F.concat(F.lit("Window: "), clock("first_us"), F.lit(" to "), clock("last_us"), F.lit(" ("), t.duration_text(F.col("duration_us")), F.lit(")"))
+    parsed = F.concat(F.lit("Parsed IPs: "), with_thousands(F.col("ips")), F.lit(" | Attempts: "), with_thousands(F.col("attempts")))
+    lines = F.when(F.col("first_us").isNull(), F.array(F.lit("No parsed attempts found."))).otherwise(F.array(window, parsed))
+    return covered.select(F.posexplode(lines).alias("line_no", "line"))
+
+
 def _top_addresses(rows: DataFrame, limit: int) -> DataFrame:
     counted = rows.groupBy("ip").agg(F.count("*").alias("events"), F.min("pos").alias("first_pos"))
     return counted.orderBy(F.desc("events"), "first_pos").limit(limit)
