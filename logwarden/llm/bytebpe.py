@@ -219,8 +219,11 @@ class Encoder:
     """Encodes texts; remembers the ids of words, in a bounded memory."""
 
     REMEMBERED = 150_000
+    LONGEST = 64  # longer words, such as texts without blanks, are not remembered
     # Within a text, a blank before a non-blank always begins a piece of any pattern that
-    # matches blank runs as the usual ones do; what lies between is encoded by itself.
+    # matches blank runs as the usual ones do; what lies between is encoded by itself. For a
+    # pattern that cuts the probe in another way, the whole text is one word.
+    PROBE = "A  word, it's 12 345 x1 (y)\n\n  next\tline \u00e9t\u00e9 \u65e5\u672c \u8a9e ... end \r\n z's  "
     ODD_BLANKS = re.compile(r" (?:\s|\Z)")
     WORDS = re.compile(r" (?=\S)")
 
@@ -228,6 +231,7 @@ class Encoder:
         self.vocabulary = vocabulary
         self.pattern = regex.compile(pattern)
         self.memory = Recent(self.REMEMBERED)
+        self.splits = [p for w in self.cut(self.PROBE) for p in self.pattern.findall(w)] == self.pattern.findall(self.PROBE)
 
     def learn(self, words: list[str]) -> None:
         """Add the ids of words to the memory."""
@@ -246,6 +250,9 @@ class Encoder:
             self.memory[word] = b"".join([pieces[p] for p in each])
 
     def words(self, text: str) -> list[str]:
+        return self.cut(text) if self.splits else [text]
+
+    def cut(self, text: str) -> list[str]:
         words = self.WORDS.split(text) if self.ODD_BLANKS.search(text) else text.split(" ")
         return words[:1] + [" " + w for w in words[1:]]
 
@@ -254,9 +261,15 @@ class Encoder:
         due: set[str] = set()
         for text in texts:
             due.update(self.words(text))
+        long = [w for w in due if len(w) > self.LONGEST]
+        due.difference_update(long)
         self.learn(self.memory.unknown(due))
+        self.learn(long)
         memory = self.memory
-        return [b"".join([memory[w] for w in self.words(t)]) for t in texts]
+        found = [b"".join([memory[w] for w in self.words(t)]) for t in texts]
+        for word in long:
+            del memory[word]
+        return found
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -34,9 +34,10 @@ _SPACE = 32
 @dataclass(frozen=True)
 class Params:
     order: int = 4
-    # Bound of the sample: characters to learn from per language (expected value; a longer
-    # text than an eighth of it is left out). The model holds at most as many n-grams.
+    # Bound of the sample: characters to learn from per language (expected value; of a longer
+    # text than an eighth of it, a run of that length). The model holds at most as many n-grams.
     chars_per_language: int = 600_000
+    run: int = 1 << 20  # characters of a long text that are read at a time
     # With a single language there is no second-best model: this many times the mean
     # cross-entropy of the texts kept back stands for its figure.
     single_limit: float = 2.0
@@ -50,19 +51,43 @@ def letter_kinds() -> np.ndarray:
     return np.fromiter((kind.get(unicodedata.category(chr(i))[0], 0) for i in range(0x110000)), np.uint8, 0x110000)
 
 
+def normal_runs(text: str, kinds: np.ndarray, order: int, run: int) -> Iterator[np.ndarray]:
+    """Lower-case letters with one space between runs of them, padded; nothing without a letter.
+
+    A long text comes in parts, cut at blanks where there are some. Each part begins with the
+    end of the one before, so that their n-grams are those of the whole.
+    """
+    tail, lettered, at = np.full(order - 1, _SPACE, np.uint32), False, 0
+    held: list[np.ndarray] = []
+    while at < len(text):
+        end = at + run
+        if end < len(text):
+            blank = text.find(" ", end, end + run)
+            end = blank if blank >= 0 else end
+        points = np.frombuffer(text[at:end].lower().encode("utf-32-le", "replace"), np.uint32)
+        at = end
+        kind = kinds[points]
+        lettered = lettered or bool((kind == 2).any())
+        points = np.concatenate([tail, np.where(kind > 0, points, np.uint32(_SPACE))])
+        blank = points == _SPACE
+        keep = ~blank
+        keep[1:] |= blank[1:] & ~blank[:-1]
+        keep[: len(tail)] = True
+        first = blank[len(tail) : len(tail) + 1] & blank[len(tail) - 1]
+        keep[len(tail) : len(tail) + 1] &= ~first
+        points = points[keep]
+        if at >= len(text):
+            points = np.append(points, np.uint32(_SPACE))
+        tail = points[len(points) - order + 1 :]
+        held.append(points)
+        if lettered:
+            yield from held
+            held = []
+
+
 def normal(text: str, kinds: np.ndarray, order: int) -> np.ndarray | None:
-    """Lower-case letters with one space between runs, padded; None without a letter."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    kind = kinds[points]
-    if not (kind == 2).any():
-        return None
-    points = np.where(kind > 0, points, np.uint32(_SPACE))
-    blank = points == _SPACE
-    keep = ~blank
-    keep[1:] |= blank[1:] & ~blank[:-1]
-    pad = np.full(order - 1, _SPACE, np.uint32)
-    body = points[keep]
-    return np.concatenate([pad, body, pad[:1]])
+    """``normal_runs`` of a text in one part; None without a letter."""
+    return next(normal_runs(text, kinds, order, max(1, len(text))), None)
 
 
 def gram_columns(points: np.ndarray, order: int) -> list[np.ndarray]:
@@ -139,8 +164,8 @@ class KneserNey:
 class Models:
     """All languages: log probabilities and log weights of every n-gram that any of them has."""
 
-    def __init__(self, languages: list[str], order: int):
-        self.languages, self.order = languages, order
+    def __init__(self, languages: list[str], order: int, run: int = Params.run):
+        self.languages, self.order, self.run = languages, order, run
         self.limits = np.full(len(languages), np.inf)
         self.grams: list[SortedTable] = []
         self.contexts: list[SortedTable] = []
@@ -169,12 +194,12 @@ class Models:
     def plain(self) -> tuple:
         """Only arrays and strings, which any process can unpickle."""
         tables = [[(t.hashes, t.values) for t in each] for each in (self.grams, self.contexts)]
-        return self.languages, self.order, self.limits, self.unseen, tables
+        return self.languages, self.order, self.run, self.limits, self.unseen, tables
 
     @staticmethod
     def of(plain: tuple) -> Models:
-        languages, order, limits, unseen, tables = plain
-        models = Models(languages, order)
+        languages, order, run, limits, unseen, tables = plain
+        models = Models(languages, order, run)
         models.limits, models.unseen = limits, unseen
         models.grams, models.contexts = ([SortedTable(*t) for t in each] for each in tables)
         return models
@@ -198,15 +223,18 @@ class Models:
 
     def judge(self, text: str | None, kinds: np.ndarray) -> tuple[str, float, float | None, float | None, bool]:
         """Language, score, cross-entropy in nats per character, that of the next language, rejection."""
-        points = normal(text, kinds, self.order) if text and self.languages else None
-        if points is None:
+        sums, n = np.zeros(len(self.languages)), 0
+        for points in normal_runs(text, kinds, self.order, self.run) if text and self.languages else ():
+            if len(points) >= self.order:
+                columns = gram_columns(points, self.order)
+                sums, n = sums + self.log_sums(columns), n + len(columns[0])
+        if not n:
             return UNDETERMINED, 0.0, None, None, True
-        columns = gram_columns(points, self.order)
-        entropies = -self.log_sums(columns) / len(columns[0])
+        entropies = -sums / n
         best = int(entropies.argmin())
         # the share of the best language, as if at most 50 characters had been read
-        odds = np.exp((entropies[best] - entropies) * min(50, len(columns[0])))
-        limit = self.limits[best] * (1 + 4 / len(columns[0]))
+        odds = np.exp((entropies[best] - entropies) * min(50, n))
+        limit = self.limits[best] * (1 + 4 / n)
         following = float(np.partition(entropies, 1)[1]) if len(entropies) > 1 else None
         return self.languages[best], float(1 / odds.sum()), float(entropies[best]), following, bool(entropies[best] > limit)
 
@@ -220,7 +248,10 @@ def sample(labelled: DataFrame, text: str, lang: str, params: Params) -> DataFra
     plain = [F.col(f.name) for f in labelled.schema.fields if isinstance(f.dataType, T.AtomicType)]
     known = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(*plain).alias("draw"))
     known = known.filter("lang is not null and text is not null")
-    known = known.filter(F.length("text") <= params.chars_per_language // 8)
+    # of a long text a run, from a place that its hash decides
+    most, length = F.lit(params.chars_per_language // 8), F.length("text")
+    start = F.pmod("draw", F.greatest(length - most, F.lit(0)) + 1).cast("int") + 1
+    known = known.withColumn("text", F.when(length <= most, F.col("text")).otherwise(F.substr("text", start, most)))
     sizes = known.groupBy("lang").agg(F.sum(F.length("text")).alias("size"))
     share = F.least(F.lit(1.0), params.chars_per_language / F.col("size"))
     shares = {r["lang"]: r["share"] for r in sizes.select("lang", share.alias("share")).collect()}
@@ -233,7 +264,9 @@ def sample(labelled: DataFrame, text: str, lang: str, params: Params) -> DataFra
 def count_grams(rows: pd.DataFrame, order: int) -> pd.DataFrame:
     """N-gram table of one language's sample."""
     kinds = letter_kinds()
-    found = [normal(t, kinds, order) for t in rows["text"][rows["part"] != 0]]
+    # a language that has only texts that would be kept back learns from these
+    learned = rows["text"][rows["part"] != 0] if (rows["part"] != 0).any() else rows["text"]
+    found = [normal(t, kinds, order) for t in learned]
     parts = [np.stack(gram_columns(p, order), 1) for p in found if p is not None]
     if not parts:
         return pd.DataFrame({"lang": [], "grams": [], "counts": []})
@@ -259,7 +292,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", params: Par
         (np.frombuffer(r["grams"], "<u4").reshape(-1, params.order).astype(np.uint64), np.frombuffer(r["counts"], "<i8").astype(float))
         for r in tables
     ]
-    models = Models([r["lang"] for r in tables], params.order)
+    models = Models([r["lang"] for r in tables], params.order, params.run)
     models.learn(unpacked)
     held = predict(rows.filter("part = 0"), models).filter("lang_pred = lang")
     limit = F.coalesce(F.avg("entropy_next"), params.single_limit * F.avg("entropy"))

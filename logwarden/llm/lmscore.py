@@ -33,10 +33,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logwarden.llm.common import SpanHashes, chunks, column, mix, word_spans
+from logwarden.llm.common import lower_words, mix
 from logwarden.session import stored
 
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _END, _START = np.uint64(1), np.uint64(2)
 COUNTED, WEIGHING, HELD_OUT = 0, 1, 2
 _MEASURES = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
@@ -67,14 +66,11 @@ def unpacked(data: bytes, dtype: type) -> np.ndarray:
 def token_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens of all texts, end tokens included, and the tokens of each text."""
     parts, sizes = [], []
-    for _, part in chunks(texts):
-        raw = [t.encode("utf-8", "replace").translate(_LOWER) for t in part]
-        buffer, starts, ends, counts = word_spans(raw)
-        words = SpanHashes(buffer).of(starts, ends)
+    for found in lower_words(texts):
         # words never get the hashes of the two marks
-        words = np.where(words <= _START, words + np.uint64(7), words)
-        parts.append(np.insert(words, np.cumsum(counts), _END))
-        sizes.append(counts + 1)
+        words = np.where(found.hashes <= _START, found.hashes + np.uint64(7), found.hashes)
+        parts.append(np.insert(words, np.cumsum(found.counts), _END))
+        sizes.append(found.counts + 1)
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(parts), np.concatenate(sizes)

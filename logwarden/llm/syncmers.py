@@ -1,8 +1,10 @@
 """Document fingerprints from closed syncmers, with DataFrame functions alone.
 
-A text is a sequence of units: runs of at most 32 Latin letters, digits and signs, and all other
-characters one by one, without blanks. This holds at every length and in every script, so
-texts of any two lengths have anchors in common where they have words in common. A window of
+A text is a sequence of units: what blanks separate in scripts that have blanks between words,
+and single characters in the others (Chinese, Japanese, Thai and their like). A run of more
+than 32 characters is cut behind certain letters and digits, so that a change within it
+moves only the cuts near it. This holds at every length, so texts of any two lengths have
+anchors in common where they have words in common. A window of
 three units is a closed syncmer when the least of the hashes of its units (the inner strings) is the first or the
 last. Whether a window is chosen depends on its own units only, so an edit moves or
 removes anchors near the edit and no others. The fingerprint is the ``size`` least hashes of
@@ -16,6 +18,7 @@ and another are not (0). Equal texts have equal fingerprints.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -30,7 +33,8 @@ from logwarden.operators.compute_once import with_struct
 @dataclass(frozen=True)
 class Params:
     size: int = 64
-    # Documents are put in order in ranges of about this many rows, at most ``max_ranges``.
+    # Documents are put in order in ranges of about this many rows, but not in more ranges than
+    # four times the session's shuffle partitions (4096 at least): a range is a task's share.
     range_rows: int = 4096
     max_ranges: int = 4096
 
@@ -41,7 +45,10 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-UNITS = r"[\x21-\x7E\u00C0-\u024F]{1,32}|[^\x20\x09-\x0D]"
+# Characters that words are made of: all but blanks, control characters and scripts without blanks
+# (Thai, Lao, Tibetan, Myanmar, Khmer, Chinese, Japanese, Yi, full-width forms).
+_WORD = r"[^\x00-\x20\u0E00-\u109F\u1780-\u17FF\u2E80-\uA4CF\uF900-\uFAFF\uFF00-\uFFEF\x{20000}-\x{3FFFF}]"
+UNITS = rf"{_WORD}{{1,32}}(?!{_WORD})|{_WORD}{{4,31}}?[aeknsyAEKNSY1579]|{_WORD}{{32}}|[^\x20\x09-\x0D]"
 
 
 def units(text: Column) -> Column:
@@ -110,27 +117,38 @@ def with_next(docs: DataFrame, params: Params) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("place"),
     )
     n = rows.count()
-    ranges = max(1, min(params.max_ranges, n // params.range_rows))
+    most = max(params.max_ranges, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranges = max(1, min(most, n // params.range_rows))
     shares = [i / ranges for i in range(1, ranges)]
     found = rows.agg(F.percentile_approx("place", shares, 10 * ranges)).first()[0] if shares else None
-    cuts = sorted(set(found or []))
-    given = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>") if cuts else F.array().cast("array<bigint>")
-    ranged = rows.withColumn("range", F.size(F.filter(given, lambda c: c < F.col("place"))))
-    # the head of each range: one row per range
+    ranged = rows.withColumn("range", range_of(F.col("place"), sorted(set(found or []))))
+    # the head of each range: one row per range, and few bytes of it in one place
     places = ranged.groupBy("range").agg(F.max("place").alias("place"))
-    heads = rows.join(F.broadcast(places), "place").groupBy("range").agg(F.max("text").alias("text"))
-    heads = with_sketch(heads, "text", "own", params).select("range", F.struct("text", "own").alias("head"))
     order = W.orderBy(F.desc("range"))
-    first = F.first("head").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    after = heads.select("range", F.coalesce(F.lead("head").over(order), first).alias("head"))
+    whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    follow = places.select("range", F.coalesce(F.lead("range").over(order), F.first("range").over(whole)).alias("headed"))
+    heads = ranged.join(places, ["range", "place"]).groupBy(F.col("range").alias("headed")).agg(F.max("text").alias("text"))
+    heads = with_sketch(heads, "text", "own", params).select("headed", F.struct("text", "own").alias("head"))
+    after = follow.join(heads, "headed").select(F.col("range").alias("after"), "head")
     within = W.partitionBy("range").orderBy(F.desc("place"), F.desc("text"))
     sketched = with_sketch(ranged, "text", "own", params)
     led = sketched.withColumn("next", F.lead(F.struct("text", "own")).over(within))
     # only the last row of a range has no next one in it
-    joined = led.join(F.broadcast(after), "range", "left")
+    joined = led.join(after, (F.col("range") == F.col("after")) & F.col("next").isNull(), "left")
     return joined.select("doc_id", "text", "own", F.coalesce("next", "head").alias("next"))
 
 
+def range_of(place: Column, cuts: list[int]) -> Column:
+    """The number of cuts below a place: first among every k-th of them, then among the k that follow."""
+    if not cuts:
+        return F.lit(0)
+    array = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+    k = math.isqrt(len(cuts)) + 1
+    coarse = F.size(F.filter(array(cuts[::k]), lambda c: c < place))
+    fine = F.size(F.filter(F.slice(array(cuts), (F.greatest(coarse, F.lit(1)) - 1) * k + 1, k), lambda c: c < place))
+    return F.greatest(coarse - 1, F.lit(0)) * k + fine
+
+
 def edited_pairs(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """Each text, the text edited with its successor's beginning, and the likeness of their fingerprints."""
     n = F.length("text")
