@@ -1,29 +1,37 @@
-"""Language-model scores by deleted interpolation of word bigrams.
+"""Language-model scores by deleted interpolation of word trigrams, bigrams and unigrams.
 
-Tokens of a text are its words, A-Z lower-cased, then one end token; the context of the
-first token is a start mark. The probability of a token w after h is
+Tokens of a text are its words, A-Z lower-cased, then one end token; before the first token
+stand start marks. Estimates are mixed from the lowest order up. For a token w after v,
 
-    l2 c(h w) / c(h) + l1 c(w) / N + l0 / (V + 1)
+    p2 = l2 c(v w) / c(v) + l1 c(w) / N + l0 / (V + 1)
 
-with counts over all training texts and weights that depend on how frequent h is: one set
-per power of two of c(h). They are learned by expectation-maximisation on a tenth of the
-training texts, against the counts of the other nine tenths.
+and after u v
 
-How it scales. Texts are dealt into blocks of some megabytes. A block sends its distinct
-n-grams, as sorted hash arrays with their counts, to shards of the hash range; so a frequent
-n-gram arrives once per block and not once per use. A shard adds the counts of all blocks
-and answers each block with an aligned array of totals. Blocks then score their texts
-without any per-token shuffle. Sizes of blocks and shards are parameters; their number grows
-with the input.
+    p3 = k c(u v w) / c(u v) + (1 - k) p2
+
+with counts over all training texts and weights that depend on how frequent the context is:
+one set per power of two of c(v), and of c(u v). They are learned by expectation-maximisation
+on a tenth of the training texts, against the counts of the other nine tenths.
+
+How it scales. Texts are packed once into stored blocks of some megabytes. A block sends its
+distinct n-grams, as sorted hash arrays with their counts, to ranges of the hashes; so a
+frequent n-gram travels once per block and not once per use. A range adds the counts of all
+blocks and answers each with an aligned array of totals, by which the block scores its texts.
+No node ever has more than ``fan_out`` ranges to send to: with more ranges than that, blocks
+send to coarse ranges in teams, a team's n-grams are merged there and sent on to finer ranges,
+and answers come back the same way. So messages grow with the input, times the number of such
+levels (its logarithm). Blocks and ranges have bounded sizes, which are parameters.
 
 Edge cases. Null and empty texts consist of the end token alone. Texts without training rows
 get log10(1 / (V + 1)) = 0 per token. Rows that share a doc_id are scored each; a null
-doc_id counts as empty text when texts are dealt to training and held-out rows.
+doc_id counts as empty text when texts are dealt to training and held-out rows. A single very
+long text is a block of its own and needs some hundred bytes of memory per word.
 """
 
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,10 +41,12 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logwarden.llm.common import lower_words, mix
+from logwarden.llm.common import lower_words, mix, smaller
 from logwarden.session import stored
 
 _END, _START = np.uint64(1), np.uint64(2)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+KINDS = (0, 1, 2)  # unigrams, bigrams, trigrams
 COUNTED, WEIGHING, HELD_OUT = 0, 1, 2
 _MEASURES = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
@@ -44,7 +54,8 @@ _MEASURES = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score do
 @dataclass(frozen=True)
 class Params:
     block_bytes: int = 8 << 20
-    shard_bytes: int = 16 << 20
+    range_bytes: int = 8 << 20  # of text per range of n-grams
+    fan_out: int = 256
     buckets: int = 65  # one per power of two of a 64-bit count, and one for contexts never counted
     rounds: int = 60
     # EM sees token statistics as a histogram with this many steps per factor of two.
@@ -77,146 +88,290 @@ def token_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Block:
-    """Tokens of a block's texts with their distinct unigrams and bigrams."""
+    """Tokens of a block's texts with their distinct n-grams."""
 
     def __init__(self, texts: list[str | None]):
         self.tokens, self.sizes = token_hashes(texts)
         self.firsts = np.cumsum(self.sizes) - self.sizes
-        before = np.empty_like(self.tokens)
-        before[1:] = self.tokens[:-1]
-        before[self.firsts] = _START
-        pairs = mix(before * np.uint64(0x9E3779B97F4A7C15) + self.tokens)
+        before = self.shifted(self.tokens, _START)
+        further = self.shifted(before, _START)
+        pairs = mix(before * _SPREAD + self.tokens)
+        triples = mix(mix(further * _SPREAD + before) * _SPREAD + self.tokens)
         self.grams, self.places, self.counts = [], [], []
-        for hashes in (self.tokens, pairs):
+        for hashes in (self.tokens, pairs, triples):
             distinct, place, count = np.unique(hashes, return_inverse=True, return_counts=True)
             self.grams.append(distinct)
             self.places.append(place)
             self.counts.append(count.astype(np.uint32))
 
-    def spread(self, totals: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per token: count of the bigram, of the context and of the token."""
-        single = totals[0][self.places[0]].astype(np.float64)
-        pair = totals[1][self.places[1]].astype(np.float64)
-        context = np.empty_like(single)
-        context[1:] = single[:-1]
-        context[self.firsts] = single[self.firsts + self.sizes - 1]  # as many starts as ends
-        return pair, context, single
+    def shifted(self, values: np.ndarray, first: object) -> np.ndarray:
+        """The value of the token before, ``first`` (one or one per text) at the first token of a text."""
+        out = np.empty_like(values)
+        out[1:] = values[:-1]
+        out[self.firsts] = first
+        return out
+
+    def spread(self, totals: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """Per token: counts of the trigram, its context, the bigram, its context, and the token."""
+        single, pair, triple = (totals[k][self.places[k]].astype(np.float64) for k in KINDS)
+        starts = single[self.firsts + self.sizes - 1]  # as many starts as ends
+        return triple, self.shifted(pair, starts), pair, self.shifted(single, starts), single
+
 
+# --- blocks -----------------------------------------------------------------------------
 
-def shard_bounds(shards: int) -> np.ndarray:
-    return np.array([(s << 64) // shards for s in range(1, shards)], np.uint64)
 
+def packed_blocks(docs: DataFrame, held_out: Column, params: Params) -> DataFrame:
+    """``block, part, doc_ids, held_out, lengths, texts``: all rows, packed with others of their part.
 
-def dealt(docs: DataFrame, held_out: Column, params: Params) -> tuple[DataFrame, int]:
-    """``doc_id, text, held_out, part, block`` of all rows, and the number of shards."""
+    Stored, because blocks are numbered at random and have to be the same in every later step.
+    """
+    # copies of a text stay together
+    weighing = F.pmod(F.xxhash64("text", F.lit("weights")), F.lit(10)) == 0
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
-    weighing = F.pmod(F.xxhash64("text", F.lit("weights")), F.lit(10)) == 0  # copies of a text stay together
     rows = rows.withColumn("part", F.when(F.col("held_out"), HELD_OUT).when(weighing, WEIGHING).otherwise(COUNTED))
-    sizes = dict(rows.groupBy("part").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1)).collect())
-    block, first = F.lit(0), 0
-    for part, size in sorted(sizes.items()):
-        n = math.ceil(size / params.block_bytes)
-        block = F.when(F.col("part") == part, first + F.pmod(F.xxhash64("doc_id", "text"), F.lit(n))).otherwise(block)
-        first += n
-    return rows.withColumn("block", block.cast("int")), math.ceil(sum(sizes.values()) / params.shard_bytes) or 1
-
-
-def sent_counts(rows: DataFrame, shards: int) -> DataFrame:
-    """Each block's distinct n-grams with their counts, cut by shard."""
-    bounds = shard_bounds(shards)
-
-    def send(table: pa.Table) -> pa.Table:
-        block, part = table.column("block")[0].as_py(), table.column("part")[0].as_py()
-        found = Block(table.column("text").to_pylist())
-        out = []
-        for kind in (0, 1):
-            cuts = np.concatenate([[0], np.searchsorted(found.grams[kind], bounds), [len(found.grams[kind])]])
-            for shard in range(shards):
-                a, b = cuts[shard], cuts[shard + 1]
-                if b > a:
-                    steps = np.diff(found.grams[kind][a:b], prepend=np.uint64(0))
-                    out.append((shard, block, part, kind, packed(steps), packed(found.counts[kind][a:b])))
-        return pa.table(
-            {n: [r[i] for r in out] for i, n in enumerate(("shard", "block", "part", "kind", "grams", "counts"))},
-            pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("part", pa.int32()), ("kind", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary())]),
-        )
-
-    schema = "shard int, block int, part int, kind int, grams binary, counts binary"
-    return rows.select("block", "part", "text").groupBy("block").applyInArrow(send, schema)
-
-
-def answered(sent: DataFrame) -> DataFrame:
-    """For each message of a block: totals over the counted and the weighing texts, in its order.
-
-    One more row per shard (block -1) has the number of distinct tokens and of all tokens:
-    ``v, n`` in all training texts, ``v0, n0`` in the counted ones.
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[pa.Table]] = {}
+        sizes: dict[int, int] = {}
+
+        def flushed(part: int) -> pa.RecordBatch:
+            table = pa.concat_tables(held.pop(part))
+            texts = [(t or "").encode("utf-8", "replace") for t in table.column("text").to_pylist()]
+            sizes[part] = 0
+            values = [
+                pa.array([int.from_bytes(os.urandom(7), "little")], pa.int64()),
+                pa.array([part], pa.int32()),
+                pa.ListArray.from_arrays(pa.array([0, len(table)], pa.int32()), table.column("doc_id").combine_chunks()),
+                pa.ListArray.from_arrays(pa.array([0, len(table)], pa.int32()), table.column("held_out").combine_chunks()),
+                pa.array([[len(t) for t in texts]], pa.list_(pa.int32())),
+                pa.array([zstandard.ZstdCompressor(level=1).compress(b"".join(texts))], pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(values, names=["block", "part", "doc_ids", "held_out", "lengths", "texts"])
+
+        for batch in smaller(batches):
+            table = pa.Table.from_batches([batch])
+            parts = table.column("part").to_numpy()
+            lengths = np.array([0 if t is None else len(t) for t in table.column("text").to_pylist()], np.int64) + 1
+            for part in np.unique(parts).tolist():
+                at = np.flatnonzero(parts == part)
+                # cut where a block is full
+                filled = np.cumsum(lengths[at]) + sizes.get(part, 0)
+                for piece in np.split(at, np.flatnonzero(np.diff(filled // params.block_bytes)) + 1):
+                    held.setdefault(part, []).append(table.take(pa.array(piece)))
+                    sizes[part] = sizes.get(part, 0) + int(lengths[piece].sum())
+                    if sizes[part] >= params.block_bytes:
+                        yield flushed(part)
+        for part in list(held):
+            yield flushed(part)
+
+    schema = f"block bigint, part int, doc_ids array<{kind}>, held_out array<boolean>, lengths array<int>, texts binary"
+    return stored(rows.mapInArrow(pack, schema))
+
+
+def texts_of(lengths: list[int], data: bytes) -> list[str]:
+    raw, ends = zstandard.ZstdDecompressor().decompress(data), np.cumsum([0, *lengths]).tolist()
+    return [raw[a:b].decode() for a, b in zip(ends, ends[1:])]
+
+
+# --- counts -----------------------------------------------------------------------------
+
+_MESSAGE = [("node", pa.int64()), ("range", pa.int64()), ("kind", pa.int32()), ("grams", pa.binary()), ("counted", pa.binary()), ("weighing", pa.binary())]
+_MESSAGE_DDL = "node bigint, range bigint, kind int, grams binary, counted binary, weighing binary"
+_ANSWER = [("node", pa.int64()), ("range", pa.int64()), ("kind", pa.int32()), ("counted", pa.binary()), ("weighing", pa.binary()), *[(c, pa.int64()) for c in ("v", "n", "v0", "n0")]]
+_ANSWER_DDL = "node bigint, range bigint, kind int, counted binary, weighing binary, v bigint, n bigint, v0 bigint, n0 bigint"
+
+
+def table_of(rows: list[tuple], columns: list) -> pa.Table:
+    return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(columns)}, pa.schema(columns))
+
+
+def packed_grams(grams: np.ndarray) -> bytes:
+    return packed(np.diff(grams, prepend=np.uint64(0)))
+
+
+def unpacked_grams(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64)
+
+
+def messages(node: int, kind: int, grams: np.ndarray, counts: list[np.ndarray], bits: int, within: int, done: int) -> Iterator[tuple]:
+    """Messages of a node to the ranges of ``bits`` leading bits inside range ``within`` of ``done`` bits."""
+    first = within << (bits - done)
+    ranges = range(first, first + (1 << (bits - done)))
+    cuts = np.searchsorted(grams, np.array([r << (64 - bits) for r in ranges if r > first], np.uint64)) if bits else np.zeros(0, np.int64)
+    for r, lo, hi in zip(ranges, [0, *cuts.tolist()], [*cuts.tolist(), len(grams)]):
+        if hi > lo:
+            yield node, r, kind, packed_grams(grams[lo:hi]), packed(counts[0][lo:hi]), packed(counts[1][lo:hi])
+
+
+def sent(blocks: DataFrame, bits: int) -> DataFrame:
+    """Each block's distinct n-grams with their counts, cut by range."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block, part, lengths, texts = (batch.column(c)[i].as_py() for c in range(4))
+                found = Block(texts_of(lengths, texts))
+                out = []
+                for kind in KINDS:
+                    counts = [found.counts[kind] if part == p else np.zeros_like(found.counts[kind]) for p in (COUNTED, WEIGHING)]
+                    out += messages(block, kind, found.grams[kind], [c.astype(np.uint64) for c in counts], bits, 0, 0)
+                yield from table_of(out, _MESSAGE).to_batches()
+
+    return blocks.select("block", "part", "lengths", "texts").mapInArrow(send, _MESSAGE_DDL)
+
+
+def unpacked_rows(table: pa.Table, kind: int) -> tuple[list[dict], np.ndarray, list[np.ndarray]]:
+    """Messages of a kind, their distinct n-grams, and where each message has its own."""
+    mine = [r for r in table.to_pylist() if r["kind"] == kind]
+    lists = [unpacked_grams(r["grams"]) for r in mine]
+    distinct, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *lists]), return_inverse=True)
+    return mine, distinct, np.split(place, np.cumsum([len(x) for x in lists])[:-1]) if lists else []
+
+
+def summed(mine: list[dict], places: list[np.ndarray], size: int) -> np.ndarray:
+    totals = np.zeros((2, size), np.uint64)
+    for r, p in zip(mine, places):
+        totals[COUNTED, p] += unpacked(r["counted"], np.uint64)
+        totals[WEIGHING, p] += unpacked(r["weighing"], np.uint64)
+    return totals
+
+
+def answer(table: pa.Table) -> pa.Table:
+    """For each message to a range: totals over the counted and the weighing texts, in its order.
+
+    One more row (node -1) has the number of distinct tokens and of all tokens: ``v, n`` in all
+    training texts, ``v0, n0`` in the counted ones.
     """
+    out, sums, where = [], (0, 0, 0, 0), table.column("range")[0].as_py()
+    for kind in KINDS:
+        mine, distinct, places = unpacked_rows(table, kind)
+        totals = summed(mine, places, len(distinct))
+        if kind == 0:
+            both = totals.sum(0)
+            sums = (int((both > 0).sum()), int(both.sum()), int((totals[0] > 0).sum()), int(totals[0].sum()))
+        out += [(r["node"], where, kind, packed(totals[COUNTED, p]), packed(totals[WEIGHING, p]), 0, 0, 0, 0) for r, p in zip(mine, places)]
+    out.append((-1, where, 0, b"", b"", *sums))
+    return table_of(out, _ANSWER)
+
+
+def answered(sent_: DataFrame, nodes: int, done: int, bits: int, params: Params) -> DataFrame:
+    """The answers to all messages, which are cut by ``done`` leading bits of the ``bits`` that ranges have."""
+    if done >= bits:
+        return sent_.groupBy("range").applyInArrow(answer, _ANSWER_DDL)
+    received = stored(sent_)
+    teams = math.ceil(nodes / params.fan_out)
+    teamed = received.withColumn("team", F.pmod(F.xxhash64("node", F.lit(done)), F.lit(teams)))
+    further = min(bits, done + params.fan_out.bit_length() - 1)
+
+    def forward(table: pa.Table) -> pa.Table:
+        team, within = table.column("team")[0].as_py(), table.column("range")[0].as_py()
+        out = []
+        for kind in KINDS:
+            mine, distinct, places = unpacked_rows(table, kind)
+            out += messages(team, kind, distinct, list(summed(mine, places, len(distinct))), further, within, done)
+        return table_of(out, _MESSAGE)
 
-    def answer(table: pa.Table) -> pa.Table:
-        rows = table.select(["block", "part", "kind", "grams", "counts"]).to_pylist()
-        out, sums = [], (0, 0, 0, 0)
-        for kind in (0, 1):
-            mine = [r for r in rows if r["kind"] == kind]
-            if not mine:
-                continue
-            lists = [np.cumsum(unpacked(r["grams"], np.uint64), dtype=np.uint64) for r in mine]
-            distinct, place = np.unique(np.concatenate(lists), return_inverse=True)
-            ends = np.cumsum([len(x) for x in lists])
-            places = np.split(place, ends[:-1])
-            totals = np.zeros((2, len(distinct)), np.uint64)
-            for r, p in zip(mine, places):
-                if r["part"] != HELD_OUT:
-                    totals[r["part"], p] += unpacked(r["counts"], np.uint32)
-            if kind == 0:
-                both = totals.sum(0)
-                sums = (int((both > 0).sum()), int(both.sum()), int((totals[0] > 0).sum()), int(totals[0].sum()))
-            for r, p in zip(mine, places):
-                out.append((r["block"], kind, packed(totals[COUNTED, p]), packed(totals[WEIGHING, p]), 0, 0, 0, 0))
-        out.append((-1, 0, b"", b"", *sums))
-        shard = table.column("shard")[0].as_py()
-        names = ("block", "kind", "counted", "weighing", "v", "n", "v0", "n0")
-        arrays = {"shard": [shard] * len(out)} | {name: [r[i] for r in out] for i, name in enumerate(names)}
-        kinds = [pa.int32()] * 3 + [pa.binary()] * 2 + [pa.int64()] * 4
-        return pa.table(arrays, pa.schema(list(zip(("shard", *names), kinds))))
-
-    schema = "shard int, block int, kind int, counted binary, weighing binary, v bigint, n bigint, v0 bigint, n0 bigint"
-    return sent.groupBy("shard").applyInArrow(answer, schema)
+    replies = stored(answered(teamed.groupBy("team", "range").applyInArrow(forward, _MESSAGE_DDL), teams, further, bits, params))
+
+    def pass_on(key, table: pa.Table, answers: pa.Table) -> pa.Table:
+        out, where = [], key[1].as_py()
+        rows = sorted(answers.to_pylist(), key=lambda r: r["range"])
+        for kind in KINDS:
+            mine, _, places = unpacked_rows(table, kind)
+            totals = [np.concatenate([np.zeros(0, np.uint64), *[unpacked(r[c], np.uint64) for r in rows if r["kind"] == kind]]) for c in ("counted", "weighing")]
+            out += [(r["node"], where, kind, packed(totals[0][p]), packed(totals[1][p]), 0, 0, 0, 0) for r, p in zip(mine, places)]
+        return table_of(out, _ANSWER)
+
+    parents = replies.filter("node >= 0").withColumns({"team": F.col("node"), "within": F.shiftright("range", further - done)})
+    both = teamed.groupBy("team", "range").cogroup(parents.groupBy("team", "within"))
+    return both.applyInArrow(pass_on, _ANSWER_DDL).union(replies.filter("node = -1"))
 
 
 def gathered(answers: pa.Table) -> list[list[np.ndarray]]:
     """Totals per kind, over counted and weighing texts, in the order of the block's n-grams."""
-    rows = sorted(answers.select(["kind", "shard", "counted", "weighing"]).to_pylist(), key=lambda r: r["shard"])
+    rows = sorted(answers.select(["kind", "range", "counted", "weighing"]).to_pylist(), key=lambda r: r["range"])
     return [
-        [np.concatenate([unpacked(r[c], np.uint64) for r in rows if r["kind"] == kind] or [np.zeros(0, np.uint64)]) for kind in (0, 1)]
+        [np.concatenate([np.zeros(0, np.uint64), *[unpacked(r[c], np.uint64) for r in rows if r["kind"] == kind]]) for kind in KINDS]
         for c in ("counted", "weighing")
     ]
 
 
+# --- weights ----------------------------------------------------------------------------
+
+
 def bucket(context: np.ndarray, buckets: int) -> np.ndarray:
     """0 for contexts that were never counted, else one per power of two."""
     return np.minimum(np.where(context > 0, np.log2(np.maximum(context, 1)).astype(np.int64) + 1, 0), buckets - 1)
 
 
-def evidence(rows: DataFrame, answers: DataFrame, v0: int, n0: int, params: Params) -> DataFrame:
-    """Histogram of the weighing texts' tokens: bucket, and how the three estimates relate."""
+@dataclass(frozen=True)
+class Model:
+    """Sizes and weights. ``low`` has bigram, unigram and uniform weights per bucket, ``high`` the trigram's."""
 
-    def weigh(key, docs: pa.Table, totals: pa.Table) -> pa.Table:
-        names = ["bucket", "pair", "single", "n"]
-        if not docs.num_rows:
-            return pa.table({n: pa.array([], pa.int64()) for n in names})
-        block = Block(docs.column("text").to_pylist())
-        pair, context, single = block.spread(gathered(totals)[0])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            # log ratios to the uniform estimate, in steps; far below all others where zero
-            q2 = np.where(pair > 0, np.round(np.log2(pair / context * (v0 + 1)) * params.steps), -1e6)
-            q1 = np.where(single > 0, np.round(np.log2(single / max(n0, 1) * (v0 + 1)) * params.steps), -1e6)
-        cells, n = np.unique(np.stack([bucket(context, params.buckets), q2, q1]).astype(np.int64), axis=1, return_counts=True)
-        return pa.table({"bucket": cells[0], "pair": cells[1], "single": cells[2], "n": n.astype(np.int64)})
+    v: int
+    n: int
+    low: np.ndarray
+    high: np.ndarray
+
+    def lower(self, pair: np.ndarray, context: np.ndarray, single: np.ndarray, buckets: int) -> np.ndarray:
+        w = self.low[bucket(context, buckets)]
+        return w[:, 0] * pair / np.maximum(context, 1) + w[:, 1] * single / max(self.n, 1) + w[:, 2] / (self.v + 1)
 
-    both = rows.filter(F.col("part") == WEIGHING).select("block", "text").groupBy("block")
-    replies = answers.filter("block >= 0").join(rows.filter(F.col("part") == WEIGHING).select("block").distinct(), "block")
-    counted = both.cogroup(replies.groupBy("block")).applyInArrow(weigh, "bucket bigint, pair bigint, single bigint, n bigint")
-    return counted.groupBy("bucket", "pair", "single").agg(F.sum("n").alias("n"))
+    def probabilities(self, triple: np.ndarray, pairs: np.ndarray, pair: np.ndarray, context: np.ndarray, single: np.ndarray, buckets: int) -> np.ndarray:
+        k = self.high[bucket(pairs, buckets)]
+        return k * triple / np.maximum(pairs, 1) + (1 - k) * self.lower(pair, context, single, buckets)
+
+
+_NEVER = -(10**6)  # of an estimate that is zero
+
+
+def steps_of(ratio: np.ndarray, steps: int) -> np.ndarray:
+    """Ratios as whole steps of their logarithm, far below all others where zero."""
+    with np.errstate(divide="ignore"):
+        return np.where(ratio > 0, np.round(np.log2(np.maximum(ratio, 1e-300)) * steps), _NEVER).astype(np.int64)
+
+
+def evidence(blocks: DataFrame, answers: DataFrame, model: Model, trigrams: bool, params: Params) -> np.ndarray:
+    """Histogram of the weighing texts' tokens against the counted ones: bucket, estimates, number.
+
+    For bigrams the estimates are ratios to the uniform one; for trigrams (``model`` has the
+    lower weights by then) the ratio to the lower orders. The histogram is bounded: buckets
+    times ratios within the range of a count.
+    """
+    mine = blocks.filter(F.col("part") == WEIGHING)
+
+    def weigh(key, rows: pa.Table, totals: pa.Table) -> pa.Table:
+        names = ["bucket", "one", "two", "n"]
+        if not rows.num_rows:
+            return pa.table({n: pa.array([], pa.int64()) for n in names})
+        block = Block(texts_of(rows.column("lengths")[0].as_py(), rows.column("texts")[0].as_py()))
+        triple, pairs, pair, context, single = block.spread(gathered(totals)[0])
+        if trigrams:
+            lower = model.lower(pair, context, single, params.buckets)
+            cells = [bucket(pairs, params.buckets), steps_of(triple / np.maximum(pairs, 1) / lower, params.steps), np.zeros(len(pairs), np.int64)]
+        else:
+            uniform = model.v + 1
+            cells = [bucket(context, params.buckets), steps_of(pair / np.maximum(context, 1) * uniform, params.steps), steps_of(single / max(model.n, 1) * uniform, params.steps)]
+        found, n = np.unique(np.stack(cells), axis=1, return_counts=True)
+        return pa.table({"bucket": found[0], "one": found[1], "two": found[2], "n": n.astype(np.int64)})
+
+    replies = answers.join(mine.select(F.col("block").alias("node")), "node", "left_semi")
+    both = mine.select("block", "lengths", "texts").groupBy("block").cogroup(replies.groupBy("node"))
+    counted = both.applyInArrow(weigh, "bucket bigint, one bigint, two bigint, n bigint").groupBy("bucket", "one", "two").agg(F.sum("n").alias("n"))
+    return np.array([tuple(r) for r in counted.collect()], np.int64).reshape(-1, 4)
+
+
+def expectation_maximised(ratios: np.ndarray, n: np.ndarray, start: np.ndarray, rounds: int) -> np.ndarray:
+    """Weights of estimates whose ratios to one of them are given."""
+    weights = start
+    for _ in range(rounds):
+        shares = ratios * weights
+        shares *= (n / shares.sum(1))[:, None]
+        # a thousandth of one token keeps every estimate alive, so that no text has probability 0
+        weights = (shares.sum(0) + 1e-3) / (n.sum() + 1e-3 * len(start))
+    return weights
 
 
 def learned_weights(cells: np.ndarray, params: Params) -> np.ndarray:
@@ -232,59 +387,62 @@ def learned_weights(cells: np.ndarray, params: Params) -> np.ndarray:
             if b > 1:
                 weights[b] = weights[b - 1]
             continue
-        n = mine[:, 3].astype(float)
-        ratios = np.exp2(np.where(mine[:, 1:3] <= -10**6, -np.inf, mine[:, 1:3] / params.steps))
-        ratios = np.column_stack([ratios, np.ones(len(mine))])
-        for _ in range(params.rounds):
-            shares = ratios * weights[b]
-            shares *= (n / shares.sum(1))[:, None]
-            # a thousandth of one token keeps every estimate alive, so that no text has probability 0
-            weights[b] = (shares.sum(0) + 1e-3) / (n.sum() + 3e-3)
+        ratios = np.exp2(np.where(mine[:, 1:3] <= _NEVER, -np.inf, mine[:, 1:3] / params.steps))
+        weights[b] = expectation_maximised(np.column_stack([ratios, np.ones(len(mine))]), mine[:, 3].astype(float), weights[b], params.rounds)
         if b == 0:
             weights[b] = [0.0, weights[b][1] + weights[b][0], weights[b][2]]
     return weights
 
 
+def learned_share(cells: np.ndarray, params: Params) -> np.ndarray:
+    """Per bucket the weight of the trigram estimate against the lower orders; 0 for contexts never seen."""
+    shares = np.full(params.buckets, 0.5)
+    shares[0] = 0.0
+    for b in range(1, params.buckets):
+        mine = cells[cells[:, 0] == b]
+        if len(mine):
+            ratio = np.exp2(np.where(mine[:, 1] <= _NEVER, -np.inf, mine[:, 1] / params.steps))
+            shares[b] = expectation_maximised(np.column_stack([ratio, np.ones(len(mine))]), mine[:, 3].astype(float), np.array([0.5, 0.5]), params.rounds)[0]
+        elif b > 1:
+            shares[b] = shares[b - 1]
+    return shares
+
+
 def score(docs: DataFrame, held_out: Column, params: Params = Params()) -> DataFrame:
     """``doc_id, held_out`` and the measures of every row; learns from rows where ``held_out`` is false.
 
     ``base_score`` is the add-a-half unigram score, ``score`` the model's, both log10 of the
     probability of the text.
     """
-    rows, shards = dealt(docs, held_out, params)
-    answers = stored(answered(sent_counts(rows, shards)))
-    sums = answers.filter("block = -1").agg(F.sum("v"), F.sum("n"), F.sum("v0"), F.sum("n0")).first()
+    blocks = packed_blocks(docs, held_out, params)
+    size, nodes = blocks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda x, y: x + y + 1)), F.count("*")).first()
+    bits = max(0, math.ceil((size or 0) / params.range_bytes) - 1).bit_length()
+    done = min(bits, params.fan_out.bit_length() - 1)
+    answers = stored(answered(sent(blocks, done), nodes, done, bits, params))
+    sums = answers.filter("node = -1").agg(F.sum("v"), F.sum("n"), F.sum("v0"), F.sum("n0")).first()
     v, n, v0, n0 = (int(x or 0) for x in sums)
-    # the histogram is bounded: buckets times ratios within the range of a count
-    cells = evidence(rows, answers, v0, n0, params).collect()
-    weights = learned_weights(np.array([tuple(r) for r in cells], np.int64).reshape(-1, 4), params)
-
-    def scored(key, docs: pa.Table, totals: pa.Table) -> pa.Table:
-        if not docs.num_rows:
-            return docs.select(["doc_id", "held_out"]).append_column("n_tokens", pa.array([], pa.int64())).append_column(
-                "n_known", pa.array([], pa.int64())).append_column("train_tokens", pa.array([], pa.int64())).append_column(
-                "base_score", pa.array([], pa.float64())).append_column("score", pa.array([], pa.float64()))
-        block = Block(docs.column("text").to_pylist())
-        counted, weighing = gathered(totals)
-        pair, context, single = block.spread([a + b for a, b in zip(counted, weighing)])
-        base = np.log10((single + 0.5) / (n + 0.5 * (v + 1)))
-        w = weights[bucket(context, params.buckets)]
-        p = w[:, 0] * pair / np.maximum(context, 1) + w[:, 1] * single / max(n, 1) + w[:, 2] / (v + 1)
-        total = lambda x: np.add.reduceat(x, block.firsts)
-        model = total(np.log10(p)) if n else np.zeros(len(block.sizes))
-        return pa.table(
-            {
-                "doc_id": docs.column("doc_id"),
-                "held_out": docs.column("held_out"),
-                "n_tokens": block.sizes,
-                "n_known": total((single > 0).astype(np.int64)),
-                "train_tokens": np.full(len(block.sizes), n),
-                "base_score": total(base),
-                "score": model,
-            }
-        )
+    low = learned_weights(evidence(blocks, answers, Model(v0, n0, np.zeros((0, 3)), np.zeros(0)), False, params), params)
+    high = learned_share(evidence(blocks, answers, Model(v0, n0, low, np.zeros(0)), True, params), params)
+    model = Model(v, n, low, high)
+
+    def scored(key, rows: pa.Table, totals: pa.Table) -> pa.Table:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        ids = rows.column("doc_ids").combine_chunks().flatten()
+        held = rows.column("held_out").combine_chunks().flatten()
+        if not rows.num_rows:
+            measures = [pa.array([], k) for k in kinds]
+        else:
+            block = Block(texts_of(rows.column("lengths")[0].as_py(), rows.column("texts")[0].as_py()))
+            counted, weighing = gathered(totals)
+            triple, pairs, pair, context, single = block.spread([a + b for a, b in zip(counted, weighing)])
+            base = np.log10((single + 0.5) / (n + 0.5 * (v + 1)))
+            total = lambda x: np.add.reduceat(x, block.firsts)
+            found = np.log10(model.probabilities(triple, pairs, pair, context, single, params.buckets)) if n else np.zeros(len(single))
+            values = [block.sizes, total((single > 0).astype(np.int64)), np.full(len(block.sizes), n), total(base), total(found)]
+            measures = [pa.array(x, k) for x, k in zip(values, kinds)]
+        return pa.Table.from_arrays([ids, held, *measures], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = rows.select("block", "doc_id", "held_out", "text").groupBy("block")
-    replies = answers.filter("block >= 0").groupBy("block")
-    return texts.cogroup(replies).applyInArrow(scored, f"doc_id {kind}, held_out boolean, {_MEASURES}")
+    whole = blocks.select("block", "doc_ids", "held_out", "lengths", "texts").groupBy("block")
+    replies = answers.filter("node >= 0").groupBy("node")
+    return whole.cogroup(replies).applyInArrow(scored, f"doc_id {kind}, held_out boolean, {_MEASURES}")

@@ -160,7 +160,7 @@ def test_lm_scores(table, empty):
     tokens = lambda t: words(lower(t)) + [None]
     counts = Counter(t for r in rows() if not held_out(r) for t in tokens(r[1]))
     n, v = sum(counts.values()), len(counts)
-    params = lmscore.Params(block_bytes=4000, shard_bytes=3000)
+    params = lmscore.Params(block_bytes=4000, range_bytes=3000)
     got = lmscore.score(table, remainder(F.col("doc_id"), 5) == 1, params).collect()
     want = {(r[0], r[1]): r for r in rows()}
     assert len(got) == len(rows())

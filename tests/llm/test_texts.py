@@ -155,3 +155,110 @@ def test_other_patterns_and_vocabularies_read_whole_texts():
     words, library = tokenfiles.WordEncoder(path), Tokenizer.from_file(path)
     assert not words.as_assumed
     assert np.frombuffer(words.encode("Two  Words"), "<u4").tolist() == library.encode("Two  Words", add_special_tokens=False).ids
+
+
+# --- language model ----------------------------------------------------------------------
+
+
+def thue_morse(bits):
+    out = "a"
+    for _ in range(bits):
+        out += out.translate({97: 98, 98: 97})
+    return out, out.translate({97: 98, 98: 97})
+
+
+def lm_rows():
+    rng = random.Random(7)
+    pool = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choices(pool, weights=range(60, 0, -1), k=rng.randint(1, 120)))) for i in range(150)]
+    one, two = thue_morse(10)  # hash alike as polynomials
+    rows += [(200, None), (201, ""), (202, f"{one} w1 w2"), (203, f"{two} w1 w2"), (204, f"{one} {two} w1"), (205, "W1 w2 W3"), (206, rows[3][1])]
+    return rows
+
+
+def brute_force(rows, held_out, params, weighing):
+    """Scores from dictionaries, with weights learned from exact ratios in steps."""
+    from collections import Counter
+
+    def tokens(text):
+        lowered = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+        return [*re.findall(r"[^\x20\x09-\x0D]+", lowered), "<end>"]
+
+    def grams(text):
+        t = ["<s>", "<s>", *tokens(text)]
+        return [(tuple(t[i - 2 : i + 1]), tuple(t[i - 1 : i + 1]), t[i]) for i in range(2, len(t))]
+
+    def counts(texts):
+        c = Counter()
+        for text in texts:
+            for three, two, one in grams(text):
+                c.update([three, two, (one,)])
+            c[("<s>",)] += 1
+            c[("<s>", "<s>")] += 1
+        return c
+
+    def sizes(c):
+        words = {k: n for k, n in c.items() if len(k) == 1 and k != ("<s>",)}
+        return len(words), sum(words.values())
+
+    train = [t for d, t in rows if not held_out(d)]
+    counted, weighed = [t for t in train if not weighing[t]], [t for t in train if weighing[t]]
+    c0 = counts(counted)
+    v0, n0 = sizes(c0)
+    step = lambda x: round(np.log2(x) * params.steps) if x > 0 else -(10**6)
+    power = lambda x: 0 if x == 0 else min(int(np.log2(x)) + 1, params.buckets - 1)
+    cells = Counter()
+    for text in weighed:
+        for three, two, one in grams(text):
+            h = c0[(two[0],)]
+            cells[(power(h), step(c0[two] / max(h, 1) * (v0 + 1)), step(c0[(one,)] / max(n0, 1) * (v0 + 1)))] += 1
+    table = lambda c: np.array([(*k, n) for k, n in c.items()], np.int64).reshape(-1, 4)
+    low = lmscore.learned_weights(table(cells), params)
+
+    def lower(c, v, n, two, one):
+        h = c[(two[0],)]
+        w = low[power(h)]
+        return w[0] * c[two] / max(h, 1) + w[1] * c[(one,)] / max(n, 1) + w[2] / (v + 1)
+
+    cells = Counter()
+    for text in weighed:
+        for three, two, one in grams(text):
+            h = c0[three[:2]]
+            cells[(power(h), step(c0[three] / max(h, 1) / lower(c0, v0, n0, two, one)), 0)] += 1
+    high = lmscore.learned_share(table(cells), params)
+    c = counts(train)
+    v, n = sizes(c)
+    out = {}
+    for d, text in rows:
+        total = 0.0
+        for three, two, one in grams(text):
+            k = high[power(c[three[:2]])]
+            total += np.log10(k * c[three] / max(c[three[:2]], 1) + (1 - k) * lower(c, v, n, two, one))
+        out[d] = total
+    return out
+
+
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 3000, "range_bytes": 2000}, {"block_bytes": 900, "range_bytes": 500, "fan_out": 2}, {"block_bytes": 900, "range_bytes": 300, "fan_out": 4}])
+def test_scores_by_brute_force(spark, options):
+    rows = lm_rows()
+    params = lmscore.Params(**options)
+    held_out = lambda d: d % 5 == 1
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    weighing = {r.text: r.w for r in docs.select("text", (F.pmod(F.xxhash64("text", F.lit("weights")), F.lit(10)) == 0).alias("w")).collect()}
+    assert sum(weighing.values()) > 5
+    want = brute_force(rows, held_out, params, weighing)
+    got = {r.doc_id: r.score for r in lmscore.score(docs, F.col("doc_id") % 5 == 1, params).collect()}
+    assert got.keys() == want.keys()
+    # a ratio on the border of a step may fall to either side
+    assert all(got[d] == pytest.approx(want[d], rel=2e-3) for d in want)
+    assert np.mean([abs(got[d] - want[d]) < 1e-6 * abs(want[d]) for d in want]) > 0.5
+
+
+def test_trigrams_tell_repeated_texts(spark):
+    rng = random.Random(8)
+    pool = [f"w{i}" for i in range(300)]
+    repeated = " ".join(rng.choices(pool, k=80))
+    rows = [(i, " ".join(rng.choices(pool, k=80))) for i in range(120)] + [(200 + i, f"x{i} {repeated}") for i in range(60)]  # some are among the weighing tenth
+    found = lmscore.score(spark.createDataFrame(rows, "doc_id bigint, text string"), F.lit(False))
+    per_token = {r.doc_id: r.score / r.n_tokens for r in found.collect()}
+    assert min(per_token[200 + i] for i in range(60)) > max(per_token[i] for i in range(120)) + 0.5
