@@ -262,3 +262,50 @@ def test_trigrams_tell_repeated_texts(spark):
     found = lmscore.score(spark.createDataFrame(rows, "doc_id bigint, text string"), F.lit(False))
     per_token = {r.doc_id: r.score / r.n_tokens for r in found.collect()}
     assert min(per_token[200 + i] for i in range(60)) > max(per_token[i] for i in range(120)) + 0.5
+
+
+# --- quality ------------------------------------------------------------------------------
+
+
+def test_quality_verdicts_by_brute_force(spark):
+    from collections import Counter
+
+    from logwarden.llm import quality
+
+    rng = random.Random(9)
+    pool = [a + b for a in ("wat", "lich", "gré", "son", "mar", "日本") for b in ("er", "en", "ing", "tes", "lo")]
+    good = [" ".join(rng.choice(pool) for _ in range(rng.randint(1, 120))) for _ in range(60)]
+    odd = ["", None, " \n", "x", "zq$ " * 80, "wat#er " * 60] + [" ".join(w[::-1] for w in t.split()) for t in good[:10]]
+    texts = dict(enumerate(good + odd))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
+    trusted = [i for i in range(60) if i % 3]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id bigint, quality int")
+    params = quality.Params()
+    got = {r.doc_id: r for r in quality.judged(docs, labels, F.col("quality") == 1).collect()}
+
+    signed = lambda h: h - 2**64 if h >= 2**63 else h
+    chain = lambda *p: functools.reduce(lambda seed, x: xxhash.xxh64_intdigest(x.encode(), seed), p, 42)
+    bucket = lambda *p: signed(chain(*p)) % params.buckets
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", t or "") for i, t in texts.items()}
+    trigrams = {i: [bucket(f" {x} "[j : j + 3]) for x in w for j in range(len(x))] for i, w in words.items()}
+    borders = {i: [bucket(x[-2:]) for x in w] + [bucket(a[-1], b[0]) for a, b in zip(w, w[1:])] for i, w in words.items()}
+
+    def counted(features):
+        raw = Counter(b for f in features.values() for b in f)
+        return raw, Counter(b for i in trusted for b in features[i])
+
+    raw, best = counted(trigrams)
+    scale = sum(raw.values()) / sum(best.values())
+    inner = {b: np.log((best[b] * scale + 1) / (n + 1)) for b, n in raw.items()}
+    raw, best = counted(borders)
+    outer = {b: np.log((best[b] + 1) / (sum(best.values()) + params.buckets)) - np.log((n + 1) / (sum(raw.values()) + params.buckets)) for b, n in raw.items()}
+    mean = lambda table, found: sum(table[b] for b in found) / max(1, len(found))
+    text_ratio = {i: mean(inner, f) for i, f in trigrams.items()}
+    log_ratio = {i: mean(outer, f) for i, f in borders.items()}
+    for i, r in got.items():
+        assert r.text_ratio == pytest.approx(text_ratio[i], abs=1e-4) and r.log_ratio == pytest.approx(log_ratio[i], abs=1e-4)
+    # less than a thousandth of the trusted texts may be lost: none of them
+    least = min(got[i].log_ratio for i in trusted if words[i]), min(got[i].text_ratio for i in trusted if words[i])
+    for i, r in got.items():
+        assert r.kept == (not r.base_failed and r.log_ratio >= least[0] and r.text_ratio >= least[1])
+    assert any(r.kept for r in got.values()) and any(not r.kept and not r.base_failed for r in got.values())
