@@ -16,7 +16,7 @@ from logwarden.operators import report as r
 from logwarden.operators import rollups
 from logwarden.params import Params
 from logwarden.plans.detections import detect
-from logwarden.session import durable, shared_folder
+from logwarden.session import durable, shared_folder, stored
 from logwarden.sources import reputation
 from logwarden.sources.alerts import read_alerts
 from logwarden.sources.sinks import write_alerts
@@ -135,7 +135,8 @@ def flat(alerts: DataFrame) -> DataFrame:
 
 
 def all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.all_alerts(v.events(spark, sf_dir), PARAMS)
+    # six detectors read the events, each its own kinds
+    return d.all_alerts(stored(v.events(spark, sf_dir), partition_by="kind"), PARAMS)
 
 
 def _detector(name: str):

@@ -19,6 +19,7 @@ from logwarden.functions.text import starts_with_any
 from logwarden.operators.skew import join_facts
 from logwarden.operators.sliding import window_aggregate
 from logwarden.params import DEFAULTS, Params
+from logwarden.session import stored
 
 TIMELINE = (
     "array<struct<event:string,count:bigint,first_seen:timestamp_ntz,last_seen:timestamp_ntz,"
@@ -110,12 +111,17 @@ def suspicious_logins(events: DataFrame, minutes: float) -> DataFrame:
     The evidence has one row per (ip, ts_us), which very many logins may share.
     """
     logins = events.filter(F.col("kind") == "success").select("pos", "ip", "user", "ts_us")
-    return join_facts(logins, failure_evidence(events, minutes).drop("probes"), ["ip", "ts_us"], "pos")
+    evidence = stored(failure_evidence(events, minutes).drop("probes"))
+    return join_facts(logins, evidence, ["ip", "ts_us"], "pos")
 
 
-def bruteforce_success(events: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """Accepted logins that follow at least two failures from the same address."""
-    logins = suspicious_logins(events, params.bruteforce_minutes)
+def bruteforce_success(events: DataFrame, params: Params = DEFAULTS, logins: DataFrame | None = None) -> DataFrame:
+    """Accepted logins that follow at least two failures from the same address.
+
+    ``logins`` are ``suspicious_logins`` where they are there already.
+    """
+    if logins is None:
+        logins = suspicious_logins(events, params.bruteforce_minutes)
     n, user, ip, ts_us = F.col("failures"), F.col("user"), F.col("ip"), F.col("ts_us")
     severity = F.when(n >= 10, "CRITICAL").when(n >= 5, "HIGH").otherwise("MEDIUM")
     detail = _text(
@@ -215,12 +221,14 @@ def first_escalations(logins: DataFrame, events: DataFrame, minutes: float) -> D
     )
 
 
-def account_compromises(events: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+def account_compromises(events: DataFrame, params: Params = DEFAULTS, logins: DataFrame | None = None) -> DataFrame:
     """Failures, then a login from the same address, then a sudo of the same user.
 
-    Each alert carries its three-step timeline.
+    Each alert carries its three-step timeline. ``logins`` are ``suspicious_logins`` where they
+    are there already; they are read twice.
     """
-    logins = suspicious_logins(events, params.compromise_minutes)
+    if logins is None:
+        logins = stored(suspicious_logins(events, params.compromise_minutes))
     escalations = first_escalations(logins, events, params.compromise_minutes)
     chains = join_facts(logins, escalations.drop("probes"), ["user", "ts_us"], "pos")
     n, user, ip, ts_us = F.col("failures"), F.col("user"), F.col("ip"), F.col("ts_us")
@@ -276,9 +284,20 @@ def all_alerts(
 ) -> DataFrame:
     """The bag union of all detectors. Sort with ``in_report_order`` when order matters.
 
-    Events are read once per detector; pass a stored table (or a persisted DataFrame).
+    Events are read once per detector; pass a stored table (or a persisted DataFrame). Logins
+    after failures, which two detectors look at, are found once per width of their window.
     """
-    found = [detect(events, params) for detect in (detectors or DETECTORS).values()]
+    widths = {bruteforce_success: params.bruteforce_minutes, account_compromises: params.compromise_minutes}
+    suspicious: dict[float, DataFrame] = {}
+    found = []
+    for detect in (detectors or DETECTORS).values():
+        if detect not in widths:
+            found.append(detect(events, params))
+            continue
+        minutes = widths[detect]
+        if minutes not in suspicious:
+            suspicious[minutes] = stored(suspicious_logins(events, minutes))
+        found.append(detect(events, params, suspicious[minutes]))
     return reduce(DataFrame.unionByName, found)
 
 
