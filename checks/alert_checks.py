@@ -14,6 +14,7 @@ from logwarden.operators import detections as d
 from logwarden.operators import enrich as e
 from logwarden.operators import report as r
 from logwarden.operators import rollups
+from logwarden.operators.numbering import number_within
 from logwarden.params import Params
 from logwarden.plans.detections import detect
 from logwarden.session import durable, shared_folder, stored
@@ -300,6 +301,12 @@ def incident_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select("detector", "pos", "severity", "number", name.alias("incident_id"))
 
 
+def alert_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts numbered in report order."""
+    every = all_alerts(spark, sf_dir).withColumn("every", F.lit(0))
+    return number_within(every, "every", ["ts_us", "detector", "pos"]).select("number", "detector", "pos", "type")
+
+
 def intel_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reputation lines of the report, one row each."""
     rows = enriched(spark, sf_dir)
@@ -582,6 +589,10 @@ CHECKS = {
             from (select *, row_number() over (partition by severity order by ts_s, detector, pos) as number from alerts) n"""
         ),
     ),
+    "alert_numbers": (
+        alert_numbers,
+        _with_alerts("select row_number() over (order by ts_s, detector, pos) as number, detector, pos, type from alerts"),
+    ),
     "alert_actions": _of_alerts(
         r.alert_actions,
         f"""select detector, pos, a.type, action_no, action from alerts a

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from logwarden.llm import bytebpe, langid, mixing, neardup, pseudonyms
 from logwarden.llm.common import free_name, n_words, remainder, set_aside
-from logwarden.session import shared_folder
+from logwarden.session import scratch, shared_folder
+from logwarden.sources.folders import delete_folder
 
 # Of the queries over synthetic tables only. A real key belongs to the caller.
 PSEUDONYM_KEY = b"synthetic tables"
@@ -73,10 +74,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents table."""
+    """Apply all stages to the documents table. Of what they write, the last one's result stays."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            delete_folder(spark, before)
+        before = f"{folder}/{name}"
     return docs

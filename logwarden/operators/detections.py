@@ -229,8 +229,8 @@ def account_compromises(events: DataFrame, params: Params = DEFAULTS, logins: Da
     """
     if logins is None:
         logins = stored(suspicious_logins(events, params.compromise_minutes))
-    escalations = first_escalations(logins, events, params.compromise_minutes)
-    chains = join_facts(logins, escalations.drop("probes"), ["user", "ts_us"], "pos")
+    escalations = stored(first_escalations(logins, events, params.compromise_minutes).drop("probes"))
+    chains = join_facts(logins, escalations, ["user", "ts_us"], "pos")
     n, user, ip, ts_us = F.col("failures"), F.col("user"), F.col("ip"), F.col("ts_us")
     sudo_us, command = F.col("sudo.ts_us"), F.col("sudo.command")
     severity = compromise_severity(

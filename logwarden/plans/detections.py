@@ -13,7 +13,7 @@ from logwarden.operators.detections import DETECTORS, Detector, all_alerts, in_r
 from logwarden.operators.enrich import enrich
 from logwarden.operators.report import console_rows
 from logwarden.params import DEFAULTS, Params
-from logwarden.session import durable, stored
+from logwarden.session import durable, scratch, stored
 from logwarden.sources.lines import read_lines
 from logwarden.sources.sinks import write_alerts, write_report, write_report_metadata
 
@@ -67,9 +67,10 @@ def detect_and_report(
     generated_at: datetime | None = None,
 ) -> ReportPaths:
     """Detect, enrich, report. The alerts are computed once and stored for the three outputs."""
-    events = event_table(spark, log_path, year)
-    alerts = durable(enrich(all_alerts(events, params), abuse, verdicts, params))
-    return write_reports(alerts, log_path, out, generated_at)
+    with scratch(spark):
+        events = event_table(spark, log_path, year)
+        alerts = durable(enrich(all_alerts(events, params), abuse, verdicts, params))
+        return write_reports(alerts, log_path, out, generated_at)
 
 
 def console_summary(alerts: DataFrame) -> dict[str, DataFrame]:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logwarden.sources.folders import delete_folder
+
 
 def local_session(cores: str | int = "*", app: str = "logwarden", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; on a cluster the caller brings the session."""
@@ -41,10 +46,30 @@ def durable(df: DataFrame) -> DataFrame:
     return stored(df)
 
 
+_scratch = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``stored`` writes inside the block when it ends.
+
+    For steps that end by writing their result: what is read lazily later must not be inside.
+    """
+    outer, _scratch.paths = getattr(_scratch, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _scratch.paths = _scratch.paths, outer
+        for path in paths:
+            delete_folder(spark, path)
+
+
 def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """``df`` written as a Parquet table: later reads prune columns, filters and partitions."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/logwarden-{uuid.uuid4().hex}"
+    if getattr(_scratch, "paths", None) is not None:
+        _scratch.paths.append(path)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(partition_by)

@@ -26,6 +26,7 @@ from logwarden.operators import threat
 from logwarden.operators.attempts import COLUMNS, attempts, scan_lines, scan_once
 from logwarden.operators.formats import AsOf
 from logwarden.params import DEFAULTS, Params
+from logwarden.session import scratch
 from logwarden.sources.folders import exists, make_folder
 from logwarden.sources.sinks import write_summary_csv
 from logwarden.streaming.versions import Refresh, VersionedTable
@@ -222,7 +223,11 @@ def start_live_attempts(
         published = table.latest()
         if published and published.batch >= batch_id:
             return
-        target = f"{out}/attempts/batch={batch_id}"
+        with scratch(spark):
+            read(batch, batch_id, table, published)
+
+    def read(batch: DataFrame, batch_id: int, table: VersionedTable, published: Refresh | None) -> None:
+        spark, target = batch.sparkSession, f"{out}/attempts/batch={batch_id}"
         numbered = batch.withColumns({"file": log(F.col("file")), "pos": F.monotonically_increasing_id()})
         known = lambda files: table.read(published, sorted(r[0] for r in files.select(table.bucket_of()).distinct().collect()))
         scan = scan_once(numbered, as_of, format, known=known)

@@ -10,6 +10,7 @@ from logwarden.operators import threat as th
 from logwarden.operators.attempts import attempts, scan_lines
 from logwarden.operators.formats import AsOf
 from logwarden.params import Params
+from logwarden.session import shared_folder
 from logwarden.sources.ip_lists import read_blocklist
 from logwarden.sources.lines import read_lines, stream_lines
 from logwarden.streaming import live
@@ -138,6 +139,16 @@ def test_a_refresh_writes_only_what_changed(spark, tmp_path):
     assert rows(live.current_summary(spark, out)) == rows(batch)
 
 
+def test_landing_leaves_no_scratch_tables(spark, tmp_path):
+    folder, out = str(tmp_path / "logs"), str(tmp_path / "out")
+    land(folder, BATCHES)
+    shared = shared_folder(spark)
+    before = set(glob.glob(f"{shared}/logwarden-*"))
+    live.start_live_attempts(stream_lines(spark, folder, max_files_per_batch=1), AS_OF, out, drain=True).awaitTermination()
+    assert set(glob.glob(f"{shared}/logwarden-*")) == before
+    assert spark.read.parquet(f"{out}/attempts").count() == 31
+
+
 def test_the_blocklist_reads_new_candidates_only(spark, tmp_path, monkeypatch):
     folder, out = str(tmp_path / "logs"), str(tmp_path / "out")
     monkeypatch.setattr("logwarden.sources.sinks.read_blocklist", None)  # nobody reads the list
