@@ -9,7 +9,8 @@ a uniform guess. It is then in none of the languages; a text that mixes known la
 quotes names and numbers, stays below that limit.
 
 Null texts and texts without a letter get ``und``, score 0, and are rejected. Rows whose
-language is null teach nothing. Without any labelled row all texts get ``und``.
+language is null teach nothing. Without any labelled row all texts get ``und``. Long texts
+are read in runs of a million characters, so the memory they need is that of one run.
 """
 
 from __future__ import annotations

@@ -63,4 +63,58 @@ select doc_id, size, text_crc32, 'key' as law, shard::integer as shard,
   grown_shard::integer as grown_shard
 from summed join chosen using (row)
 """
-ORACLES: dict[str, str] = {"op5_mixing": _MIXING, "op8_sharding": _SHARDING}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _overlapping(words: int, percent: int, columns: str) -> str:
+    """Components of texts whose word shingles overlap, by a plain join on shingles."""
+    return rf"""
+with recursive texts as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') as w from documents),
+classes as (
+  select row_number() over (order by min(doc_id), w) as c, w, min(doc_id) as least from texts where len(w) > 0 and doc_id is not null group by w),
+shingles as (
+  select c, unnest(list_distinct(case when len(w) < {words} then [array_to_string(w, ' ')]
+    else [array_to_string(w[i:i + {words - 1}], ' ') for i in range(1, len(w) - {words - 2})] end)) as s from classes),
+sizes as (select c, count(*) as n from shingles group by c),
+links as (
+  select a, b from (select x.c as a, y.c as b, count(*) as k from shingles x join shingles y on x.s = y.s and x.c < y.c group by all) p
+  join sizes m on m.c = a join sizes o on o.c = b where 100 * k >= {percent} * (m.n + o.n - k)),
+both_ways as (select a, b from links union all select b, a from links),
+reached as (select c, c as r from classes union select reached.c, b from reached join both_ways on a = r),
+components as (select reached.c, min(least) as component_id from reached join classes on classes.c = r group by all),
+every as (
+  select doc_id, len(list_distinct(case when len(t.w) = 0 then [] when len(t.w) < {words} then [array_to_string(t.w, ' ')]
+      else [array_to_string(t.w[i:i + {words - 1}], ' ') for i in range(1, len(t.w) - {words - 2})] end)) as n_shingles,
+    case when doc_id is null then null when len(t.w) = 0 then doc_id else component_id end as component_id
+  from texts t left join classes on classes.w = t.w left join components on components.c = classes.c)
+select {columns} from every"""
+
+
+_INFILL = """
+with units as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+    sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+drawn as (
+  select *, len(u) as n, cast('0x' || h[1:8] as ubigint) as h1, cast('0x' || h[9:16] as ubigint) as h2,
+    cast('0x' || h[17:24] as ubigint) as h3, cast('0x' || h[25:32] as ubigint) as h4 from units),
+cut as (
+  select *, cast(least(h1 % (n + 1), h2 % (n + 1)) as bigint) as a, cast(greatest(h1 % (n + 1), h2 % (n + 1)) as bigint) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end as form from drawn),
+parts as (
+  select *, array_to_string(u[1:a], '') as head, array_to_string(u[a + 1:b], '') as body, array_to_string(u[b + 1:], '') as tail from cut)
+select doc_id, n, form, case when form <> 'plain' then length(head) end as prefix_chars,
+  case when form <> 'plain' then length(body) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || head || '<S>' || tail || '<M>' || body
+    else '<S>' || tail || '<P>' || head || '<M>' || body end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts"""
+
+ORACLES: dict[str, str] = {
+    "op5_mixing": _MIXING,
+    "op8_sharding": _SHARDING,
+    "op4_near_duplicates": _overlapping(5, 75, "doc_id, n_shingles, component_id, coalesce(doc_id = component_id, true) as kept"),
+    "op12_infill": _INFILL,
+    "op13_overlap": _overlapping(4, 85, "doc_id, n_shingles, component_id"),
+}

@@ -6,7 +6,8 @@ import pytest
 from logwarden.llm import queries
 from logwarden.llm.oracles import ORACLES
 
-TEXTS = ["one two  three", "", None, " \t\n", "naïve ÉCOLE", "日本語 テキスト", "\U0001f600", "word " * 3000]
+PASSAGE = " ".join(f"w{i % 17}x{i}" for i in range(80))
+TEXTS = [PASSAGE, PASSAGE.replace("w3x3", "changed"), PASSAGE.upper() + " end", "has <S> in it, and more", "Four words only here", "one two  three", "", None, " \t\n", "naïve ÉCOLE", "日本語 テキスト", "\U0001f600", "word " * 3000]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
