@@ -127,7 +127,8 @@ def with_next(docs: DataFrame, params: Params) -> DataFrame:
     order = W.orderBy(F.desc("range"))
     whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     follow = places.select("range", F.coalesce(F.lead("range").over(order), F.first("range").over(whole)).alias("headed"))
-    heads = ranged.join(places, ["range", "place"]).groupBy(F.col("range").alias("headed")).agg(F.max("text").alias("text"))
+    # broadcast: as many rows of two numbers as there are ranges, which is bounded above
+    heads = ranged.join(F.broadcast(places), ["range", "place"]).groupBy(F.col("range").alias("headed")).agg(F.max("text").alias("text"))
     heads = with_sketch(heads, "text", "own", params).select("headed", F.struct("text", "own").alias("head"))
     after = follow.join(heads, "headed").select(F.col("range").alias("after"), "head")
     within = W.partitionBy("range").orderBy(F.desc("place"), F.desc("text"))
