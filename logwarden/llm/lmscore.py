@@ -37,6 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,8 +54,9 @@ _MEASURES = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score do
 
 @dataclass(frozen=True)
 class Params:
-    block_bytes: int = 8 << 20
-    range_bytes: int = 8 << 20  # of text per range of n-grams
+    # A task holds the n-grams of one block, or of one range: some hundred bytes per word.
+    block_bytes: int = 4 << 20
+    range_bytes: int = 4 << 20  # of text per range of n-grams
     fan_out: int = 256
     buckets: int = 65  # one per power of two of a 64-bit count, and one for contexts never counted
     rounds: int = 60
@@ -93,16 +95,18 @@ class Block:
     def __init__(self, texts: list[str | None]):
         self.tokens, self.sizes = token_hashes(texts)
         self.firsts = np.cumsum(self.sizes) - self.sizes
+        self.grams, self.places, self.counts = [], [], []
+        self.add(self.tokens)
         before = self.shifted(self.tokens, _START)
+        self.add(mix(before * _SPREAD + self.tokens))
         further = self.shifted(before, _START)
-        pairs = mix(before * _SPREAD + self.tokens)
-        triples = mix(mix(further * _SPREAD + before) * _SPREAD + self.tokens)
-        self.grams, self.places, self.counts = [], [], []
-        for hashes in (self.tokens, pairs, triples):
-            distinct, place, count = np.unique(hashes, return_inverse=True, return_counts=True)
-            self.grams.append(distinct)
-            self.places.append(place)
-            self.counts.append(count.astype(np.uint32))
+        self.add(mix(mix(further * _SPREAD + before) * _SPREAD + self.tokens))
+
+    def add(self, hashes: np.ndarray) -> None:
+        distinct, place, count = np.unique(hashes, return_inverse=True, return_counts=True)
+        self.grams.append(distinct)
+        self.places.append(place.astype(np.int32))
+        self.counts.append(count.astype(np.uint32))
 
     def shifted(self, values: np.ndarray, first: object) -> np.ndarray:
         """The value of the token before, ``first`` (one or one per text) at the first token of a text."""
@@ -224,10 +228,11 @@ def sent(blocks: DataFrame, bits: int) -> DataFrame:
 
 def unpacked_rows(table: pa.Table, kind: int) -> tuple[list[dict], np.ndarray, list[np.ndarray]]:
     """Messages of a kind, their distinct n-grams, and where each message has its own."""
-    mine = [r for r in table.to_pylist() if r["kind"] == kind]
-    lists = [unpacked_grams(r["grams"]) for r in mine]
-    distinct, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *lists]), return_inverse=True)
-    return mine, distinct, np.split(place, np.cumsum([len(x) for x in lists])[:-1]) if lists else []
+    mine = table.filter(pc.equal(table.column("kind"), kind)).to_pylist()
+    lists = [unpacked_grams(r.pop("grams")) for r in mine]
+    # each list is sorted and distinct: places by search need no array over all of them
+    distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *lists]))
+    return mine, distinct, [np.searchsorted(distinct, x).astype(np.int32) for x in lists]
 
 
 def summed(mine: list[dict], places: list[np.ndarray], size: int) -> np.ndarray:
