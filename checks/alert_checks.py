@@ -340,15 +340,22 @@ def extra_detector(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_folder(spark: SparkSession, sf_dir: str, files: int) -> str:
     """The derived log lines as text files."""
     path = f"{shared_folder(spark)}/log-{uuid.uuid4().hex}"
-    # one log in line order is one file, which one task has to write; readers split it
     dealt = v.lines(spark, sf_dir).repartition(files, F.substring("line", 1, 9)).sortWithinPartitions("pos")
     dealt.select("line").write.text(path)
     return path
 
 
+def log_in_parts(spark: SparkSession, sf_dir: str) -> str:
+    """The derived log lines as one log in line order, in as many parts as tasks write."""
+    path = f"{shared_folder(spark)}/log-{uuid.uuid4().hex}"
+    dealt = v.lines(spark, sf_dir).repartitionByRange("pos").sortWithinPartitions("pos")
+    dealt.select("line").write.text(path)
+    return path
+
+
 def detect_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All detections from log text."""
-    return flat(detect(spark, log_folder(spark, sf_dir, 1), 2024, PARAMS)).drop("pos")
+    return flat(detect(spark, log_in_parts(spark, sf_dir), 2024, PARAMS)).drop("pos")
 
 
 def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

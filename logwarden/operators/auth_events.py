@@ -45,8 +45,8 @@ def _word(text: Column, from_end: int) -> Column:
     return F.substring_index(F.substring_index(text, " ", -from_end), " ", 1)
 
 
-def auth_events(lines: DataFrame, year: int) -> DataFrame:
-    """Events of a ``pos, line`` table, in one pass and without a shuffle.
+def auth_events(lines: DataFrame, year: int, kept: tuple[str, ...] = ()) -> DataFrame:
+    """Events of a ``pos, line`` table, in one pass and without a shuffle; with its columns ``kept``.
 
     A line belongs to the first pattern that matches it, even if its time is invalid. Each
     line is matched once; user and address are then cut from the end of the match, where
@@ -55,7 +55,7 @@ def auth_events(lines: DataFrame, year: int) -> DataFrame:
     line = F.col("line")
     patterns = {"failed": FAILED, "accepted": ACCEPTED, "sudo": SUDO, "su": SU}
     matches = F.struct(*[_match(line, p).alias(name) for name, p in patterns.items()])
-    matched = with_struct(lines.select("pos", "line"), "m", matches)
+    matched = with_struct(lines.select(*kept, "pos", "line"), "m", matches)
 
     hit = {name: F.col(f"m.{name}") != "" for name in patterns}
 
@@ -82,7 +82,7 @@ def auth_events(lines: DataFrame, year: int) -> DataFrame:
         ).alias("command"),
         t.syslog_fields(stamp).alias("time"),
     )
-    parsed = with_struct(matched.select("pos", "m"), "e", event)
+    parsed = with_struct(matched.select(*kept, "pos", "m"), "e", event)
     ts = t.syslog_clock(F.col("e.time"), year, any_case=True)
-    events = with_struct(parsed.select("pos", "e"), "ts", ts).filter(F.col("ts").isNotNull())
-    return events.select("pos", "e.kind", "e.ip", "e.user", "e.command", "ts", t.micros_of(F.col("ts")).alias("ts_us"))
+    events = with_struct(parsed.select(*kept, "pos", "e"), "ts", ts).filter(F.col("ts").isNotNull())
+    return events.select(*kept, "pos", "e.kind", "e.ip", "e.user", "e.command", "ts", t.micros_of(F.col("ts")).alias("ts_us"))

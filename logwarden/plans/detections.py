@@ -5,7 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from logwarden.operators import rollups
 from logwarden.operators.auth_events import auth_events
@@ -23,9 +24,20 @@ def event_table(spark: SparkSession, log_path: str, year: int | None = None) ->
 
     Six detectors read it. Partitioned by kind, each reads only its own rows and columns,
     where the text would be parsed again by every one of them.
+
+    ``pos`` goes through the files in the order of their names, so a log may lie in any number
+    of parts: the line numbers of a split are moved past those of all splits before it.
     """
-    events = auth_events(read_lines(spark, log_path), year or date.today().year)
-    return stored(events, partition_by="kind")
+    events = auth_events(read_lines(spark, log_path), year or date.today().year, kept=("file",))
+    split, line = F.shiftright("pos", 33), F.col("pos").bitwiseAND(F.lit((1 << 33) - 1))
+    events = events.withColumns({"split": split, "pos": line})
+    events = stored(events, partition_by="kind")
+    # one row per file and split of the scan
+    splits = events.groupBy("file", "split").agg((F.max("pos") + 1).alias("n"))
+    earlier = Window.orderBy("file", "split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = stored(splits.select("file", "split", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first")))
+    placed = events.join(F.broadcast(splits), ["file", "split"])
+    return placed.select((F.col("first") + F.col("pos")).alias("pos"), "kind", "ip", "user", "command", "ts", "ts_us")
 
 
 def detect(

@@ -233,3 +233,18 @@ def test_each_line_is_matched_once(spark, log_file):
     assert plan.count("Failed password for (?:") == 1
     plan = a.attempts(scan(spark, path, format="Generic syslog"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("accepted_gssapi") == 1
+
+
+def test_line_order_goes_through_the_parts_of_a_log(spark, tmp_path):
+    from logwarden.plans.detections import event_table
+
+    # the scan takes larger files first, whatever their names
+    sizes, names, n = (1, 40, 3), [], 0
+    for part, size in enumerate(sizes):
+        users = [f"u{n + i}" for i in range(size)]
+        n += size
+        names += users
+        lines = [f"Jan 05 10:00:00 host1 sshd[1]: Failed password for {u} from 10.0.0.1 port 22 ssh2\n" for u in users]
+        (tmp_path / f"part-{part:05}.txt").write_text("".join(lines))
+    rows = event_table(spark, str(tmp_path), 2026).orderBy("pos").collect()
+    assert [r.user for r in rows] == names and len({r.pos for r in rows}) == n
