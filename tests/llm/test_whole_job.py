@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from logwarden.llm import lmscore, pseudonyms, quality, syncmers
+from logwarden.llm import bytebpe, lmscore, pseudonyms, quality, syncmers
 
 
 def test_quality_reads_inside_words(spark):
@@ -24,6 +24,17 @@ def test_quality_reads_inside_words(spark):
         assert got[i].text_ratio < got[i - 40].text_ratio - 0.1 and not got[i].kept
 
 
+def test_quality_learns_from_every_trusted_text(spark):
+    rng = random.Random(5)
+    pool = ["".join(rng.choices("abcdefgh", k=3)) for _ in range(300)]
+    texts = [" ".join(rng.choices(pool, k=3)) for _ in range(24_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    got = quality.judged(docs, labels, F.col("quality") == 1)
+    # all texts are trusted: both sides count the same, so nothing speaks for or against a text
+    assert got.count() == len(texts) and got.filter("log_ratio != 0 or text_ratio != 0").count() == 0
+
+
 def round_trip(text, *values):
     """No value stays, the undone text is the first one, and the pseudonyms are read the same way again; the spans."""
     feistel = pseudonyms.Feistel(b"k")
@@ -137,3 +148,20 @@ def test_weights_of_frequent_contexts_differ():
     weights = lmscore.learned_weights(cells, params)
     assert weights[found[-1]][0] < 0.1 < 0.9 < weights[found[5]][0]
     assert (weights[found[-2]] == weights[found[5]]).all()  # no evidence of its own
+
+
+def test_byte_bpe_cuts_each_text_once():
+    import public_tokenizers
+    import tiktoken
+
+    ranks = bytebpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoder = bytebpe.Encoder(bytebpe.Vocabulary(ranks), public_tokenizers.PATTERN)
+    cuts, cut = [], encoder.words
+    encoder.words = lambda text: cuts.append(text) or cut(text)
+    # the first word of a text and the same word after a blank are different words
+    texts = ["", " ", "the the", " the", "  the  the ", "\nthe \n the", "a" * 70 + " " + "a" * 70, " zqx zqx\tzqx", "zqx zqx", "h\u00e9 \u65e5\u672c h\u00e9"]
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for _ in range(2):
+        cuts.clear()
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [known.encode_ordinary(t) for t in texts]
+        assert cuts == texts
