@@ -126,31 +126,36 @@ class Vocabulary:
         inner = np.flatnonzero(following >= 0)
         current[inner] = self.pair_ranks(token[inner], token[inner + 1])
         single = np.zeros(len(pieces), bool)  # pieces that need their merges one at a time
+        upset = False
         queue = RankQueue(self.size)
         queue.push_all(current, np.arange(n))
         while (rank := queue.lowest()) >= 0:
             parts = queue.take(rank)
             i = np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0]
-            i = i[(current[i] == rank) & ~single[piece[i]]]
+            i = i[current[i] == rank]
+            if upset:
+                i = i[~single[piece[i]]]
             if len(i) > 1:
                 if rank in self.early:
-                    single[self.upset(rank, i, piece, token, following, before)] = True
-                    i = i[~single[piece[i]]]
+                    found = self.upset(rank, i, piece, token, following, before)
+                    if len(found):
+                        single[found], upset = True, True
+                        i = i[~single[piece[i]]]
                 if (following[i[:-1]] == i[1:]).any():
                     i = apart(i, following)
             j = following[i]
             after, h = following[j], before[i]
             token[i], token[j], current[j] = rank, -1, -1
             following[i] = after
+            current[i] = -1
             inside = after >= 0
-            before[after[inside]] = i[inside]
-            fresh = np.full(len(i), -1)
-            fresh[inside] = self.pair_ranks(token[i[inside]], token[after[inside]])
-            current[i] = fresh
+            k, after = i[inside], after[inside]
+            before[after] = k
             h = h[(h >= 0) & (token[h] >= 0)]  # a neighbour merged just now has its pair already
-            left = self.pair_ranks(token[h], token[following[h]])
-            current[h] = left
-            queue.push_all(np.concatenate([fresh, left]), np.concatenate([i, h]))
+            at = np.concatenate([k, h])
+            made = self.pair_ranks(token[at], token[np.concatenate([after, following[h]])])
+            current[at] = made
+            queue.push_all(made, at)
         alive = token >= 0
         data = token[alive].astype("<u4").tobytes()
         ends = np.cumsum(4 * np.bincount(piece[alive], minlength=len(pieces))).tolist()
@@ -230,45 +235,63 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary = vocabulary
         self.pattern = regex.compile(pattern)
+        # ids by word: the blank before a word is left out, and stands before the first word of a
+        # text instead, which has none; no other word begins with one
         self.memory = Recent(self.REMEMBERED)
-        self.splits = [p for w in self.cut(self.PROBE) for p in self.pattern.findall(w)] == self.pattern.findall(self.PROBE)
+        self.tokens = {}  # ids of the tokens that are text
+        for token, rank in vocabulary.ranks.items():
+            try:
+                self.tokens[token.decode()] = rank.to_bytes(4, "little")
+            except UnicodeDecodeError:
+                pass  # part of a character
+        self.splits = True
+        words = [self.spelt(w) for w in self.words(self.PROBE)]
+        self.splits = [p for w in words for p in self.pattern.findall(w)] == self.pattern.findall(self.PROBE)
+
+    @staticmethod
+    def spelt(word: str) -> str:
+        return word[1:] if word.startswith(" ") else " " + word
 
     def learn(self, words: list[str]) -> None:
         """Add the ids of words to the memory."""
-        found = [self.pattern.findall(word) for word in words]
-        pieces: dict[str, bytes] = dict.fromkeys([p for each in found for p in each])
-        ranks, merging = self.vocabulary.ranks, []
-        for piece in pieces:
-            rank = ranks.get(piece.encode())
-            if rank is None:
-                merging.append(piece)
-            else:
-                pieces[piece] = rank.to_bytes(4, "little")
+        findall, known, memory = self.pattern.findall, self.tokens, self.memory
+        due, several = {}, []
+        for word in words:
+            each = findall(word[1:] if word.startswith(" ") else " " + word)
+            if len(each) == 1:
+                found = known.get(each[0])
+                if found is not None:
+                    memory[word] = found
+                    continue
+            several.append((word, each))
+            for piece in each:
+                due[piece] = known.get(piece)
+        merging = [piece for piece, found in due.items() if found is None]
         if merging:
-            pieces.update(zip(merging, self.vocabulary.merge([piece.encode() for piece in merging])))
-        for word, each in zip(words, found):
-            self.memory[word] = b"".join([pieces[p] for p in each])
+            due.update(zip(merging, self.vocabulary.merge([piece.encode() for piece in merging])))
+        for word, each in several:
+            memory[word] = due[each[0]] if len(each) == 1 else b"".join([due[p] for p in each])
 
     def words(self, text: str) -> list[str]:
-        return self.cut(text) if self.splits else [text]
-
-    def cut(self, text: str) -> list[str]:
+        """The words of a text, as the memory names them."""
+        if not self.splits:
+            return [" " + text]
         words = self.WORDS.split(text) if self.ODD_BLANKS.search(text) else text.split(" ")
-        return words[:1] + [" " + w for w in words[1:]]
+        words[0] = " " + words[0]
+        return words
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        due: set[str] = set()
-        for text in texts:
-            due.update(self.words(text))
+        cut = [self.words(text) for text in texts]
+        due = set().union(*cut)
         long = [w for w in due if len(w) > self.LONGEST]
         due.difference_update(long)
         self.learn(self.memory.unknown(due))
         self.learn(long)
-        memory = self.memory
-        found = [b"".join([memory[w] for w in self.words(t)]) for t in texts]
+        ids_of = self.memory.__getitem__
+        found = [b"".join(map(ids_of, words)) for words in cut]
         for word in long:
-            del memory[word]
+            del self.memory[word]
         return found
 
 
@@ -299,7 +322,7 @@ def decode(rows: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "d
         for batch in smaller(batches):
             tokens = tokens or {rank: token for token, rank in read_ranks(ranks_path).items()}
             lists = column(batch, ids)
-            found = [None if x is None else b"".join([tokens[i] for i in np.frombuffer(x, "<u4").tolist()]) for x in lists]
+            found = [None if x is None else b"".join(map(tokens.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in lists]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*batch.schema.names, decoded])
 
     return kept.mapInArrow(bytes_of, T.StructType([*kept.schema.fields, T.StructField(decoded, T.BinaryType())]))
