@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from logwarden.llm import neardup
 from logwarden.llm.common import column, mix
+from logwarden.llm.neardup import shingle_sets  # by name: a module in a task would bring all its imports
 from logwarden.session import stored
 
 
@@ -155,7 +156,7 @@ def points(docs: DataFrame, params: Params) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
-            for first, sets, classes in neardup.shingle_sets(column(batch, "text"), params.words):
+            for first, sets, classes in shingle_sets(column(batch, "text"), params.words):
                 full = [s for s in sets if len(s)]
                 vectors, names = (iter(count_vectors(full)), iter(entry_names(full, params))) if full else (iter(()), iter(()))
                 counts = [next(vectors).tobytes() if len(s) else b"" for s in sets]
