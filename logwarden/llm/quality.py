@@ -9,7 +9,9 @@ multinomials over a document's features. A document is kept if it passes the bas
 each score is no lower than a threshold that all but a fixed share of the trusted texts
 reach. Scores are compared after rounding, so reruns agree.
 
-Texts are scored once: the scores are stored, the thresholds are read off the stored rows.
+Texts are scored once: the scores are stored, the thresholds are read off the stored rows. Strings
+of ASCII words are cut by bytes and several trigrams of a word share a row, as cutting by characters
+and rows were most of the time.
 
 Trigrams that neither side has seen count 0 in ``text_ratio``: the trusted side is smoothed by
 its share of the corpus, else unknown strings would speak for a text.
@@ -40,7 +42,7 @@ class Params:
     buckets: int = 1 << 14
     lost_per_mille: int = 1
     grain: int = 10_000  # scores are compared in steps of 1 / grain
-    step_of_start: int = 4  # trigrams of a word that share a row while texts are scored
+    trigrams_of_piece: int = 8  # trigrams of a word that share a row
     min_words: int = 50
     max_repeat_percent: int = 50
 
@@ -51,28 +53,42 @@ def bucket(*parts: Column, params: Params) -> Column:
     return (F.pmod(hashed, F.lit(n)) if n & (n - 1) else hashed.bitwiseAND(F.lit(n - 1).cast("bigint"))).cast("int")
 
 
-def gap_of(words: str, params: Params) -> Column:
-    """Bucket of the characters on both sides of the gap after the word ``at``, null after the last."""
-    after = F.get(F.col(words), F.col("at") + 1)
-    return F.when(after.isNotNull(), bucket(F.substring("word", -1, 1), F.substring(after, 1, 1), params=params))
-
-
-def tail_of(params: Params) -> Column:
-    return F.when(F.col("word").isNotNull(), bucket(F.substring("word", -2, 2), params=params))
+def cut(start: Column, n: Column) -> Column:
+    """``n`` characters of ``framed`` from ``start`` on, as bytes: without a walk from its beginning if all are ASCII."""
+    return F.when(F.col("plain"), F.substr("bytes", start, n)).otherwise(F.substr("framed", start, n).cast("binary"))
 
 
 def with_places(rows: DataFrame, words: str, params: Params) -> DataFrame:
-    """One row per word (one in all without words): its length ``size``, its buckets ``tail`` and
-    ``gap``, and the word with a space before and after, ``framed``; null where absent."""
-    others = [c for c in rows.columns if c != words]
+    """One row per word (one in all without words), null where absent: its length ``size``, the buckets
+    ``tail`` and ``gap`` (of the characters on both sides of the gap after it, null after the last), the
+    word with a space before and after, ``framed``, its ``bytes``, and ``plain``, whether all are ASCII."""
+    others, size = [c for c in rows.columns if c != words], F.col("size")
     placed = rows.select(*others, words, F.posexplode_outer(words).alias("at", "word"))
+    after = F.substring(F.get(F.col(words), F.col("at") + 1), 1, 1).alias("after")
     framed = F.concat(F.lit(" "), "word", F.lit(" ")).alias("framed")
-    return placed.select(*others, F.length("word").alias("size"), tail_of(params).alias("tail"), gap_of(words, params).alias("gap"), framed)
+    placed = placed.select(*others, after, F.length("word").alias("size"), framed)
+    plain = F.octet_length("framed") == size + 2
+    placed = placed.select("*", F.col("framed").cast("binary").alias("bytes"), plain.alias("plain"))
+    tail = F.when(size.isNotNull(), bucket(cut(F.greatest(size, F.lit(2)), F.least(size, F.lit(2))), params=params))
+    gap = F.when(F.col("after").isNotNull(), bucket(cut(size + 1, F.lit(1)), F.col("after"), params=params))
+    return placed.select(*others, "size", tail.alias("tail"), gap.alias("gap"), "framed", "bytes", "plain")
+
+
+def with_pieces(placed: DataFrame, params: Params) -> DataFrame:
+    """One row per ``trigrams_of_piece`` trigrams of each word (one in all without words), which begin at
+    ``start`` of ``framed`` and the places after it; ``piece`` has their characters if not all are ASCII."""
+    size, n = F.col("size"), params.trigrams_of_piece
+    starts = F.when(size <= n, F.array(F.lit(1))).otherwise(F.sequence(F.lit(1), size, F.lit(n)))
+    # most words are one piece; a long one is not walked again for each of its trigrams
+    piece = F.when(~F.col("plain"), F.substr("framed", F.col("start"), F.lit(n + 2))).alias("piece")
+    return placed.select("*", F.explode_outer(starts).alias("start")).select("*", piece).drop("framed")
 
 
-def inner_of(start: Column, params: Params) -> Column:
-    """Bucket of the trigram of ``framed`` that begins at ``start``."""
-    return bucket(F.substr("framed", start, F.lit(3)), params=params)
+def inner_of(i: int, params: Params) -> Column:
+    """Bucket of the trigram of a piece that begins ``i`` places after its start, null beyond the word."""
+    start = F.col("start") + i if i else F.col("start")
+    found = F.when(F.col("plain"), F.substr("bytes", start, F.lit(3))).otherwise(F.substr("piece", F.lit(i + 1), F.lit(3)).cast("binary"))
+    return F.when(start <= F.col("size"), bucket(found, params=params))
 
 
 def with_base(rows: DataFrame, text: str, words: str, params: Params) -> DataFrame:
@@ -89,8 +105,9 @@ def with_base(rows: DataFrame, text: str, words: str, params: Params) -> DataFra
             "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint"),
         }
     ).drop("lines", text)
-    triples = F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
-    triples = F.slice(triples, 1, F.greatest(n - 2, F.lit(0)))  # the last two words begin no window
+    # the last two words begin no window
+    windows = F.arrays_zip(*[F.slice(w, i, F.greatest(n - 2, F.lit(0))).alias(f"w{i}") for i in (1, 2, 3)])
+    triples = F.transform(windows, lambda x: F.xxhash64(x))
     rows = with_struct(rows, "triples", triples)
     t = F.col("triples")
     # sorted with their places, equal triples are neighbours; needed only where any are equal
@@ -114,12 +131,12 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, params: Params) -> tuple[lis
     marks = trusted.withColumn("trusted", F.lit(1)).hint("shuffle_hash")
     flagged = docs.select("doc_id", "text").join(marks, "doc_id", "left")
     rows = with_struct(flagged.select("text", F.coalesce("trusted", F.lit(0)).alias("trusted")), "words", words_of(F.col("text")))
-    placed = with_places(rows.select("trusted", "words"), "words", params).filter("size is not null")
-    # one row per feature of a word: its gap at -1, its tail at 0, then its trigrams
-    starts, start = placed.select("*", F.explode(F.sequence(F.lit(-1), F.col("size"))).alias("start")), F.col("start")
-    found = F.when(start > 0, inner_of(start, params) + params.buckets).when(start == 0, F.col("tail")).otherwise(F.col("gap"))
+    pieces = with_pieces(with_places(rows.select("trusted", "words"), "words", params), params)
+    borders = [F.when(F.col("start") == 1, F.col(c)) for c in ("tail", "gap")]
+    inner = [inner_of(i, params) + params.buckets for i in range(params.trigrams_of_piece)]
+    found = pieces.select("trusted", F.explode(F.array(*borders, *inner)).alias("found")).filter("found is not null")
     # grouped by bucket and side at once: few keys, whatever the words are
-    counts = starts.groupBy((found * 2 + F.col("trusted")).alias("key")).agg(F.count("*").alias("n")).filter("key is not null")
+    counts = found.groupBy((F.col("found") * 2 + F.col("trusted")).alias("key")).agg(F.count("*").alias("n"))
     counts = counts.select("n", F.shiftright("key", 1).alias("bucket"), (F.col("key") % 2).alias("trusted"))
     counts = counts.groupBy("bucket").agg(F.sum("n").alias("raw"), F.sum(F.col("n") * F.col("trusted")).alias("good"))
     raw, good = [0] * (2 * params.buckets), [0] * (2 * params.buckets)
@@ -143,15 +160,12 @@ def scored(rows: DataFrame, words: str, keys: list[str], ratios: tuple[list[floa
     ends = F.when(F.col("gap").isNull(), 1).otherwise(2)
     border = of(borders, F.col("tail")) + of(borders, F.col("gap"))
     placed = with_places(rows.select(*keys, words), words, params)
-    placed = placed.select(*keys, "size", "framed", border.alias("border"), ends.alias("ends"))
+    placed = placed.select(*keys, "size", "framed", "bytes", "plain", border.alias("border"), ends.alias("ends"))
     # a row adds up several trigrams of a word; the first one also brings what the word counts once
-    stride, start = params.step_of_start, F.col("start")
-    placed = placed.select("*", F.explode_outer(F.sequence(F.lit(1), F.col("size"), F.lit(stride))).alias("start"))
-    total = of(inner, inner_of(start, params))
-    for i in range(1, stride):
-        total += F.when(start + i <= F.col("size"), of(inner, inner_of(start + i, params))).otherwise(0.0)
+    pieces, start = with_pieces(placed, params), F.col("start")
+    values = [of(inner, inner_of(i, params)) for i in range(params.trigrams_of_piece)]
     first = [F.when(start == 1, F.col(c)).alias(c) for c in ("size", "border", "ends")]
-    found = placed.select(*keys, *first, F.when(start.isNotNull(), total).alias("total"))
+    found = pieces.select(*keys, *first, F.when(start.isNotNull(), sum(values[1:], values[0])).alias("total"))
     mean = lambda total, n: F.round(F.coalesce(total, F.lit(0.0)) / F.greatest(n, F.lit(1)) * params.grain).cast("bigint")
     return found.groupBy(*keys).agg(
         mean(F.sum("border"), F.sum("ends")).alias("step"),

@@ -1,9 +1,12 @@
 """Cases in which an operator once did less than its whole job."""
 
 import random
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from logwarden.llm import bytebpe, lmscore, pseudonyms, quality, syncmers
@@ -35,6 +38,31 @@ def test_quality_learns_from_every_trusted_text(spark):
     assert got.count() == len(texts) and got.filter("log_ratio != 0 or text_ratio != 0").count() == 0
 
 
+def test_quality_cuts_long_words_in_pieces(spark):
+    rng = random.Random(11)
+    alphabets = ("abcde", "abcdé", "日本語文", "xy\U0001f600é")
+    words = [["".join(rng.choices(a, k=k)) for k in range(1, 28)] for a in alphabets]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(0, 1), (2, 1)], "doc_id bigint, quality int")
+    got = {r.doc_id: r for r in quality.judged(docs, labels, F.col("quality") == 1).collect()}
+    bucket = lambda x: xxhash.xxh64_intdigest(x.encode(), 42) % quality.Params().buckets
+    found = [[bucket(f" {x} "[j : j + 3]) for x in w for j in range(len(x))] for w in words]
+    raw, good = Counter(b for f in found for b in f), Counter(b for i in (0, 2) for b in found[i])
+    scale = sum(raw.values()) / sum(good.values())
+    for i, f in enumerate(found):
+        mean = np.mean([np.log((good[b] * scale + 1) / (raw[b] + 1)) for b in f])
+        assert got[i].text_ratio == pytest.approx(mean, abs=1e-4) and got[i].word_chars == sum(map(len, words[i]))
+
+
+def test_quality_time_follows_the_length_of_a_word(spark):
+    # each trigram was sought from the beginning of its word: minutes for this one
+    docs = spark.createDataFrame([(1, "a lot of words"), (2, "abcdefgh" * 40_000)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id bigint, quality int")
+    began = time.time()
+    got = {r.doc_id: r for r in quality.judged(docs, labels, F.col("quality") == 1).collect()}
+    assert time.time() - began < 30 and got[2].word_chars == 320_000
+
+
 def round_trip(text, *values):
     """No value stays, the undone text is the first one, and the pseudonyms are read the same way again; the spans."""
     feistel = pseudonyms.Feistel(b"k")
